@@ -1,0 +1,5 @@
+"""No streaming operator exists in the catalogue this package covers.
+
+``operators.features.transform`` is a row-local projection with fitted
+constants, so it can also be applied to a ``readStream`` frame as it is.
+"""
