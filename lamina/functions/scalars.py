@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina import domain
@@ -15,20 +15,37 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def to_double(value: Column) -> Column:
+# Text that can start a number. A failed cast costs an exception per row, so
+# words are turned away before the cast; the cast decides on the rest.
+NUMBER_START = r"^[\x00-\x20]*[-+]?([0-9.]|[iI][nN][fF])"
+
+
+def parse_double(text: Column) -> Column:
     """Number from text; malformed text and NaN become NULL, never an error."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    return F.when(text.rlike(NUMBER_START), text.try_cast("double"))
+
+
+def present_double(number: Column) -> Column:
+    """Number as double with NaN counted as missing."""
+    value = number.cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def number_of(df: DataFrame, name: str) -> Column:
+    """The named column as a double, read as its type asks for."""
+    if df.schema[name].dataType.typeName() == "string":
+        return parse_double(col(name))
+    return present_double(col(name))
 
 
-def is_rejected(value: Column) -> Column:
-    """True where a present value cannot be read as a number."""
-    return value.isNotNull() & to_double(value).isNull()
+def is_rejected(text: Column) -> Column:
+    """True where a present text cannot be read as a number."""
+    return text.isNotNull() & parse_double(text).isNull()
 
 
-def ordinal_code(value: Column) -> Column:
-    """Integer code of an ordered category held as text; unreadable -> 0."""
-    return F.coalesce(to_double(value).try_cast("int"), F.lit(0))
+def ordinal_code(number: Column) -> Column:
+    """Integer code of an ordered category; unreadable -> 0."""
+    return F.coalesce(number.try_cast("int"), F.lit(0))
 
 
 def dummy(value: Column, category: str) -> Column:

@@ -203,11 +203,10 @@ def correlation_matrix(df: DataFrame, names: Sequence[str], nulls: str = "pairwi
     pairs = list(combinations(range(len(names)), 2)) + [(i, i) for i in range(len(names))]
     measures = []
     for i, j in pairs:
-        a, b = col(names[i]), col(names[j])
-        both = a.isNotNull() & b.isNotNull()
-        x, y = F.when(both, a), F.when(both, b)
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        r = F.when(spread > 0, F.try_divide(F.covar_pop(x, y), spread))
+        x, y = col(names[i]), col(names[j])
+        # the regression sums skip pairs with a missing side by themselves
+        spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+        r = F.try_divide(F.regr_sxy(y, x), spread)
         measures.append(F.coalesce(r, F.lit(0.0)).alias(f"r{i}_{j}"))
     row = values.agg(*measures)
     cells = []

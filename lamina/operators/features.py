@@ -20,9 +20,9 @@ from lamina.functions.scalars import (
     col,
     dummy,
     finite_or_zero,
+    number_of,
     ordinal_code,
     standardised,
-    to_double,
 )
 from lamina.operators.ordering import with_ordered_split, with_ordinal
 from lamina.operators.refine import keep_existing
@@ -123,7 +123,7 @@ def fit(train: DataFrame, spec: FeatureSpec | None = None, **limits: int) -> Fit
     capped = [spec.capped] if spec.capped in present else []
     clipped = [spec.z_clipped] if spec.z_clipped in present else []
     numeric = list(dict.fromkeys(imputed + scaled + capped + clipped))
-    numbers = train.select(*[to_double(col(n)).alias(n) for n in numeric])
+    numbers = train.select(*[number_of(train, n).alias(n) for n in numeric])
 
     spread = F.stddev_samp if spec.ddof else F.stddev_pop
     moments = numbers.agg(
@@ -172,9 +172,9 @@ def transform(df: DataFrame, params: FitParams, spec: FeatureSpec | None = None)
     for name in df.columns:
         value = col(name)
         if name in spec.ordinal:
-            value = ordinal_code(value)
+            value = ordinal_code(number_of(df, name))
         elif name in numeric:
-            value = to_double(value)
+            value = number_of(df, name)
             median = params.medians.get(name)
             if median is not None:
                 value = F.coalesce(value, F.lit(median))
@@ -290,7 +290,7 @@ def params_json(params: FitParams) -> str:
 def clip_effect(df: DataFrame, params: FitParams, spec: FeatureSpec | None = None) -> DataFrame:
     """Rows each clip would change, with their share, in one pass."""
     spec = spec or FeatureSpec()
-    target, revenue = to_double(col(spec.capped)), to_double(col(spec.z_clipped))
+    target, revenue = number_of(df, spec.capped), number_of(df, spec.z_clipped)
     missing = F.lit(None).cast("double")
 
     def bound(value: float | None) -> Column:
@@ -418,7 +418,7 @@ def feature_report(
     texts = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
     shares = df.agg(
         F.count("*").alias("rows"),
-        *[F.count(to_double(col(n))).alias(f"t{i}") for i, n in enumerate(texts)],
+        *[F.count(number_of(df, n)).alias(f"t{i}") for i, n in enumerate(texts)],
     )
     cells = []
     for f in fields:
@@ -451,11 +451,7 @@ def detect_features(df: DataFrame, **options) -> list[str]:
 
 def numeric_matrix(df: DataFrame, features: Sequence[str], kept: Sequence[str] = ()) -> DataFrame:
     """Features as doubles with missing, NaN and infinite values as 0.0."""
-    kinds = dict(df.dtypes)
-    values = [
-        finite_or_zero(to_double(col(n)) if kinds[n] == "string" else col(n)).alias(n)
-        for n in features
-    ]
+    values = [finite_or_zero(number_of(df, n)).alias(n) for n in features]
     return df.select(*[col(n) for n in kept if n not in features], *values)
 
 

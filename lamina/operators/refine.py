@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamina import domain
 from lamina.domain import RefineSpec
-from lamina.functions.scalars import col, is_rejected, to_double
+from lamina.functions.scalars import col, is_rejected, number_of
 
 
 def keep_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -33,7 +33,7 @@ def fill_existing(df: DataFrame, names: Sequence[str], value: str) -> DataFrame:
 def type_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Text to double in those of ``names`` the table has; bad text to NULL."""
     present = set(df.columns)
-    typed = {n: to_double(col(n)) for n in names if n in present}
+    typed = {n: number_of(df, n) for n in names if n in present}
     return df.withColumns(typed) if typed else df
 
 

@@ -23,6 +23,7 @@ from lamina.session import cut_lineage
 
 GATHERED_ROWS = 500_000  # most values of one span that are gathered and sorted
 SAMPLED_ROWS = 200_000  # expected sample size per span and round
+LEAST_SAMPLE = 100
 
 
 @dataclass(frozen=True)
@@ -87,6 +88,9 @@ def select_ranks(
 
     total = max(sizes[n] for n in names)
     seed = 0
+    # a sample well below the span, and not tiny, always leaves a part out
+    sampled = max(sampled, LEAST_SAMPLE)
+    gathered = max(gathered, 2 * sampled)
     while wide := [s for s in open_spans if s.inside > gathered]:
         narrow = [s for s in open_spans if s.inside <= gathered]
         moved = _narrow(frame, _proposed(frame, wide, sampled, seed), found)

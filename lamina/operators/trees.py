@@ -18,6 +18,7 @@ from lamina.functions.scalars import col
 from lamina.operators.features import assemble
 from lamina.session import fresh_path
 
+SMALL_ROWS = 2_000_000  # up to here training rows are dealt over the cores
 BUCKET_ROWS = 50_000  # rows among which a feature is permuted
 
 
@@ -44,6 +45,18 @@ class FittedTree:
     features: tuple[str, ...]
 
 
+def spread_small(df: DataFrame, key: str, small: int = SMALL_ROWS) -> DataFrame:
+    """A table of few rows lies in few files; deal it over the cores.
+
+    Rows keep a fixed place and order, so training is repeatable. A larger
+    table already has a file split per task and is returned as it is.
+    """
+    if df.count() > small:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, col(key)).sortWithinPartitions(col(key))
+
+
 def matrix(
     df: DataFrame, features: Sequence[str], label: str = "label", kept: Sequence[str] = ()
 ) -> DataFrame:
@@ -119,7 +132,9 @@ def permutation_importance(
     if not used:
         return sorted_importance(names.select("feature", F.lit(0.0).alias("importance")))
 
-    buckets = max(1, math.ceil(test.count() / bucket_rows))
+    rows_in_test = test.count()
+    cores = spark.sparkContext.defaultParallelism
+    buckets = max(math.ceil(rows_in_test / bucket_rows), min(cores, rows_in_test // 1000), 1)
     scored = predict(test.select(col(key), col(label), "features"), tree, "_base")
     rows = scored.select(
         F.xxhash64(col(key), F.lit(seed)).alias("_hash"),
@@ -129,39 +144,44 @@ def permutation_importance(
         vector_to_array("features").alias("_x"),
     ).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
     rows = rows.withColumn("_u", F.array(*[F.col("_x")[i] for i in used]))
+    if buckets <= cores:  # few rows: one task per bucket, not coalesced
+        rows = rows.repartition(buckets, "_bucket")
     order = Window.partitionBy("_bucket").orderBy("_hash", "_key")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = rows.withColumns(
         {
             "_place": F.row_number().over(order) - 1,
-            "_size": F.count("*").over(whole),
-            **{f"_next{r}": F.lead("_u", r).over(order) for r in range(1, repeats + 1)},
-            **{f"_top{r}": F.nth_value("_u", r).over(whole) for r in range(1, repeats + 1)},
+            "_size": F.count("*").over(whole).cast("int"),
+            "_following": F.collect_list("_u").over(order.rowsBetween(1, repeats)),
+            "_first": F.array(*[F.nth_value("_u", r).over(whole) for r in range(1, repeats + 1)]),
         }
     )
-    tops = F.array(*[F.col(f"_top{r}") for r in range(1, repeats + 1)])
-
-    def donor(r: int):
-        around = ((F.col("_place") + r) % F.col("_size")).cast("int")
-        return F.coalesce(F.col(f"_next{r}"), F.get(tops, around))
-
-    trials = F.array(
-        *[
-            F.struct(
-                F.lit(feature).alias("position"),
-                donor(r)[slot].alias("value"),
-            )
-            for slot, feature in enumerate(used)
-            for r in range(1, repeats + 1)
-        ]
+    donors = F.transform(
+        F.sequence(F.lit(1), F.lit(repeats)),
+        lambda r: F.coalesce(
+            F.get("_following", r - 1), F.get("_first", (F.col("_place") + r) % F.col("_size"))
+        ),
     )
-    trial = placed.select("_label", "_hit", "_x", F.explode(trials).alias("_t"))
-    swapped = F.transform(
-        "_x", lambda v, i: F.when(i == F.col("_t.position"), F.col("_t.value")).otherwise(v)
+    width = len(used)
+    trial = placed.select(
+        "_label",
+        "_hit",
+        "_x",
+        donors.alias("_donors"),
+        F.explode(F.sequence(F.lit(0), F.lit(width * repeats - 1))).alias("_t"),
+    )
+    slot, repeat = F.col("_t") % width, F.floor(F.col("_t") / width).cast("int")
+    swap = trial.select(
+        "_label",
+        "_hit",
+        "_x",
+        F.get(F.array(*[F.lit(i) for i in used]), slot).alias("position"),
+        F.get(F.get("_donors", repeat), slot).alias("_value"),
     )
-    permuted = trial.select(
-        "_label", "_hit", F.col("_t.position").alias("position"), array_to_vector(swapped).alias("features")
+    swapped = F.transform(
+        "_x", lambda v, i: F.when(i == F.col("position"), F.col("_value")).otherwise(v)
     )
+    permuted = swap.select("_label", "_hit", "position", array_to_vector(swapped).alias("features"))
     drop = F.col("_hit") - (F.col("_p") == F.col("_label")).cast("int")
     losses = (
         predict(permuted, tree, "_p").groupBy("position").agg(F.avg(drop).alias("importance"))

@@ -349,15 +349,15 @@ def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
 def scalar_suite(spark: SparkSession, folder: str) -> DataFrame:
     """One column per scalar function over the raw incidents."""
     df = testbed.incidents(spark, folder)
-    revenue = scalars.to_double(col(REVENUE))
+    revenue = scalars.number_of(df, REVENUE)
     return df.select(
         "incident_id",
         F.lit("constant").alias("literal"),
         F.round(revenue, 4).alias("as_double"),
         scalars.is_rejected(col(REVENUE)).alias("rejected"),
         F.coalesce(revenue, F.lit(-1.0)).alias("filled"),
-        scalars.ordinal_code(col("confidence_tier")).cast("bigint").alias("tier"),
-        scalars.ordinal_code(col(REVENUE)).cast("bigint").alias("revenue_code"),
+        scalars.ordinal_code(scalars.number_of(df, "confidence_tier")).cast("bigint").alias("tier"),
+        scalars.ordinal_code(revenue).cast("bigint").alias("revenue_code"),
         scalars.dummy(col("industry_primary"), "BUILDING").cast("bigint").alias("is_building"),
         F.round(scalars.standardised(revenue, 4500.0, 3200.0), 10).alias("scaled"),
         F.round(scalars.clip_above(revenue, 8000.0), 4).alias("capped"),

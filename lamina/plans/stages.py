@@ -116,7 +116,7 @@ def score_layer(
 ) -> Scored:
     """Label by the median, train each model on train, predict every row."""
     threshold = evaluate.label_threshold(df, target)
-    labelled = evaluate.with_label(df, threshold, target)
+    labelled = trees.spread_small(evaluate.with_label(df, threshold, target), key)
     rows = trees.matrix(labelled, names, "label", [key, "split", target])
     train = rows.filter(F.col("split") == "train")
     fitted = tuple(trees.fit_tree(train, names, spec) for spec in specs)
