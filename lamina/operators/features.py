@@ -224,6 +224,17 @@ def build_features(
     return features, params
 
 
+def stack_parts(
+    train: DataFrame, test: DataFrame, params: FitParams, spec: FeatureSpec | None = None
+) -> DataFrame:
+    """Separately held train and test rows, transformed and put together.
+
+    For parts that arrive as two tables; columns are matched by name and are
+    the same on both sides, because both use the parameters of train.
+    """
+    return transform(train, params, spec).unionByName(transform(test, params, spec))
+
+
 PARAMS_SCHEMA = "kind string, column_name string, position int, word string, number double"
 
 
@@ -406,7 +417,10 @@ NUMERIC_TYPES = (
 
 
 def feature_report(
-    df: DataFrame, target: str = domain.TARGET, least_share: float = 0.5, technical: Sequence[str] = (domain.ROW_KEY, "split")
+    df: DataFrame,
+    target: str = domain.TARGET,
+    least_share: float = 0.5,
+    technical: Sequence[str] = (domain.ROW_KEY, "split"),
 ) -> DataFrame:
     """Per column whether it can be a feature, and the parseable share of text.
 

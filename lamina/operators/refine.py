@@ -66,14 +66,14 @@ def join_coverage(
     """Rows that four ways of joining the three tables would give.
 
     The sizes follow from how often each key occurs per table, so one grouped
-    count over the keys replaces four three-way joins, and a key that is very
-    frequent is combined before the shuffle. NULL keys match nothing.
+    count over the keys of all tables replaces four three-way joins: one
+    shuffle of keys, and a very frequent key is combined before it. NULL keys
+    match nothing.
     """
     marked = None
     for name, df in (("i", incidents), ("f", financial), ("m", market)):
-        keys = df.groupBy(col(key).alias("key")).agg(F.count("*").alias("n"))
-        line = keys.select(
-            "key", *[(F.col("n") if t == name else F.lit(0)).cast("bigint").alias(t) for t in "ifm"]
+        line = df.select(
+            col(key).alias("key"), *[F.lit(int(t == name)).cast("bigint").alias(t) for t in "ifm"]
         )
         marked = line if marked is None else marked.unionByName(line)
     per_key = marked.groupBy("key").agg(*[F.sum(t).alias(t) for t in "ifm"])

@@ -45,14 +45,16 @@ class FittedTree:
     features: tuple[str, ...]
 
 
-def spread_small(df: DataFrame, key: str, small: int = SMALL_ROWS) -> DataFrame:
-    """A table of few rows lies in few files; deal it over the cores.
+def is_small(df: DataFrame, small: int = SMALL_ROWS) -> bool:
+    return df.count() <= small
 
-    Rows keep a fixed place and order, so training is repeatable. A larger
-    table already has a file split per task and is returned as it is.
+
+def spread_over_cores(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows of a small table, which lies in few files, over the cores.
+
+    Rows get a fixed place and order, so training is repeatable. A large table
+    has a file split per task already and needs no shuffle.
     """
-    if df.count() > small:
-        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, col(key)).sortWithinPartitions(col(key))
 

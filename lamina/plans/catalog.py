@@ -287,6 +287,18 @@ def transformation_catalogue(spark: SparkSession, folder: str) -> DataFrame:
 
 def feature_layer(spark: SparkSession, folder: str) -> DataFrame:
     table, _ = features.build_features(testbed.refined(spark, folder))
+    return _checkable_features(table)
+
+
+def stacked_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """The feature layer from train and test rows held apart."""
+    spec = domain.FeatureSpec()
+    rows = testbed.split_rows(spark, folder).select(KEY, *spec.kept, "split")
+    train, test = (rows.filter(F.col("split") == part) for part in ("train", "test"))
+    return _checkable_features(features.stack_parts(train, test, features.fit(train)))
+
+
+def _checkable_features(table: DataFrame) -> DataFrame:
     whole = [n for n, t in table.dtypes if t == "int"]
     places = {n: 6 for n in table.columns if n.endswith("_scaled")} | {REVENUE: 4, TARGET: 6}
     return rounded(widened(table, *whole), places)
@@ -538,6 +550,7 @@ QUERIES: dict[str, Query] = {
         fit_params,
         transformation_catalogue,
         feature_layer,
+        stacked_parts,
         clip_one_sided,
         clip_two_sided,
         clip_effect,

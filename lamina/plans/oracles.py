@@ -555,6 +555,7 @@ filled AS (
     "fit_params": _with(PARAMS, _params()),
     "transformation_catalogue": _with(PARAMS, _catalogue()),
     "feature_layer": _with(PARAMS, _feature_layer()),
+    "stacked_parts": _with(PARAMS, _feature_layer()),
     "clip_one_sided": _with(
         PARAMS, "SELECT row_key, round(least(total_loss_usd, fence), 6) AS capped FROM parted, params"
     ),

@@ -116,10 +116,17 @@ def score_layer(
 ) -> Scored:
     """Label by the median, train each model on train, predict every row."""
     threshold = evaluate.label_threshold(df, target)
-    labelled = trees.spread_small(evaluate.with_label(df, threshold, target), key)
+    labelled = evaluate.with_label(df, threshold, target)
+    small = trees.is_small(df)
+    if small:
+        labelled = trees.spread_over_cores(labelled, key)
     rows = trees.matrix(labelled, names, "label", [key, "split", target])
     train = rows.filter(F.col("split") == "train")
+    if small:  # every tree passes over it several times
+        train = train.persist()
     fitted = tuple(trees.fit_tree(train, names, spec) for spec in specs)
+    if small:
+        train.unpersist()
     for tree in fitted:
         rows = trees.predict(rows, tree, tree.spec.name)
     return Scored(rows, fitted, threshold)
