@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,8 @@ from lamina.functions.scalars import col
 from lamina.operators.selection import select_ranks
 from lamina.session import cut_lineage
 
+WINDOW_ROWS = 5_000_000  # largest group that one task may sort
+BROADCAST_RUNS = 200_000  # most (partition, group) runs that are broadcast
 SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
@@ -56,23 +58,37 @@ def with_ordinal(
 
 
 def rank_within_group(
-    df: DataFrame, group: str, order: Sequence[Column], name: str = "rank"
+    df: DataFrame,
+    group: str,
+    order: Sequence[Column],
+    name: str = "rank",
+    window_rows: int = WINDOW_ROWS,
 ) -> DataFrame:
     """``row_number`` per group for every row, also when one group is huge.
 
-    A window would sort each group in one task. Here rows are range-sorted by
-    (group, order); a group is a run of slots over one or more partitions, and
-    the rows it has in earlier partitions are added to the place in the run.
+    A window sorts each group in one task and is used when the largest group
+    is counted to be at most ``window_rows``. Otherwise rows are range-sorted
+    by (group, order); a group is a run of slots over one or more partitions,
+    and the rows it has in earlier partitions are added to the place in the
+    run.
     """
+    sizes = df.groupBy(col(group)).agg(F.count("*").alias("n"))
+    largest = sizes.agg(F.max("n").alias("n")).first()["n"] or 0
+    if largest <= window_rows:
+        window = Window.partitionBy(col(group)).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     placed = _placed(df, [col(group), *order])
     runs = placed.groupBy("_part", col(group).alias("_group")).agg(
         F.min("_slot").alias("_first"), F.count("*").alias("_n")
     )
-    earlier = _earlier_rows(runs)
+    earlier = cut_lineage(_earlier_rows(runs))
+    same_run = (placed["_part"] == earlier["_run_part"]) & placed[group].eqNullSafe(
+        earlier["_group"]
+    )
+    if earlier.count() <= BROADCAST_RUNS:
+        earlier = F.broadcast(earlier)
     return (
-        placed.join(
-            earlier, (placed["_part"] == earlier["_run_part"]) & placed[group].eqNullSafe(earlier["_group"])
-        )
+        placed.join(earlier, same_run)
         .withColumn(name, F.col("_slot") - F.col("_first") + F.col("_carry") + 1)
         .drop("_part", "_slot", "_run_part", "_group", "_first", "_carry")
     )
@@ -80,8 +96,6 @@ def rank_within_group(
 
 def _earlier_rows(runs: DataFrame) -> DataFrame:
     """Rows the same group has in lower partitions, per (group, partition)."""
-    from pyspark.sql import Window
-
     before = (
         Window.partitionBy("_group").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -120,11 +134,17 @@ def with_ordered_split(
     )
 
 
+def _digest(key: str, seed: int) -> Column:
+    """Order-free but fixed random text per key, the same in every engine."""
+    return F.md5(F.concat_ws(":", col(key), F.lit(seed)))
+
+
 def with_hash_split(
     df: DataFrame, key: str, fraction: float = 0.8, seed: int = 42, name: str = "split"
 ) -> DataFrame:
-    """Split by key hash: a row keeps its side when new rows arrive."""
-    share = F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(1_000_000))
+    """Split by a digest of the key: a row keeps its side when new rows arrive."""
+    head = F.substring(_digest(key, seed), 1, 8)
+    share = F.conv(head, 16, 10).cast("bigint") % 1_000_000
     return df.withColumn(
         name, F.when(share < int(fraction * 1_000_000), F.lit("train")).otherwise(F.lit("test"))
     )
@@ -137,7 +157,7 @@ def seeded_sample(df: DataFrame, key: str, rows: int, seed: int = 42, **limits:
     the same for every partitioning. The digest at the cut is looked up and
     the sample is a filter; the rows are not sorted.
     """
-    marked = df.withColumn("_digest", F.md5(F.concat_ws(":", col(key), F.lit(seed))))
+    marked = df.withColumn("_digest", _digest(key, seed))
     total = marked.count()
     if rows >= total:
         return df

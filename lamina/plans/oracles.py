@@ -492,6 +492,10 @@ sizes AS (
         SELECT event_id, event_type, value,
                row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rank
         FROM events""",
+    "rank_all_rows_ranged": """
+        SELECT event_id, event_type, value,
+               row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rank
+        FROM events""",
     "measure_summary": _summary("events", "value", 6),
     "loss_summary": _with(REFINED, _summary("refined", "total_loss_usd", 8)),
     "index_quartiles": """
@@ -544,6 +548,11 @@ filled AS (
            FROM refined""",
     ),
     "ordered_split": _with(SPLIT, "SELECT row_key, split FROM parted"),
+    "hash_split": """
+        SELECT o_orderkey, CASE WHEN
+            CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || ':42'), 1, 8) AS BIGINT)
+              % 1000000 < 800000 THEN 'train' ELSE 'test' END AS split
+        FROM orders""",
     "seeded_sample": """
         SELECT event_id, value FROM (
           SELECT event_id, value,

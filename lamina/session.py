@@ -23,6 +23,7 @@ def build_session(app: str = "lamina", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.compress", "true")
     )
     if master:
         builder = builder.master(master)

@@ -18,10 +18,12 @@ def test_ordinal_of_nothing_and_of_one(spark):
     assert [tuple(r) for r in ordering.with_ordinal(spark.range(1), [F.asc("id")]).collect()] == [(0, 0)]
 
 
-def test_rank_in_a_huge_group(spark):
+@pytest.mark.parametrize("bound, window_rows", [(200_000, 100), (0, 100), (0, 5000)])
+def test_rank_in_a_huge_group(spark, monkeypatch, bound, window_rows):
+    monkeypatch.setattr(ordering, "BROADCAST_RUNS", bound)
     group = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("g"), F.col("id") % 50))
     df = spark.range(4000).select("id", group.alias("g"), (F.col("id") * 31 % 101).alias("v"))
-    got = ordering.rank_within_group(df, "g", [F.desc("v"), F.asc("id")], "r")
+    got = ordering.rank_within_group(df, "g", [F.desc("v"), F.asc("id")], "r", window_rows)
     window = Window.partitionBy("g").orderBy(F.desc("v"), "id")
     assert got.columns == ["id", "g", "v", "r"]
     assert got.withColumn("w", F.row_number().over(window)).filter("r <> w").count() == 0
