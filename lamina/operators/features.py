@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import json
 from collections import Counter
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina import domain
+from lamina import domain, session
 from lamina.domain import FeatureSpec
 from lamina.functions.scalars import (
     clip_above,
@@ -28,7 +27,6 @@ from lamina.operators.ordering import with_ordered_split, with_ordinal
 from lamina.operators.refine import keep_existing
 from lamina.operators.selection import quantiles, upper_fence
 
-INDEX_TABLE_BROADCAST_ROWS = 100_000
 HOT_KEY_SALTS = 32
 
 
@@ -294,10 +292,6 @@ def catalogue(
     return spark.createDataFrame(rows, schema)
 
 
-def params_json(params: FitParams) -> str:
-    return json.dumps(asdict(params), sort_keys=True)
-
-
 def clip_effect(df: DataFrame, params: FitParams, spec: FeatureSpec | None = None) -> DataFrame:
     """Rows each clip would change, with their share, in one pass."""
     spec = spec or FeatureSpec()
@@ -374,9 +368,9 @@ def encode_wide(
     over salts, so that a frequent category is not looked up in one task.
     """
     distinct = train.filter(col(name).isNotNull()).groupBy(col(name).alias("_word")).agg(F.lit(1))
-    index = with_ordinal(distinct.select("_word"), [F.asc("_word")], "_code")
+    index = session.cut_lineage(with_ordinal(distinct.select("_word"), [F.asc("_word")], "_code"))
     size = index.count()
-    if size <= INDEX_TABLE_BROADCAST_ROWS:
+    if session.small_enough(index, "_word"):
         looked = df.join(F.broadcast(index), col(name) == F.col("_word"), "left")
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(HOT_KEY_SALTS - 1)))

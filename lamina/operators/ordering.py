@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina import session
 from lamina.functions.scalars import col
 from lamina.operators.selection import select_ranks
 from lamina.session import cut_lineage
 
 WINDOW_ROWS = 5_000_000  # largest group that one task may sort
-BROADCAST_RUNS = 200_000  # most (partition, group) runs that are broadcast
 SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
@@ -85,7 +85,7 @@ def rank_within_group(
     same_run = (placed["_part"] == earlier["_run_part"]) & placed[group].eqNullSafe(
         earlier["_group"]
     )
-    if earlier.count() <= BROADCAST_RUNS:
+    if session.small_enough(earlier.withColumn("_text", col("_group").cast("string")), "_text"):
         earlier = F.broadcast(earlier)
     return (
         placed.join(earlier, same_run)

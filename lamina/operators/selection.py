@@ -23,6 +23,7 @@ from lamina.session import cut_lineage
 
 GATHERED_ROWS = 500_000  # most values of one span that are gathered and sorted
 SAMPLED_ROWS = 200_000  # expected sample size per span and round
+TEXT_GATHERED, TEXT_SAMPLED = 100_000, 40_000  # the same for text, whose values are longer
 LEAST_SAMPLE = 100
 
 
@@ -88,6 +89,8 @@ def select_ranks(
 
     total = max(sizes[n] for n in names)
     seed = 0
+    if any(f.dataType.typeName() == "string" for f in frame.schema.fields):
+        gathered, sampled = min(gathered, TEXT_GATHERED), min(sampled, TEXT_SAMPLED)
     # a sample well below the span, and not tiny, always leaves a part out
     sampled = max(sampled, LEAST_SAMPLE)
     gathered = max(gathered, 2 * sampled)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lamina.functions.scalars import col
 from lamina.operators.features import assemble
-from lamina.session import fresh_path
+from lamina.session import fresh_path, shared_folder
 
 SMALL_ROWS = 2_000_000  # up to here training rows are dealt over the cores
 BUCKET_ROWS = 50_000  # rows among which a feature is permuted
@@ -75,6 +75,7 @@ def fit_tree(
     Training is level by level: each level is one pass that adds up split
     statistics per node, so rows stay where they are.
     """
+    shared_folder(train.sparkSession)  # deep trees checkpoint their node ids there
     learner = DecisionTreeClassifier(
         featuresCol="features",
         labelCol=label,

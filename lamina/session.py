@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -54,6 +55,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+
+
+def small_enough(df: DataFrame, text: str) -> bool:
+    """True if a materialised lookup table may be broadcast: rows and text counted."""
+    size = df.agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes")
+    ).first()
+    return size["rows"] <= BROADCAST_ROWS and size["bytes"] <= BROADCAST_BYTES
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so that a lost executor cannot change it."""
     shared_folder(df.sparkSession)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -44,7 +42,3 @@ def write_csv(df: DataFrame, folder: str) -> str:
 def write_json(df: DataFrame, folder: str) -> str:
     df.write.mode("overwrite").json(folder)
     return folder
-
-
-def report_path(folder: str, name: str) -> str:
-    return os.path.join(folder, name)

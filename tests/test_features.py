@@ -2,6 +2,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from lamina import session
 from lamina.domain import FeatureSpec
 from lamina.operators import features
 from tests.conftest import rows
@@ -101,7 +102,7 @@ def test_wide_vocabulary_goes_through_a_table(spark, monkeypatch):
     df = refined(spark).withColumn("industry_primary", F.concat(F.lit("w"), F.col("row_key")))
     spec = FeatureSpec(widest_vocabulary=10)
     for bound in (100_000, 0):
-        monkeypatch.setattr(features, "INDEX_TABLE_BROADCAST_ROWS", bound)
+        monkeypatch.setattr(session, "BROADCAST_ROWS", bound)
         table, params = features.build_features(df, spec)
         assert params.wide == ("industry_primary",)
         codes = {r["row_key"]: r["industry_primary_code"] for r in table.collect()}

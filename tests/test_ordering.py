@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lamina import session
 from lamina.operators import ordering
 
 
@@ -20,7 +21,7 @@ def test_ordinal_of_nothing_and_of_one(spark):
 
 @pytest.mark.parametrize("bound, window_rows", [(200_000, 100), (0, 100), (0, 5000)])
 def test_rank_in_a_huge_group(spark, monkeypatch, bound, window_rows):
-    monkeypatch.setattr(ordering, "BROADCAST_RUNS", bound)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", bound)
     group = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("g"), F.col("id") % 50))
     df = spark.range(4000).select("id", group.alias("g"), (F.col("id") * 31 % 101).alias("v"))
     got = ordering.rank_within_group(df, "g", [F.desc("v"), F.asc("id")], "r", window_rows)
