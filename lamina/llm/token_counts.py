@@ -26,7 +26,7 @@ from lamina.llm.common import batches_by_bytes, text_slices, texts_of
 WHITE_SPACE = "\t-\r \x85\xa0  -     　"
 PIECE = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 48
 
 
