@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import sentencepiece_codec, simhash_cover, token_counts
+from lamina.llm import quality_rules, sentencepiece_codec, simhash_cover, token_counts
 from lamina.llm.common import table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -31,6 +31,12 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality_rules.apply_rules(table(spark, folder, "documents").select("doc_id", "text"))
+    measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return rows.select("doc_id", *measures, "base_failed", "kept")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash_cover.near_duplicates(table(spark, folder, "documents"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -39,7 +45,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op4_token_counts": op4_token_counts,
+    "op7_quality_rules": op7_quality_rules,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_quality_rules": quality_rules.oracle(),
+}

@@ -154,16 +154,12 @@ class Normalizer:
     def _mapped(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bytes after the map; the source start of each; the source end of the replaced part each belongs to."""
         plain = np.frombuffer(text, np.uint8)
-        lead = (plain & 0xC0) != 0x80
-        # Bytes of one character all point at its first byte.
-        starts = np.flatnonzero(lead)[np.cumsum(lead) - 1] if len(plain) else np.zeros(0, np.int64)
-        ends = np.append(np.flatnonzero(lead)[1:], len(plain))[np.cumsum(lead) - 1] if len(plain) else starts
+        starts = np.arange(len(plain))
+        ends = starts + 1
         if self.finder is None:
             return plain, starts, ends
         parts, begin, until, last = [], [], [], 0
         for match in self.finder.finditer(text):
-            if not lead[match.start()]:
-                continue
             to = np.frombuffer(self.rules[match.group()], np.uint8)
             parts += [plain[last : match.start()], to]
             begin += [starts[last : match.start()], np.full(len(to), match.start(), np.int64)]
@@ -184,7 +180,7 @@ class Normalizer:
             blank = data == 32
             held = np.flatnonzero(~blank)
             if not len(held):
-                return Aligned(b"", np.array([len(raw)], np.int64) if len(data) else np.zeros(1, np.int64))
+                return Aligned(b"", np.zeros(1, np.int64))
             lead_from = int(ends[held[0] - 1]) if held[0] else 0
             tail_at = int(starts[held[-1] + 1]) if held[-1] + 1 < len(data) else len(raw)
             stay = ~(blank & np.append(True, blank[:-1]))
@@ -202,6 +198,33 @@ class Normalizer:
             out, source = out + mark, np.append(source, np.full(len(mark), tail_at, np.int64))
         return Aligned(out, np.append(source, tail_at))
 
+    @property
+    def only_spaces(self) -> bool:
+        """True if all that normalisation does is to escape spaces and put one before the text."""
+        spec = self.spec
+        return not self.rules and spec.escape_spaces and spec.dummy_prefix and not (spec.trim_spaces or spec.space_as_suffix)
+
+    def project(self, text: str, cuts: np.ndarray) -> np.ndarray:
+        """Source byte of each place in the normalised bytes; raises unless the last place is their end."""
+        if not self.only_spaces or not text:
+            aligned = self.align(text)
+            size, found = len(aligned.data), aligned.source
+        else:
+            # The same record, kept at the spaces only: each moves what follows it.
+            data = text.encode()
+            blanks = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
+            wide, more = len(SPACE_MARK), len(SPACE_MARK) - 1
+            size = wide + len(data) + more * len(blanks)
+            if cuts[-1] == size:
+                ends = blanks + 2 * wide + more * np.arange(len(blanks))
+                before = np.searchsorted(ends, cuts, "right")
+                following = np.append(blanks, len(data))[before]
+                return np.clip(cuts - wide - more * before, 0, following)
+            found = None
+        if cuts[-1] != size:
+            raise ValueError(f"pieces cover {cuts[-1]} of {size} normalised bytes")
+        return found[cuts]
+
 
 # ---- encoding and decoding ---------------------------------------------------
 
@@ -215,8 +238,17 @@ class Encoded:
     ends: np.ndarray
 
 
+WORD = re.compile(" +[^ ]+(?: +\\Z)?| +")
+REMEMBERED = 300_000
+LONGEST_REMEMBERED = 40
+
+
 class Codec:
-    """A model with its normaliser, its piece lengths and an optional end id."""
+    """A model with its normaliser, its piece lengths and an optional end id.
+
+    If no piece of the vocabulary goes on over a space, merges never cross one:
+    words are encoded one by one, and a bounded number of them is remembered.
+    """
 
     def __init__(self, model_file: str, add_end: bool = True) -> None:
         import sentencepiece
@@ -224,26 +256,42 @@ class Codec:
         with open(model_file, "rb") as file:
             model = file.read()
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.add_end = add_end
         self.normalizer = Normalizer(read_spec(model))
-        sizes = []
-        for i in range(self.model.get_piece_size()):
-            silent = self.model.is_control(i)
-            sizes.append(0 if silent else 1 if self.model.is_byte(i) else len(self.model.id_to_piece(i).encode()))
+        self.end = np.array([self.model.eos_id()] if add_end else [], np.int32)
+        pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        crossing = any("▁" in piece.lstrip("▁") for piece in pieces)
+        sizes = [
+            0 if self.model.is_control(i) else 1 if self.model.is_byte(i) else len(piece.encode())
+            for i, piece in enumerate(pieces)
+        ]
         self.sizes = np.array(sizes, np.int64)
         self.unknown = self.model.unk_id()
+        self.by_word = not crossing and self.normalizer.only_spaces
+        self.known: dict[str, bytes] = {}
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_word:
+            found = self.model.encode(texts, num_threads=1, add_bos=False, add_eos=False)
+            return [np.append(np.array(one, np.int32), self.end) for one in found]
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known = self.known
+        passing: dict[str, bytes] = {}
+        split = [_words(text) for text in texts]
+        fresh = list(dict.fromkeys(word for words in split for word in words if word not in known))
+        for word, found in zip(fresh, self.model.encode(fresh, num_threads=1) if fresh else ()):
+            (known if len(word) <= LONGEST_REMEMBERED else passing)[word] = struct.pack(f"<{len(found)}i", *found)
+        look = (known | passing if passing else known).__getitem__
+        return [np.append(np.frombuffer(b"".join(map(look, words)), "<i4"), self.end) for words in split]
 
     def spans(self, text: str, ids: np.ndarray) -> Encoded:
         """Projects the pieces to byte spans of ``text``."""
-        aligned = self.normalizer.align(text)
         sizes = self.sizes[ids]
-        if self.unknown in ids:
-            sizes = self._unknown_sizes(aligned.data, ids, sizes)
-        cuts = np.cumsum(sizes)
-        total = int(cuts[-1]) if len(cuts) else 0
-        if total != len(aligned.data):
-            raise ValueError(f"pieces cover {total} of {len(aligned.data)} normalised bytes")
-        return Encoded(ids, aligned.source[cuts - sizes], aligned.source[cuts])
+        if (ids == self.unknown).any():
+            sizes = self._unknown_sizes(self.normalizer.align(text).data, ids, sizes)
+        cuts = np.cumsum(np.append(0, sizes))
+        at = self.normalizer.project(text, cuts)
+        return Encoded(ids, at[:-1], at[1:])
 
     def _unknown_sizes(self, data: bytes, ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """An unknown piece covers what stands before the next known one."""
@@ -257,13 +305,25 @@ class Codec:
         return sizes
 
     def encode(self, texts: list[str]) -> list[Encoded]:
-        found = self.model.encode(texts, num_threads=1, add_bos=False, add_eos=self.add_end)
-        return [self.spans(text, np.array(ids, np.int64)) for text, ids in zip(texts, found)]
+        return [self.spans(text, ids) for text, ids in zip(texts, self.ids(texts))]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.model.decode(ids, num_threads=1) if ids else []
 
 
+def _words(text: str) -> list[str]:
+    """The text cut at each space that follows something else, without that space.
+
+    The model puts a space before whatever it encodes, which stands for the one cut off.
+    A text that holds the space mark itself is one word, as marks merge with each other.
+    """
+    if "▁" in text:
+        return [text]
+    if "  " not in text and text[:1] != " " and text[-1:] not in (" ", ""):
+        return text.split(" ")
+    return [word[1:] for word in WORD.findall(" " + text)] if text else []
+
+
 _codecs: dict[tuple[str, bool], Codec] = {}
 
 
