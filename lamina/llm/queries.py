@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import quality_rules, sentencepiece_codec, simhash_cover, token_counts
-from lamina.llm.common import table
+from lamina.llm import quality_gam, quality_rules, sentencepiece_codec, simhash_cover, token_counts, toxicity_cnn
+from lamina.llm.common import fold, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_PAIRS = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,11 +26,25 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality_gam.train(docs, table(spark, folder, "labels"), fold(5, 0))
+    rows = quality_gam.score_quality(docs, model)
+    return rows.select("doc_id", fold(5, 0).alias("held_out"), "score", "predicted")
+
+
 def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     rows = token_counts.count_tokens(table(spark, folder, "documents"), BYTE_PAIRS)
     return rows.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    detector = toxicity_cnn.train(docs, table(spark, folder, "labels"), fold(4, 2))
+    rows = toxicity_cnn.score_toxicity(docs, detector)
+    return rows.select("doc_id", fold(4, 2).alias("held_out"), "score", "predicted", "flagged")
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality_rules.apply_rules(table(spark, folder, "documents").select("doc_id", "text"))
     measures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -44,7 +58,9 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
+    "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op10_simhash": op10_simhash,
 }
