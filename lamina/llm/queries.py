@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import quality_gam, quality_rules, sentencepiece_codec, simhash_cover, token_counts, toxicity_cnn
+from lamina.llm import (
+    license_join,
+    mixing,
+    pii_disclosure,
+    quality_gam,
+    quality_rules,
+    sentencepiece_codec,
+    simhash_cover,
+    token_counts,
+    toxicity_cnn,
+)
 from lamina.llm.common import fold, table
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -26,6 +36,12 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    rows = license_join.scan(table(spark, folder, "documents"))
+    joined = {name: F.array_join(name, ",") for name in ("base_labels", "labels")}
+    return rows.withColumns(joined).drop("text_key")
+
+
 def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = quality_gam.train(docs, table(spark, folder, "labels"), fold(5, 0))
@@ -38,6 +54,21 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    rows = pii_disclosure.detect(table(spark, folder, "documents"))
+    counts = [
+        F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{pattern.kind}")
+        for i, pattern in enumerate(pii_disclosure.PATTERNS)
+    ]
+    listed = pii_disclosure.listed
+    return rows.select(
+        "doc_id",
+        *counts,
+        F.sha2(listed(F.col("spans")), 256).alias("base_sha256"),
+        listed(F.col("spans"), F.col("added")).alias("spans"),
+    )
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     detector = toxicity_cnn.train(docs, table(spark, folder, "labels"), fold(4, 2))
@@ -51,6 +82,12 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", *measures, "base_failed", "kept")
 
 
+def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.measured(table(spark, folder, "documents"))
+    mixed = mixing.taken(rows, mixing.thresholds(rows.select("source", "size", "place")))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash_cover.near_duplicates(table(spark, folder, "documents"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -58,13 +95,17 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_licenses": op2_licenses,
     "op3_quality": op3_quality,
     "op4_token_counts": op4_token_counts,
+    "op5_pii": op5_pii,
     "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
+    "op8_mixing": op8_mixing,
     "op10_simhash": op10_simhash,
 }
 
 ORACLES: dict[str, str] = {
+    "op2_licenses": license_join.oracle(),
     "op7_quality_rules": quality_rules.oracle(),
 }
