@@ -25,9 +25,11 @@ STOP_WORDS = (
     "als auf das dem den der die ein eine für im ist mit nicht sich sie und von zu "
     "al con del el es las los no para por se su una y"
 ).split()
+WRITTEN = sorted({form for word in STOP_WORDS for form in (word, word.capitalize())})
 SYMBOLS = "#*$%&|<>"
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 3
+PLACE_BITS = 28
 
 
 @dataclass(frozen=True)
@@ -67,27 +69,41 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     lines = F.filter(F.split(body, "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != "")
     first = docs.select(*rest, body.alias("_text"), words.alias("_words"), lines.alias("_lines"))
 
-    def window(i: Column) -> Column:
-        one = F.concat_ws(" ", *[F.get("_words", i + k) for k in range(WINDOW)])
-        return F.struct(F.xxhash64(one).alias("h"), one.alias("w"), i.alias("i"))
+    def code(i: Column) -> Column:
+        """A window's hash in the upper bits and its place in the lower ones, so that one sort of numbers groups windows."""
+        hashed = F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW)])
+        return hashed.bitwiseAND(-1 << PLACE_BITS).bitwiseOR(i.cast("long"))
 
     starts = F.sequence(F.lit(0), F.size("_words") - WINDOW)
-    windows = F.when(F.size("_words") >= WINDOW, F.array_sort(F.transform(starts, window)))
-    second = first.withColumn("_windows", windows)
+    codes = F.when(F.size("_words") >= WINDOW, F.sort_array(F.transform(starts, code)))
+    second = first.withColumn("_codes", codes)
+
+    def like(x: Column, k: Column) -> Column:
+        return F.coalesce(F.shiftright(x, PLACE_BITS) == F.shiftright(F.get("_codes", k), PLACE_BITS), F.lit(False))
+
+    # Most texts have no two windows with one hash; in the others those windows are compared word by word.
+    some = F.exists(F.transform("_codes", lambda x, k: like(x, k + 1)), lambda same: same)
+    near = F.when(some, F.filter("_codes", lambda x, k: like(x, k - 1) | like(x, k + 1)))
+
+    def window(x: Column) -> Column:
+        i = x.bitwiseAND((1 << PLACE_BITS) - 1).cast("int")
+        return F.struct(F.concat_ws(" ", *[F.get("_words", i + k) for k in range(WINDOW)]).alias("w"), i.alias("i"))
+
+    second = second.withColumn("_near", near).withColumn("_windows", F.array_sort(F.transform("_near", window)))
 
     def twice(x: Column, k: Column) -> Column:
-        beside = [F.get("_windows", k + step) for step in (-1, 1)]
-        return F.coalesce(beside[0]["w"] == x["w"], F.lit(False)) | F.coalesce(beside[1]["w"] == x["w"], F.lit(False))
+        beside = [F.get("_windows", k + step)["w"] == x["w"] for step in (-1, 1)]
+        return F.coalesce(beside[0], F.lit(False)) | F.coalesce(beside[1], F.lit(False))
 
     found = F.transform(F.filter("_windows", twice), lambda x: x["i"])
-    third = second.withColumn("_starts", F.array_sort(F.coalesce(found, F.array().cast("array<int>"))))
+    third = second.withColumn("_starts", F.sort_array(F.coalesce(found, F.array().cast("array<int>"))))
 
     def covered(i: Column, k: Column) -> Column:
         """Words a window adds to those of the one before it."""
         return F.least(F.lit(WINDOW), F.coalesce(i - F.get("_starts", k - 1), F.lit(WINDOW)))
 
     total = F.aggregate(F.transform("_starts", covered), F.lit(0), lambda a, x: a + x)
-    stop = F.filter("_words", lambda w: F.lower(w).isin(STOP_WORDS))
+    stop = F.filter("_words", lambda w: w.isin(WRITTEN))
     values = {
         "n_words": F.size("_words"),
         "word_chars": F.length(F.array_join("_words", "")),
@@ -134,7 +150,7 @@ def rules_sql(rules: tuple[Rule, ...] = RULES) -> str:
 
 def oracle(rules: tuple[Rule, ...] = RULES) -> str:
     """The query op7 in DuckDB's SQL."""
-    stop = ", ".join(f"'{word}'" for word in STOP_WORDS)
+    stop = ", ".join(f"'{word}'" for word in WRITTEN)
     base = " AND ".join(f"({rules_sql((rule,))})" for rule in rules if rule.required)
     return f"""
 WITH d AS (
@@ -154,7 +170,7 @@ WITH d AS (
          coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
          length(regexp_replace(t, '[^!]', '', 'g'))::BIGINT AS n_bangs,
-         len(list_filter(w, lambda x: lower(x) IN ({stop})))::BIGINT AS n_stop_words,
+         len(list_filter(w, lambda x: x IN ({stop})))::BIGINT AS n_stop_words,
          len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
          coalesce(covered.n, 0)::BIGINT AS n_repeat_words
   FROM d LEFT JOIN covered USING (r)
