@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import (
+    embedding_graph,
     license_join,
     mixing,
     pii_disclosure,
@@ -88,6 +89,10 @@ def op8_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
 
 
+def op9_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_graph.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     rows = simhash_cover.near_duplicates(table(spark, folder, "documents"))
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_embeddings": op9_embeddings,
     "op10_simhash": op10_simhash,
 }
 
