@@ -44,9 +44,9 @@ class Settings:
     overlap: int = 3  # clusters a vector is in at most
     margin: float = 0.15  # cosine by which a further cluster's centroid may be farther
     sample: int = 20_000  # vectors the centroids are fitted on
-    candidates: int = 48
-    degree: int = 20
-    alpha: float = 1.2
+    candidates: int = 32
+    degree: int = 24
+    alpha: float = 2.2  # on cosine distance: the square of a factor on lengths
     beam: int = 20
     medoids: int = 24
     slack: float = 0.1  # range search expands what is this much below the radius
@@ -57,38 +57,57 @@ class Settings:
 # ---- inside a shard --------------------------------------------------------------
 
 
-def build_graph(x: np.ndarray, s: Settings, seed: int = 1) -> np.ndarray:
-    """Neighbour rows (-1: none) of a robust-pruned graph over unit vectors."""
+def build_graph(x: np.ndarray, s: Settings) -> np.ndarray:
+    """Neighbour rows (-1: none) of a robust-pruned graph over unit vectors, both ways.
+
+    Candidates are the nearest vectors and, by ranks that grow geometrically, ever
+    farther ones; each kind has half of the places, so that a tight group of many
+    vectors still has links that lead out of it and, backwards, into it.
+    """
     n = len(x)
     wide = min(n - 1, s.candidates)
     out = np.full((n, s.degree), -1, np.int64)
     if wide < 1:
         return out
-    rng = np.random.default_rng(seed)
-    far = min(8, n)
+    steps = np.geomspace(wide, n - 1, s.candidates // 2).astype(int)
+    ranks = np.unique(np.concatenate([np.arange(wide), np.minimum(steps, n - 2)]))
+    near_places = ranks < wide
     for start in range(0, n, 256):
         rows = np.arange(start, min(n, start + 256))
         sims = x[rows] @ x.T
         sims[np.arange(len(rows)), rows] = -2
-        near = np.argpartition(-sims, wide - 1, axis=1)[:, :wide]
-        near = np.concatenate([near, rng.integers(0, n, (len(rows), far))], axis=1)
-        to = np.take_along_axis(sims, near, 1)
-        order = np.argsort(-to, axis=1, kind="stable")
-        near, to = np.take_along_axis(near, order, 1), np.take_along_axis(to, order, 1)
+        near = np.argsort(-sims, axis=1)[:, ranks]
+        dist = 1 - np.take_along_axis(sims, near, 1)
         vectors = x[near]
-        between = 1 - np.einsum("bcd,bed->bce", vectors, vectors, optimize=True)
-        dist = 1 - to
-        open_ = to > -2
+        between = 1 - np.matmul(vectors, vectors.transpose(0, 2, 1))
         each = np.arange(len(rows))
+        open_ = np.ones(near.shape, bool)
         for place in range(s.degree):
-            pick = np.argmax(open_, axis=1)
-            some = open_[each, pick]
-            if not some.any():
-                break
+            kind = near_places if place < s.degree // 2 or near_places.all() else ~near_places
+            allowed = open_ & kind
+            pick = np.argmax(allowed, axis=1)
+            some = allowed[each, pick]
             out[rows[some], place] = near[each, pick][some]
-            covered = s.alpha * between[each, pick] <= dist
-            open_ &= ~covered
-            open_[each, pick] = False
+            # Distances below single precision cover nothing, else near-equal vectors would lose their links.
+            open_[some] &= ~(s.alpha * between[each, pick] + 1e-5 <= dist)[some]
+            open_[each[some], pick[some]] = False
+    return np.concatenate([out, _reversed(out)], axis=1)
+
+
+def _reversed(graph: np.ndarray) -> np.ndarray:
+    """For each row up to as many rows that list it as a list has places; those that list it early come first.
+
+    A few vectors of a group are near to all others; without that order the rows
+    that find room with none of them could not be reached.
+    """
+    source, place = np.nonzero(graph >= 0)
+    target = graph[source, place]
+    order = np.lexsort((place, target))
+    source, target = source[order], target[order]
+    turn = np.arange(len(target)) - np.searchsorted(target, target)
+    fits = turn < graph.shape[1]
+    out = np.full(graph.shape, -1, np.int64)
+    out[target[fits], turn[fits]] = source[fits]
     return out
 
 
@@ -112,7 +131,9 @@ def range_search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, starts:
     first = np.argsort(-sims, axis=1)[:, : s.beam]
     beam, score = starts[first], np.take_along_axis(sims, first, 1)
     seen[each, beam] = score
-    done = np.zeros(beam.shape, bool)
+    spare = ((0, 0), (0, max(0, s.beam - beam.shape[1])))
+    beam, score = np.pad(beam, spare), np.pad(score, spare, constant_values=-3)
+    done = score <= -3
     while True:
         best = np.argmax(np.where(done, -3, score), axis=1)
         active = ~done[each[:, 0], best]
