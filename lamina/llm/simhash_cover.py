@@ -221,3 +221,20 @@ def near_duplicates(
     least = grouped.groupBy("root").agg(F.min("_least").alias("component_id"))
     named = grouped.join(least, "root").select("fp", "component_id")
     return rows.join(named, "fp").select(*columns, "fp", "component_id")
+
+
+def representatives(docs: DataFrame, text: str = "text", id: str = "doc_id", radius: int = 3) -> DataFrame:
+    """The rows of ``docs`` of which one stays for each component: its smallest id, NULL ids last.
+
+    Rows that share id and text are one. The texts are shuffled once, by what
+    identifies a row; rows repeated there are then dropped without another shuffle.
+    """
+    key = F.xxhash64(text)
+    rows = near_duplicates(docs.withColumn("_key", key), text, id, radius, keep=("_key",))
+    order = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), F.col("_key").alias("key"))
+    # The component's rows share the class of fingerprints; a NULL component is told by its fingerprint.
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
+    chosen = rows.groupBy(group).agg(F.min(order).alias("o")).select("o.id", "o.key")
+    chosen = chosen.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"), F.col("key").alias("_k")).distinct()
+    named = docs.withColumns({"_id": F.coalesce(F.col(id).cast("string"), F.lit("")), "_k": key})
+    return named.join(chosen, ["_id", "_k"], "left_semi").dropDuplicates(["_id", "_k"]).select(*[f"`{c}`" for c in docs.columns])
