@@ -69,17 +69,29 @@ def majority_bits(hashes: np.ndarray, step: int = 1 << 15) -> int:
     return int((np.uint64(1) << np.flatnonzero(2 * votes > len(hashes)).astype(np.uint64)).sum(dtype=np.uint64))
 
 
+def fingerprint(text: str, words_each: int, distinct: bool) -> int:
+    hashes = shingle_hashes(text, words_each)
+    return majority_bits(np.unique(hashes) if distinct else hashes)
+
+
 def fingerprints(
-    docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), words_each: int = 3
+    docs: DataFrame,
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id",),
+    words_each: int = 3,
+    distinct: bool = False,
 ) -> DataFrame:
-    """``keep`` and the 64-bit fingerprint (as a signed long) of each row; no shuffle."""
+    """``keep`` and the 64-bit fingerprint (as a signed long) of each row; no shuffle.
+
+    With ``distinct``, a shingle that repeats in a text counts once.
+    """
     kinds = dict(docs.dtypes)
     names = [f"k{i}" for i in range(len(keep))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "_text"):
-                prints = [majority_bits(shingle_hashes(one, words_each)) for one in texts_of(part, "_text")]
+                prints = [fingerprint(one, words_each, distinct) for one in texts_of(part, "_text")]
                 column = pa.array(np.array(prints, np.uint64).view(np.int64))
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], column], [*names, "fp"])
 
@@ -209,10 +221,11 @@ def near_duplicates(
     words_each: int = 3,
     widest: int = WIDEST,
     keep: tuple[str, ...] = (),
+    distinct: bool = False,
 ) -> DataFrame:
     """``id``, ``keep``, fp and component_id: smallest id reachable by links of at most ``radius`` bits."""
     columns = tuple(dict.fromkeys((id, *keep)))
-    rows = cut_lineage(fingerprints(docs, text, columns, words_each))
+    rows = cut_lineage(fingerprints(docs, text, columns, words_each, distinct))
     classes = rows.groupBy("fp").agg(F.min(id).alias("_least"))
     found = connected_components(links(classes.select("fp"), radius, widest), "a", "b")
     grouped = classes.join(found.select(F.col("node").alias("fp"), "root"), "fp", "left").select(
@@ -223,14 +236,19 @@ def near_duplicates(
     return rows.join(named, "fp").select(*columns, "fp", "component_id")
 
 
-def representatives(docs: DataFrame, text: str = "text", id: str = "doc_id", radius: int = 3) -> DataFrame:
+def representatives(
+    docs: DataFrame, text: str = "text", id: str = "doc_id", radius: int = 6, words_each: int = 1, distinct: bool = True
+) -> DataFrame:
     """The rows of ``docs`` of which one stays for each component: its smallest id, NULL ids last.
 
+    The defaults find texts that share 0.8 or more of their five-word shingles: a
+    word that is changed changes one shingle of one word but five of five, so such
+    texts are within six bits over their distinct words, where unrelated ones are not.
     Rows that share id and text are one. The texts are shuffled once, by what
     identifies a row; rows repeated there are then dropped without another shuffle.
     """
     key = F.xxhash64(text)
-    rows = near_duplicates(docs.withColumn("_key", key), text, id, radius, keep=("_key",))
+    rows = near_duplicates(docs.withColumn("_key", key), text, id, radius, words_each, keep=("_key",), distinct=distinct)
     order = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), F.col("_key").alias("key"))
     # The component's rows share the class of fingerprints; a NULL component is told by its fingerprint.
     group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
