@@ -1,12 +1,12 @@
 """SimHash near-duplicates with covering locality-sensitive hashing.
 
 A fingerprint bit is set if it is set in over half of the hashes of the text's
-three-word shingles. Each of the 64 bits is given a nonzero vector of r + 1 bits;
-each nonzero vector v of that length is a mask of the bits whose vector has an odd
+three-word shingles. Each of the 64 bits is given a vector of r + 1 bits; each
+nonzero vector v of that length is a mask of the bits whose vector has an odd
 product with v. Two fingerprints that differ in at most r bits give at most r
 vectors, so some v has an even product with all of them: under its mask the two
 are equal. Every pair within the radius therefore meets in one of the
-2^(r+1) - 1 tables.
+2^(r+1) - 2 tables, whose masks have half of the bits each.
 
 Buckets hold distinct fingerprints. Of two, the pair is tested in the grouped
 aggregate; larger ones are compared in a task in blocks, which returns the edges
@@ -106,12 +106,19 @@ def fingerprints(
 def covering_masks(open_bits: list[int], radius: int) -> list[int]:
     """Masks over ``open_bits``: any ``radius`` of these bits are all outside of some mask.
 
-    Vectors are dealt in turn, so the masks are of almost equal width.
+    The bits' vectors end in a one, so a mask has half of the bits if they are dealt
+    evenly; zero and the unit vectors come first, so no mask is empty even if the
+    bits are few. The vector that stands for that one alone would demand equality
+    of all bits and is left out.
     """
-    vectors = (1 << radius + 1) - 1
-    given = {bit: 1 + place % vectors for place, bit in enumerate(open_bits)}
+    top = 1 << radius
+    units = [1 << i for i in range(radius)]
+    order = [0, *units, *(x for x in range(1, top) if x not in units)]
+    given = {bit: top | order[place % top] for place, bit in enumerate(open_bits)}
     return [
-        sum(1 << bit for bit, vector in given.items() if (vector & v).bit_count() & 1) for v in range(1, vectors + 1)
+        sum(1 << bit for bit, vector in given.items() if (vector & v).bit_count() & 1)
+        for v in range(1, 2 * top)
+        if v != top
     ]
 
 
