@@ -48,6 +48,8 @@ TYPED_COLUMNS = (
     "confidence_tier",
 )
 
+FLAG_COLUMNS = ("is_public_company", "incident_date_estimated")
+
 MODEL_COLUMNS = (
     "company_revenue_usd",
     "employee_count",
@@ -79,6 +81,7 @@ class RefineSpec:
     filled: tuple[str, ...] = FILLED_CATEGORIES
     fill_value: str = UNKNOWN
     typed: tuple[str, ...] = TYPED_COLUMNS
+    flags: tuple[str, ...] = FLAG_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -98,4 +101,5 @@ class FeatureSpec:
     z_limit: float = 3.0
     quantile_rule: str = "linear"
     ddof: int = 0
-    widest_vocabulary: int = 512
+    widest_vocabulary: int = 512  # categories a nominal column may have; fit refuses more
+    indexed: tuple[str, ...] = ()  # text columns of any width that get one code column

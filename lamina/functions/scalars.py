@@ -15,20 +15,20 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-# Text that can start a number. A failed cast costs an exception per row, so
-# words are turned away before the cast; the cast decides on the rest.
-NUMBER_START = r"^[\x00-\x20]*[-+]?([0-9.]|[iI][nN][fF])"
+# The whole of a decimal number. A failed cast costs an exception per row, and
+# the cast alone would also take type suffixes and words for what is not finite.
+NUMBER = r"^[\x00-\x20]*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?[\x00-\x20]*$"
 
 
 def parse_double(text: Column) -> Column:
-    """Number from text; malformed text and NaN become NULL, never an error."""
-    return F.when(text.rlike(NUMBER_START), text.try_cast("double"))
+    """Finite number from text; anything else becomes NULL, never an error."""
+    return present_double(F.when(text.rlike(NUMBER), text.try_cast("double")))
 
 
 def present_double(number: Column) -> Column:
-    """Number as double with NaN counted as missing."""
+    """Number as double with NaN and infinite values counted as missing."""
     value = number.cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), value)
 
 
 def number_of(df: DataFrame, name: str) -> Column:
@@ -38,6 +38,12 @@ def number_of(df: DataFrame, name: str) -> Column:
     return present_double(col(name))
 
 
+def flag_of(text: Column) -> Column:
+    """Boolean from the words true and false in any case; other text becomes NULL."""
+    word = F.lower(F.trim(text))
+    return F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))
+
+
 def is_rejected(text: Column) -> Column:
     """True where a present text cannot be read as a number."""
     return text.isNotNull() & parse_double(text).isNull()

@@ -110,6 +110,12 @@ def best_model(metrics: DataFrame) -> DataFrame:
     return metrics.agg(best.alias("best_model"), F.max("f1").alias("f1"))
 
 
+def _numbered(test: DataFrame, key: str, names: Sequence[str]) -> DataFrame:
+    if "id" in test.columns and key != "id":
+        return test
+    return with_ordinal(test.select(col(key), *[col(n) for n in names]), [F.asc(key)], "id")
+
+
 def prediction_table(
     test: DataFrame,
     key: str,
@@ -119,10 +125,11 @@ def prediction_table(
     target: str = domain.TARGET,
     digits: int = 2,
 ) -> DataFrame:
-    """Predictions in words, numbered 0.. in key order, with the threshold."""
-    numbered = with_ordinal(
-        test.select(col(key), col(real), col(predicted), col(target)), [F.asc(key)], "id"
-    )
+    """Predictions in words, numbered 0.. in key order, with the threshold.
+
+    Rows that have an ``id`` are numbered already.
+    """
+    numbered = _numbered(test, key, [real, predicted, target])
     return numbered.select(
         "id",
         impact_word(col(real)).alias("real"),
@@ -147,9 +154,7 @@ def side_by_side(
 
     Both predictions are columns of one frame already, so no join is needed.
     """
-    numbered = with_ordinal(
-        test.select(col(key), col(real), col(first), col(second), col(target)), [F.asc(key)], "id"
-    )
+    numbered = _numbered(test, key, [real, first, second, target])
 
     def label(name: str) -> Column:
         return impact_word(col(name)) if words else col(name).cast("int")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions.scalars import col, finite_or_zero
-from lamina.operators.ordering import top_k, with_ordinal
+from lamina.operators.ordering import rank_within_group, top_k, with_ordinal
 from lamina.operators.selection import quantiles, upper_fence, usable
 from lamina.sources.layers import register_view
 
@@ -74,6 +74,13 @@ def ranked_in_group(
     return df.withColumn(name, F.row_number().over(window))
 
 
+def ranked_rows(
+    df: DataFrame, group: str, measure: str, key: str, name: str = "rank_in_industry"
+) -> DataFrame:
+    """The same ranks for every row, also of groups too large for one task."""
+    return rank_within_group(df, group, _best_first(measure, key), name)
+
+
 def top_per_group(
     df: DataFrame,
     group: str,
@@ -99,7 +106,7 @@ def best_per_group_tally(
     grouped count, joined on the group.
     """
     if view:
-        register_view(ranked_in_group(df, group, measure, key), view)
+        register_view(ranked_rows(df, group, measure, key), view)
     sizes = df.groupBy(col(group)).agg(F.count("*").alias("total_incidentes"))
     best = (
         ranked_in_group(df, group, measure, key, "_rank")

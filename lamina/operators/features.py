@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -35,7 +36,7 @@ class FitParams:
     """Everything learned from the train rows; a handful of numbers and words."""
 
     vocabulary: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
-    wide: tuple[str, ...] = ()
+    indexes: Mapping[str, DataFrame] = field(default_factory=dict)  # tables (word, code)
     medians: Mapping[str, float | None] = field(default_factory=dict)
     means: Mapping[str, float | None] = field(default_factory=dict)
     deviations: Mapping[str, float | None] = field(default_factory=dict)
@@ -50,13 +51,15 @@ def dummy_name(column: str, category: str) -> str:
 
 
 def dummy_names(column: str, vocabulary: Sequence[str], taken: set[str]) -> list[str]:
-    """One name per category; names that fall together get a running number."""
+    """One name per category; names that fall together, also but for case, get a running number."""
     names = []
+    used = {name.lower() for name in taken}
     for category in vocabulary:
         base = name = dummy_name(column, category)
         n = 2
-        while name in taken:
+        while name.lower() in used:
             name, n = f"{base}_{n}", n + 1
+        used.add(name.lower())
         taken.add(name)
         names.append(name)
     return names
@@ -67,9 +70,9 @@ def vocabularies(
 ) -> tuple[dict[str, tuple[str, ...]], tuple[str, ...]]:
     """Sorted categories per column, and the columns with too many of them.
 
-    Categories are found by a distributed distinct and at most ``widest`` per
-    column (plus one to notice more) reach the driver. A wider column gets no dummy columns; it is
-    encoded through an index table instead (``encode_wide``).
+    Categories are found by a distributed distinct, and at most ``widest`` per
+    column (plus one to notice more) reach the driver. What a column with more
+    of them gets is the caller's choice.
     """
     present = [n for n in nominal if n in train.columns]
     if not present:
@@ -137,7 +140,12 @@ def fit(train: DataFrame, spec: FeatureSpec | None = None, **limits: int) -> Fit
     for n in capped:
         wanted[n] = wanted.get(n, []) + [0.25, 0.75]
     at = quantiles(numbers, wanted, spec.quantile_rule, sizes, **limits) if wanted else {}
-    vocabulary, wide = vocabularies(train, spec.nominal, spec.widest_vocabulary)
+    nominal = [n for n in spec.nominal if n not in spec.indexed]
+    vocabulary, wide = vocabularies(train, nominal, spec.widest_vocabulary)
+    if wide:
+        raise ValueError(
+            f"{', '.join(wide)}: more than {spec.widest_vocabulary} categories; name such columns in indexed"
+        )
 
     z_low = z_high = None
     for n in clipped:
@@ -146,7 +154,7 @@ def fit(train: DataFrame, spec: FeatureSpec | None = None, **limits: int) -> Fit
             z_low, z_high = mean - spec.z_limit * std, mean + spec.z_limit * std
     return FitParams(
         vocabulary=vocabulary,
-        wide=wide,
+        indexes={n: word_index(train, n) for n in spec.indexed if n in present},
         medians={n: at[n][0.5] for n in imputed},
         means={n: row[f"mean_{n}"] for n in scaled},
         deviations={n: row[f"std_{n}"] for n in scaled},
@@ -161,6 +169,8 @@ def fit(train: DataFrame, spec: FeatureSpec | None = None, **limits: int) -> Fit
 def transform(df: DataFrame, params: FitParams, spec: FeatureSpec | None = None) -> DataFrame:
     """Apply learned parameters: two narrow projections, no action, no shuffle.
 
+    Columns with an index table are looked up in it and give ``{column}_code``;
+    with or without them, any frame gets the columns that the stored layer has.
     Order of effect: ordinal codes, dummies, median fill, scaling of the
     filled (not yet clipped) values, fence cap, z clip.
     """
@@ -200,7 +210,11 @@ def transform(df: DataFrame, params: FitParams, spec: FeatureSpec | None = None)
         if name in taken:
             score = standardised(col(name), params.means[name], params.deviations[name])
             columns.append(score.alias(f"{name}_scaled"))
-    return ready.select(*columns)
+    done = ready.select(*columns)
+    for name, index in params.indexes.items():
+        if name in taken:
+            done = look_up(done, index, name, spec.row_key, f"{name}_code")
+    return done
 
 
 def build_features(
@@ -216,10 +230,7 @@ def build_features(
     parts = with_ordered_split(kept, spec.row_key, spec.train_fraction, **limits)
     train = parts.filter(F.col("split") == "train")
     params = fit(train, spec, **limits)
-    features = transform(parts, params, spec)
-    for name in params.wide:
-        features = encode_wide(features, train, name, spec.row_key, f"{name}_code")
-    return features, params
+    return transform(parts, params, spec), params
 
 
 def stack_parts(
@@ -237,38 +248,50 @@ PARAMS_SCHEMA = "kind string, column_name string, position int, word string, num
 
 
 def params_table(spark: SparkSession, params: FitParams) -> DataFrame:
-    """Learned parameters as rows (kind, column, position, word, number)."""
+    """Learned parameters as rows (kind, column, position, word, number).
+
+    Index tables may be large: their rows are appended by Spark, not by the driver.
+    """
     rows = []
     for name, categories in params.vocabulary.items():
         rows += [("category", name, i, c, None) for i, c in enumerate(categories)]
         if not categories:
             rows.append(("category", name, -1, None, None))
-    rows += [("wide", n, i, None, None) for i, n in enumerate(params.wide)]
     for kind in ("medians", "means", "deviations"):
         rows += [(kind, n, 0, None, v) for n, v in getattr(params, kind).items()]
     rows += [(kind, None, 0, None, getattr(params, kind)) for kind in ("fence", "z_low", "z_high")]
-    return spark.createDataFrame(rows, PARAMS_SCHEMA)
+    table = spark.createDataFrame(rows, PARAMS_SCHEMA)
+    for name, index in params.indexes.items():
+        table = table.union(
+            index.select(
+                F.lit("index"), F.lit(name), F.col("code").cast("int"), "word", F.lit(None).cast("double")
+            )
+        )
+    return table
 
 
 def read_params(table: DataFrame) -> FitParams:
-    """The inverse of ``params_table``; the table is as small as the parameters."""
-    rows = sorted(table.collect(), key=lambda r: (r["kind"], r["position"]))
+    """The inverse of ``params_table``; index tables stay tables, the rest is small."""
+    rows = sorted(table.filter("kind <> 'index'").collect(), key=lambda r: (r["kind"], r["position"]))
+    words = table.filter("kind = 'index'")
+    indexed = [r["column_name"] for r in words.select("column_name").distinct().collect()]
+    indexes = {
+        n: words.filter(F.col("column_name") == n).select("word", F.col("position").cast("bigint").alias("code"))
+        for n in sorted(indexed)
+    }
     vocabulary: dict[str, tuple[str, ...]] = {}
     numbers: dict[str, dict[str, float | None]] = {"medians": {}, "means": {}, "deviations": {}}
     single: dict[str, float | None] = {}
-    wide = []
     for r in rows:
         if r["kind"] == "category":
             words = vocabulary.setdefault(r["column_name"], ())
             if r["position"] >= 0:
                 vocabulary[r["column_name"]] = words + (r["word"],)
-        elif r["kind"] == "wide":
-            wide.append(r["column_name"])
         elif r["kind"] in numbers:
             numbers[r["kind"]][r["column_name"]] = r["number"]
         else:
             single[r["kind"]] = r["number"]
-    return FitParams(vocabulary=vocabulary, wide=tuple(wide), **numbers, **single)
+    return FitParams(vocabulary=vocabulary, indexes=indexes, **numbers, **single)
 
 
 def catalogue(
@@ -281,7 +304,7 @@ def catalogue(
         ("one_hot", "one column per train category", n, float(len(v)))
         for n, v in params.vocabulary.items()
     ]
-    rows += [("one_hot", "index table", n, None) for n in params.wide]
+    rows += [("index_code", "place in the sorted train categories", n, None) for n in params.indexes]
     rows += [("missing_number", "train median", n, v) for n, v in params.medians.items()]
     rows += [("scaling_mean", "train mean", n, v) for n, v in params.means.items()]
     rows += [("scaling_deviation", "train deviation", n, v) for n, v in params.deviations.items()]
@@ -367,11 +390,25 @@ def encode_wide(
     broadcast only if its counted size is small. Otherwise rows are spread
     over salts, so that a frequent category is not looked up in one task.
     """
-    distinct = train.filter(col(name).isNotNull()).groupBy(col(name).alias("_word")).agg(F.lit(1))
-    index = session.cut_lineage(with_ordinal(distinct.select("_word"), [F.asc("_word")], "_code"))
+    return look_up(df, word_index(train, name), name, key, output)
+
+
+def word_index(train: DataFrame, name: str) -> DataFrame:
+    """word and code of every category of a text column, numbered in sorted order."""
+    word = col(name).cast("string")
+    distinct = train.filter(word.isNotNull()).groupBy(word.alias("word")).agg(F.lit(1)).select("word")
+    return session.cut_lineage(with_ordinal(distinct, [F.asc("word")], "code"))
+
+
+def look_up(
+    df: DataFrame, index: DataFrame, name: str, key: str, output: str | None = None
+) -> DataFrame:
+    """Replace a column by its code in an index table; unseen words get the next number."""
+    index = index.select(F.col("word").alias("_word"), F.col("code").alias("_code"))
     size = index.count()
+    value = col(name).cast("string")
     if session.small_enough(index, "_word"):
-        looked = df.join(F.broadcast(index), col(name) == F.col("_word"), "left")
+        looked = df.join(F.broadcast(index), value == F.col("_word"), "left")
     else:
         salts = F.explode(F.sequence(F.lit(0), F.lit(HOT_KEY_SALTS - 1)))
         spread = index.withColumn("_salt", salts)
@@ -379,12 +416,10 @@ def encode_wide(
             "_salt_of_row", F.pmod(F.xxhash64(col(key)), F.lit(HOT_KEY_SALTS)).cast("int")
         )
         looked = salted.join(
-            spread,
-            (salted[name] == spread["_word"]) & (salted["_salt_of_row"] == spread["_salt"]),
-            "left",
+            spread, (value == F.col("_word")) & (F.col("_salt_of_row") == F.col("_salt")), "left"
         ).drop("_salt", "_salt_of_row")
-    code = F.when(col(name).isNotNull(), F.coalesce("_code", F.lit(size)))
-    coded = looked.withColumn(output or name, code.cast("bigint")).drop("_word", "_code")
+    code = F.when(value.isNotNull(), F.coalesce("_code", F.lit(size))).cast("bigint")
+    coded = looked.withColumn(output or name, code).drop("_word", "_code")
     return coded.drop(name) if output and output != name else coded
 
 
@@ -476,10 +511,23 @@ def assemble(
     return VectorAssembler(inputCols=inputs, outputCol=name).transform(renamed).drop(*inputs)
 
 
-def leakage_audit(features: DataFrame, spec: FeatureSpec | None = None) -> DataFrame:
+AUDIT_RULES = "rule string, passed boolean, offending string"
+
+
+def leakage_audit(
+    features: DataFrame,
+    spec: FeatureSpec | None = None,
+    source: DataFrame | None = None,
+    params: FitParams | None = None,
+    dropped: Sequence[str] = domain.LEAKING_COLUMNS,
+) -> DataFrame:
     """Rules the feature layer must keep, one row each with pass or fail.
 
-    The rules look at the schema alone, so the audit reads no rows.
+    The first rules look at the schema and at the keys of the two parts. With
+    ``source``, the rows before features were made (row key, split and
+    columns), it is also checked by value whether a dropped column is back
+    under another name, and with ``params`` whether they are what the train
+    rows of ``source`` give.
     """
     spec = spec or FeatureSpec()
     columns = set(features.columns)
@@ -493,6 +541,59 @@ def leakage_audit(features: DataFrame, spec: FeatureSpec | None = None) -> DataF
         ("split_recorded", [] if "split" in columns else ["split"]),
     ]
     rows = [(rule, not bad, ",".join(bad)) for rule, bad in rules]
-    return features.sparkSession.createDataFrame(
-        rows, "rule string, passed boolean, offending string"
+    if {"split", spec.row_key} <= columns:
+        rows.append(_cut_by_key(features, spec.row_key))
+    if source is not None:
+        rows.append(_hidden_columns(features, source, spec.row_key, dropped))
+    if source is not None and params is not None:
+        rows.append(_fitted_on_train(source, params, spec))
+    return features.sparkSession.createDataFrame(rows, AUDIT_RULES)
+
+
+def _cut_by_key(features: DataFrame, key: str) -> tuple[str, bool, str]:
+    """Every train key stands before every test key."""
+    is_train = F.col("split") == "train"
+    row = features.agg(F.max(F.when(is_train, col(key))).alias("last"), F.min(F.when(~is_train, col(key))).alias("first")).first()
+    overlap = None not in (row["last"], row["first"]) and row["last"] >= row["first"]
+    return "no_train_key_after_the_cut", not overlap, str(row["last"]) if overlap else ""
+
+
+def _hidden_columns(
+    features: DataFrame, source: DataFrame, key: str, dropped: Sequence[str]
+) -> tuple[str, bool, str]:
+    """No dropped column has, in all rows, the values of a feature; one aggregate over the join by key."""
+    gone = [n for n in dropped if n in source.columns]
+    shown = [n for n in features.columns if n not in (key, "split")]
+    left = features.select(col(key), *[col(n).cast("string").alias(f"_f{i}") for i, n in enumerate(shown)])
+    right = source.select(col(key), *[col(n).cast("string").alias(f"_d{i}") for i, n in enumerate(gone)])
+    pairs = [(i, j) for i in range(len(gone)) for j in range(len(shown))]
+    if not pairs:
+        return "no_dropped_column_under_another_name", True, ""
+    # Only values tell: a column that is NULL everywhere equals nothing.
+    row = left.join(right, key).agg(
+        F.count("*").alias("rows"),
+        *[F.count_if(F.col(f"_d{i}").eqNullSafe(F.col(f"_f{j}"))).alias(f"same_{i}_{j}") for i, j in pairs],
+        *[F.count(F.col(f"_d{i}")).alias(f"held_{i}") for i in range(len(gone))],
+    ).first()
+    bad = sorted(
+        f"{gone[i]}={shown[j]}" for i, j in pairs if row[f"held_{i}"] and row[f"same_{i}_{j}"] == row["rows"]
     )
+    return "no_dropped_column_under_another_name", not bad, ",".join(bad)
+
+
+def _fitted_on_train(source: DataFrame, params: FitParams, spec: FeatureSpec) -> tuple[str, bool, str]:
+    """Fitting on the train rows again gives the same parameters."""
+    again = fit(source.filter(F.col("split") == "train"), spec)
+    bad = [n for n in ("fence", "z_low", "z_high") if not _near(getattr(params, n), getattr(again, n))]
+    for kind in ("medians", "means", "deviations"):
+        old, new = getattr(params, kind), getattr(again, kind)
+        bad += [f"{kind}.{n}" for n in sorted({*old, *new}) if not _near(old.get(n), new.get(n))]
+    bad += [] if dict(params.vocabulary) == dict(again.vocabulary) else ["vocabulary"]
+    return "parameters_are_those_of_train", not bad, ",".join(bad)
+
+
+def _near(one: float | None, other: float | None) -> bool:
+    """Equal but for the order in which a sum was added up."""
+    if one is None or other is None:
+        return one is other
+    return math.isclose(one, other, rel_tol=1e-9, abs_tol=1e-12)

@@ -13,7 +13,6 @@ from lamina.functions.scalars import col
 from lamina.operators.selection import select_ranks
 from lamina.session import cut_lineage
 
-WINDOW_ROWS = 5_000_000  # largest group that one task may sort
 SLOT_BITS = 33  # monotonically_increasing_id keeps the partition above this bit
 
 
@@ -62,21 +61,20 @@ def rank_within_group(
     group: str,
     order: Sequence[Column],
     name: str = "rank",
-    window_rows: int = WINDOW_ROWS,
+    window_rows: int = 0,
 ) -> DataFrame:
     """``row_number`` per group for every row, also when one group is huge.
 
-    A window sorts each group in one task and is used when the largest group
-    is counted to be at most ``window_rows``. Otherwise rows are range-sorted
-    by (group, order); a group is a run of slots over one or more partitions,
-    and the rows it has in earlier partitions are added to the place in the
-    run.
+    Rows are range-sorted by (group, order); a group is a run of slots over one
+    or more partitions, and the rows it has in earlier partitions are added to
+    the place in the run. A caller who knows that groups are small may allow a
+    window, which sorts each group in one task, up to ``window_rows`` rows.
     """
-    sizes = df.groupBy(col(group)).agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max("n").alias("n")).first()["n"] or 0
-    if largest <= window_rows:
-        window = Window.partitionBy(col(group)).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(window).cast("bigint"))
+    if window_rows:
+        sizes = df.groupBy(col(group)).agg(F.count("*").alias("n"))
+        if (sizes.agg(F.max("n").alias("n")).first()["n"] or 0) <= window_rows:
+            window = Window.partitionBy(col(group)).orderBy(*order)
+            return df.withColumn(name, F.row_number().over(window).cast("bigint"))
     placed = _placed(df, [col(group), *order])
     runs = placed.groupBy("_part", col(group).alias("_group")).agg(
         F.min("_slot").alias("_first"), F.count("*").alias("_n")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lamina import domain
 from lamina.domain import RefineSpec
-from lamina.functions.scalars import col, is_rejected, number_of
+from lamina.functions.scalars import col, flag_of, is_rejected, number_of
 
 
 def keep_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -37,6 +37,13 @@ def type_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumns(typed) if typed else df
 
 
+def flag_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Text to boolean in those of ``names`` that are text; bad text to NULL."""
+    texts = {n for n, kind in df.dtypes if kind == "string"}
+    typed = {n: flag_of(col(n)) for n in names if n in texts}
+    return df.withColumns(typed) if typed else df
+
+
 def refine(incidents: DataFrame, financial: DataFrame, spec: RefineSpec | None = None) -> DataFrame:
     """Incidents with a known loss, cleaned and typed.
 
@@ -51,7 +58,9 @@ def refine(incidents: DataFrame, financial: DataFrame, spec: RefineSpec | None =
     joined = incidents.join(losses, on=spec.key, how="inner")
     joined = joined.withColumn(spec.row_key, col(spec.key))
     cleaned = fill_existing(drop_existing(joined, spec.removed), spec.filled, spec.fill_value)
-    return type_existing(cleaned, [n for n in spec.typed if n != spec.target])
+    return flag_existing(
+        type_existing(cleaned, [n for n in spec.typed if n != spec.target]), spec.flags
+    )
 
 
 def inner_join_all(left: DataFrame, right: DataFrame, key: str = domain.KEY) -> DataFrame:

@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 from lamina.functions.scalars import col
 from lamina.session import cut_lineage
 
-GATHERED_ROWS = 500_000  # most values of one span that are gathered and sorted
-SAMPLED_ROWS = 200_000  # expected sample size per span and round
-TEXT_GATHERED, TEXT_SAMPLED = 100_000, 40_000  # the same for text, whose values are longer
+GATHERED_ROWS = 40_000  # most values of one span that are gathered and sorted
+SAMPLED_ROWS = 20_000  # expected sample size per span and round
+TEXT_GATHERED, TEXT_SAMPLED = 10_000, 4_000  # the same for text, whose values are longer
 LEAST_SAMPLE = 100
 
 

@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
 )
+from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.functions.scalars import col
-from lamina.operators.features import assemble
-from lamina.session import fresh_path, shared_folder
+from lamina.functions.scalars import col, finite_or_zero, number_of
+from lamina.operators.features import assemble, numeric_matrix
+from lamina.session import shared_folder
 
-SMALL_ROWS = 2_000_000  # up to here training rows are dealt over the cores
-BUCKET_ROWS = 50_000  # rows among which a feature is permuted
+BUCKET_ROWS = 10_000  # rows among which a feature is permuted
+BINS = 32  # codes a feature has at most
+SAMPLED_ROWS = 20_000  # rows, chosen by key hash, whose ranks give the bins
 
 
 @dataclass(frozen=True)
@@ -43,32 +45,69 @@ class FittedTree:
     spec: TreeSpec
     model: DecisionTreeClassificationModel
     features: tuple[str, ...]
+    edges: Mapping[str, tuple[float, ...]] | None = None
 
 
-def is_small(df: DataFrame, small: int = SMALL_ROWS) -> bool:
-    return df.count() <= small
+def bin_edges(
+    train: DataFrame, names: Sequence[str], key: str, bins: int = BINS, sampled: int = SAMPLED_ROWS
+) -> dict[str, tuple[float, ...]]:
+    """Ascending bounds that cut each feature into at most ``bins`` codes of equal ranks.
 
-
-def spread_over_cores(df: DataFrame, key: str) -> DataFrame:
-    """Deal the rows of a small table, which lies in few files, over the cores.
-
-    Rows get a fixed place and order, so training is repeatable. A large table
-    has a file split per task already and needs no shuffle.
+    Ranks are those of about ``sampled`` rows at most, chosen by the hash of
+    their key, so the bounds do not depend on cores, partitions or row order.
+    """
+    if not names:
+        return {}
+    share = min(1.0, sampled / max(1, train.count()))
+    chosen = F.pmod(F.xxhash64(col(key)), F.lit(1 << 30)) < int(share * (1 << 30))
+    numbers = numeric_matrix(train.filter(chosen), names)
+    ranked = numbers.agg(*[F.sort_array(F.collect_list(col(n))).alias(f"v{i}") for i, n in enumerate(names)])
+    picks = []
+    for i in range(len(names)):
+        place = [F.get(f"v{i}", F.floor(F.size(f"v{i}") * k / bins).cast("int")) for k in range(1, bins)]
+        picks.append(F.array_distinct(F.array_compact(F.array(*place))).alias(f"v{i}"))
+    row = ranked.select(*picks).first()
+    return {n: tuple(row[f"v{i}"]) for i, n in enumerate(names)}
+
+
+def coded(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
+    """Each feature replaced by its code: how many of its bounds are below the value.
+
+    With so few distinct values the learner tries every cut, whatever rows it
+    samples to find candidates, so trees are the same for every partitioning.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, col(key)).sortWithinPartitions(col(key))
+    names = list(edges)
+    if not names:
+        return df
+    # The bucketizer's ranges hold their lower bound; with the sign turned they hold the upper one.
+    turned = df.withColumns({f"_v{i}": -finite_or_zero(number_of(df, n)) for i, n in enumerate(names)})
+    inputs, outputs = ([f"_{kind}{i}" for i in range(len(names))] for kind in "vb")
+    infinite = float("inf")
+    splits = [[-infinite, *[-e for e in reversed(edges[n] or (0.0,))], infinite] for n in names]
+    dealt = Bucketizer(splitsArray=splits, inputCols=inputs, outputCols=outputs).transform(turned)
+    codes = {n: F.lit(float(len(edges[n] or (0.0,)))) - F.col(f"_b{i}") for i, n in enumerate(names)}
+    return dealt.withColumns(codes).drop(*inputs, *outputs)
 
 
 def matrix(
-    df: DataFrame, features: Sequence[str], label: str = "label", kept: Sequence[str] = ()
+    df: DataFrame,
+    features: Sequence[str],
+    label: str = "label",
+    kept: Sequence[str] = (),
+    edges: Mapping[str, Sequence[float]] | None = None,
 ) -> DataFrame:
-    """Vector of features, double label and the kept columns."""
+    """Vector of features (codes, if bounds are given), double label and the kept columns."""
+    df = coded(df, edges) if edges else df
     named = list(dict.fromkeys([label, *kept]))
     return assemble(df, features, named).withColumn(label, col(label).cast("double"))
 
 
 def fit_tree(
-    train: DataFrame, features: Sequence[str], spec: TreeSpec, label: str = "label"
+    train: DataFrame,
+    features: Sequence[str],
+    spec: TreeSpec,
+    label: str = "label",
+    edges: Mapping[str, tuple[float, ...]] | None = None,
 ) -> FittedTree:
     """Train on an assembled frame.
 
@@ -86,7 +125,7 @@ def fit_tree(
         cacheNodeIds=spec.depth > 5,
         maxMemoryInMB=512,
     )
-    return FittedTree(spec, learner.fit(train.select("features", label)), tuple(features))
+    return FittedTree(spec, learner.fit(train.select("features", label)), tuple(features), edges)
 
 
 def predict(df: DataFrame, tree: FittedTree, name: str = "prediction") -> DataFrame:
@@ -135,9 +174,8 @@ def permutation_importance(
     if not used:
         return sorted_importance(names.select("feature", F.lit(0.0).alias("importance")))
 
-    rows_in_test = test.count()
-    cores = spark.sparkContext.defaultParallelism
-    buckets = max(math.ceil(rows_in_test / bucket_rows), min(cores, rows_in_test // 1000), 1)
+    # Only the row count decides, so the result is the same on any cluster.
+    buckets = max(math.ceil(test.count() / bucket_rows), 1)
     scored = predict(test.select(col(key), col(label), "features"), tree, "_base")
     rows = scored.select(
         F.xxhash64(col(key), F.lit(seed)).alias("_hash"),
@@ -147,8 +185,6 @@ def permutation_importance(
         vector_to_array("features").alias("_x"),
     ).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
     rows = rows.withColumn("_u", F.array(*[F.col("_x")[i] for i in used]))
-    if buckets <= cores:  # few rows: one task per bucket, not coalesced
-        rows = rows.repartition(buckets, "_bucket")
     order = Window.partitionBy("_bucket").orderBy("_hash", "_key")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     placed = rows.withColumns(
@@ -165,21 +201,17 @@ def permutation_importance(
             F.get("_following", r - 1), F.get("_first", (F.col("_place") + r) % F.col("_size"))
         ),
     )
-    width = len(used)
-    trial = placed.select(
-        "_label",
-        "_hit",
-        "_x",
-        donors.alias("_donors"),
-        F.explode(F.sequence(F.lit(0), F.lit(width * repeats - 1))).alias("_t"),
+    # A row carries its own features and the one value that is swapped in.
+    swaps = F.flatten(
+        F.transform(
+            donors,
+            lambda donor: F.array(
+                *[F.struct(F.lit(i).alias("position"), F.get(donor, k).alias("value")) for k, i in enumerate(used)]
+            ),
+        )
     )
-    slot, repeat = F.col("_t") % width, F.floor(F.col("_t") / width).cast("int")
-    swap = trial.select(
-        "_label",
-        "_hit",
-        "_x",
-        F.get(F.array(*[F.lit(i) for i in used]), slot).alias("position"),
-        F.get(F.get("_donors", repeat), slot).alias("_value"),
+    swap = placed.select("_label", "_hit", "_x", F.explode(swaps).alias("_swap")).select(
+        "_label", "_hit", "_x", F.col("_swap.position").alias("position"), F.col("_swap.value").alias("_value")
     )
     swapped = F.transform(
         "_x", lambda v, i: F.when(i == F.col("position"), F.col("_value")).otherwise(v)
@@ -195,23 +227,38 @@ def permutation_importance(
     return sorted_importance(table)
 
 
+NODES = (
+    "node bigint, depth bigint, feature string, threshold double, left_node bigint, right_node bigint, "
+    "impurity double, gain double, prediction int"
+)
+
+
 def tree_nodes(df: DataFrame, tree: FittedTree) -> DataFrame:
-    """Nodes of the fitted tree as rows, read from the saved model."""
-    path = fresh_path(df.sparkSession, "tree")
-    tree.model.write().overwrite().save(path)
-    nodes = df.sparkSession.read.parquet(f"{path}/data")
-    names = F.array(*[F.lit(n) for n in tree.features])
-    inner = F.col("leftChild") >= 0
-    return nodes.select(
-        F.col("id").cast("bigint").alias("node"),
-        F.when(inner, F.get(names, F.col("split.featureIndex"))).alias("feature"),
-        F.when(inner, F.get("split.leftCategoriesOrThreshold", F.lit(0))).alias("threshold"),
-        F.when(inner, F.col("leftChild")).cast("bigint").alias("left_node"),
-        F.when(inner, F.col("rightChild")).cast("bigint").alias("right_node"),
-        "impurity",
-        F.col("gain"),
-        F.col("prediction").cast("int").alias("prediction"),
-    )
+    """Nodes of the fitted tree as rows, numbered from the root, left before right.
+
+    A tree of bounded depth is small; it is walked by the model's public
+    structure. Thresholds of codes are given as values of the feature.
+    """
+    found: list[tuple] = []
+
+    def walk(node, depth: int) -> int:
+        number = len(found)
+        found.append(())
+        inner = node.subtreeDepth() > 0
+        feature = threshold = left = right = gain = None
+        if inner:
+            feature = tree.features[node.split().featureIndex()]
+            threshold, gain = float(node.split().threshold()), float(node.gain())
+            if tree.edges:
+                threshold = float(tree.edges[feature][math.floor(threshold)])
+            left, right = walk(node.leftChild(), depth + 1), walk(node.rightChild(), depth + 1)
+        found[number] = (
+            number, depth, feature, threshold, left, right, float(node.impurity()), gain, int(node.prediction())
+        )
+        return number
+
+    walk(tree.model._call_java("rootNode"), 0)
+    return df.sparkSession.createDataFrame(found, NODES)
 
 
 def model_summary(
@@ -247,5 +294,11 @@ def save_model(tree: FittedTree, folder: str) -> str:
     return folder
 
 
-def load_model(spec: TreeSpec, features: Sequence[str], folder: str) -> FittedTree:
-    return FittedTree(spec, DecisionTreeClassificationModel.load(folder), tuple(features))
+def load_model(
+    spec: TreeSpec,
+    features: Sequence[str],
+    folder: str,
+    edges: Mapping[str, tuple[float, ...]] | None = None,
+) -> FittedTree:
+    """The stored model; its bounds, if it was trained on codes, are kept by the caller."""
+    return FittedTree(spec, DecisionTreeClassificationModel.load(folder), tuple(features), edges)

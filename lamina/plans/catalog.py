@@ -7,6 +7,7 @@ the values; the operators themselves do neither.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,30 @@ def raw_audit(spark: SparkSession, folder: str) -> DataFrame:
     return parts
 
 
+def raw_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every column of the orders through CSV text and the raw layer, typed again."""
+    source = testbed.table(spark, folder, "orders")
+    path = ingest.ingest(spark, _csv_copy(spark, folder, "orders"), fresh_path(spark, "raw"))
+    rows = layers.read_layer(spark, path)
+    return rows.select(*[col(n).cast(kind).alias(n) for n, kind in source.dtypes], domain.AUDIT_COLUMNS[1])
+
+
+# Limits that make the search for ranks narrow its spans even on small tables.
+NARROW = {"gathered": 400, "sampled": 200}
+
+
+def quartiles_narrowed(spark: SparkSession, folder: str) -> DataFrame:
+    events = testbed.table(spark, folder, "events")
+    at = quantiles(events, {"value": [0.25, 0.5, 0.75]}, **NARROW)["value"]
+    row = [(at[0.25], at[0.5], at[0.75])]
+    return rounded(spark.createDataFrame(row, "q1 double, q2 double, q3 double"), {"q1": 6, "q2": 6, "q3": 6})
+
+
+def split_narrowed(spark: SparkSession, folder: str) -> DataFrame:
+    rows = ordering.with_ordered_split(testbed.refined(spark, folder), KEY, **NARROW)
+    return rows.select(KEY, "split")
+
+
 def typed_csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """The customer table through CSV with inferred types."""
     path = ingest.ingest(
@@ -162,17 +187,16 @@ def best_per_group_tally(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def sql_over_view(spark: SparkSession, folder: str) -> DataFrame:
-    """The ranked rows as a view, and SQL on it."""
-    ranked = explore.ranked_in_group(
-        testbed.refined(spark, folder), "industry_primary", TARGET, KEY
-    ).filter("rank_in_industry <= 5")
+    """Every ranked row as a view, and SQL on it."""
+    ranked = explore.ranked_rows(testbed.refined(spark, folder), "industry_primary", TARGET, KEY)
     layers.register_view(ranked, "incidentes_com_rank")
     return spark.sql(
         """
         SELECT industry_primary,
                COUNT(*) AS listed,
                COUNT_IF(is_public_company) AS listed_public,
-               SUM(CASE WHEN rank_in_industry = 1 THEN 1 ELSE 0 END) AS top1_por_setor
+               COUNT_IF(rank_in_industry = 1) AS leaders,
+               MAX(rank_in_industry) AS last_rank
         FROM incidentes_com_rank
         GROUP BY industry_primary
         ORDER BY listed DESC, industry_primary
@@ -184,14 +208,14 @@ def sql_over_view(spark: SparkSession, folder: str) -> DataFrame:
 def rank_all_rows(spark: SparkSession, folder: str) -> DataFrame:
     events = testbed.table(spark, folder, "events").select("event_id", "event_type", "value")
     order = [F.desc("value"), F.asc("event_id")]
-    return ordering.rank_within_group(events, "event_type", order, "rank")
+    return ordering.rank_within_group(events, "event_type", order, "rank", window_rows=5_000_000)
 
 
 def rank_all_rows_ranged(spark: SparkSession, folder: str) -> DataFrame:
     """The same ranks by the way taken for groups too large for one task."""
     events = testbed.table(spark, folder, "events").select("event_id", "event_type", "value")
     order = [F.desc("value"), F.asc("event_id")]
-    return ordering.rank_within_group(events, "event_type", order, "rank", window_rows=0)
+    return ordering.rank_within_group(events, "event_type", order, "rank")
 
 
 def measure_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -281,9 +305,29 @@ def category_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
     return table.select("column_name", F.col("position").cast("bigint").alias("position"), "word")
 
 
+def wide_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """The index table of a nominal column of any width: the customer's name among train rows."""
+    return features.word_index(_named_rows(spark, folder).filter("split = 'train'"), "company_name")
+
+
+def wide_transform(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows coded by stored parameters that hold an index table."""
+    rows = _named_rows(spark, folder)
+    spec = domain.FeatureSpec(nominal=(), indexed=("company_name",))
+    fitted = features.fit(rows.filter("split = 'train'"), spec)
+    path = layers.write_layer(features.params_table(spark, fitted), fresh_path(spark, "params"))
+    params = features.read_params(layers.read_layer(spark, path))
+    return features.transform(rows, params, spec).select(KEY, "company_name_code")
+
+
+def _named_rows(spark: SparkSession, folder: str) -> DataFrame:
+    names = testbed.incidents(spark, folder).select(F.col("incident_id").alias(KEY), "company_name")
+    return testbed.split_rows(spark, folder).select(KEY, "split").join(names, KEY)
+
+
 def fit_params(spark: SparkSession, folder: str) -> DataFrame:
     table = features.params_table(spark, testbed.fitted(spark, folder))
-    numbers = table.filter("kind not in ('category', 'wide')")
+    numbers = table.filter("kind <> 'category'")
     return rounded(numbers.select("kind", "column_name", "number"), {"number": 4})
 
 
@@ -356,7 +400,24 @@ def wide_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def leakage_audit(spark: SparkSession, folder: str) -> DataFrame:
-    return features.leakage_audit(testbed.feature_layer(spark, folder))
+    """The audit by schema and by rows; the columns that refining drops are joined back by key."""
+    table = testbed.feature_layer(spark, folder)
+    dropped = testbed.incidents(spark, folder).select(F.col("incident_id").alias(KEY), "company_name", "review_flag")
+    source = testbed.split_rows(spark, folder).join(dropped, KEY)
+    return features.leakage_audit(table, source=source, params=testbed.fitted(spark, folder))
+
+
+def leakage_found(spark: SparkSession, folder: str) -> DataFrame:
+    """The same audit of a layer with planted leaks: parameters of all rows, a hidden column, mixed keys."""
+    table = testbed.feature_layer(spark, folder)
+    dropped = testbed.incidents(spark, folder).select(F.col("incident_id").alias(KEY), "company_name", "review_flag")
+    source = testbed.split_rows(spark, folder).join(dropped, KEY)
+    planted = table.join(dropped.select(KEY, F.col("review_flag").alias("status")), KEY)
+    planted = planted.withColumn("split", F.when(F.col(KEY) % 5 == 0, "test").otherwise("train"))
+    found = features.leakage_audit(planted, source=source, params=features.fit(source))
+    return found.filter(~F.col("passed")).select(
+        "rule", F.when(F.col("rule") == "no_dropped_column_under_another_name", F.col("offending")).alias("column_pair")
+    )
 
 
 def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
@@ -392,39 +453,33 @@ def scalar_suite(spark: SparkSession, folder: str) -> DataFrame:
 # -- models ------------------------------------------------------------------
 
 
-def rule_scored(spark: SparkSession, folder: str) -> tuple[DataFrame, float | None]:
-    """Labelled rows with two plain rules in the place of model predictions."""
-    rows = testbed.split_rows(spark, folder)
-    threshold = evaluate.label_threshold(rows)
-    labelled = evaluate.with_label(rows, threshold)
-    building = col("industry_primary").isin("BUILDING", "MACHINERY")
-    return (
-        labelled.withColumns(
-            {
-                "p1": F.coalesce(col("is_public_company"), F.lit(False)).cast("int"),
-                "p2": (building | (col("employee_count") > 400000)).cast("int"),
-            }
-        ).withColumn("p2", F.coalesce("p2", F.lit(0))),
-        threshold,
-    )
+def _shallow(spark: SparkSession, folder: str, layer: str = "refined") -> stages.Scored:
+    """Labelled rows with the predictions of two trees of depth two, which SQL can grow as well."""
+    return testbed.scored(spark, folder, testbed.SHALLOW, layer)
+
+
+def shallow_scored(spark: SparkSession, folder: str) -> tuple[DataFrame, float | None]:
+    scored = _shallow(spark, folder)
+    return scored.rows, scored.threshold
 
 
-RULES = {"modelo1_gini": "p1", "modelo2_entropy": "p2"}
+GINI, ENTROPY = (spec.name for spec in testbed.SHALLOW)
+RULES = {GINI: GINI, ENTROPY: ENTROPY}
 ROUND_METRICS = {m: 6 for m in evaluate.METRICS}
 
 
 def class_balance(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = rule_scored(spark, folder)
+    rows, _ = shallow_scored(spark, folder)
     return widened(evaluate.class_balance(rows, by=["split"]), "label")
 
 
 def confusion_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = rule_scored(spark, folder)
+    rows, _ = shallow_scored(spark, folder)
     return rounded(evaluate.evaluate_models(rows, "label", RULES, ["split"]), ROUND_METRICS)
 
 
 def _test_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = rule_scored(spark, folder)
+    rows, _ = shallow_scored(spark, folder)
     return evaluate.evaluate_models(rows.filter(F.col("split") == "test"), "label", RULES)
 
 
@@ -433,7 +488,7 @@ def metrics_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def overfit_gap(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = rule_scored(spark, folder)
+    rows, _ = shallow_scored(spark, folder)
     gap = evaluate.overfit_gap(evaluate.evaluate_models(rows, "label", RULES, ["split"]))
     return rounded(gap, {n: 6 for n in gap.columns if n != "model"})
 
@@ -443,40 +498,49 @@ def best_model(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prediction_table(spark: SparkSession, folder: str) -> DataFrame:
-    rows, threshold = rule_scored(spark, folder)
+    rows, threshold = shallow_scored(spark, folder)
     test = rows.filter(F.col("split") == "test")
-    table = evaluate.prediction_table(test, KEY, "label", "p1", threshold, digits=4)
+    table = evaluate.prediction_table(test, KEY, "label", GINI, threshold, digits=4)
     return rounded(table, {"threshold": 8})
 
 
 def model_compare(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = rule_scored(spark, folder)
+    rows, _ = shallow_scored(spark, folder)
     test = rows.filter(F.col("split") == "test")
-    return evaluate.side_by_side(test, KEY, "label", "p1", "p2", digits=4)
+    return evaluate.side_by_side(test, KEY, "label", GINI, ENTROPY, digits=4)
 
 
 def model_compare_flags(spark: SparkSession, folder: str) -> DataFrame:
-    rows, _ = rule_scored(spark, folder)
+    rows, _ = shallow_scored(spark, folder)
     test = rows.filter(F.col("split") == "test")
-    table = evaluate.side_by_side(test, KEY, "label", "p1", "p2", words=False, digits=4)
+    table = evaluate.side_by_side(test, KEY, "label", GINI, ENTROPY, words=False, digits=4)
     return widened(
         table, "real", "modelo1_gini", "modelo2_entropy", "acertou_1?", "acertou_2?"
     )
 
 
 def layer_verdict(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = _test_metrics(spark, folder)
-    result = evaluate.layer_verdict(
-        metrics.filter(F.col("model") == "modelo1_gini"),
-        metrics.filter(F.col("model") == "modelo2_entropy"),
-        evaluate.METRICS,
+    """The shallow entropy tree on refined and on feature rows, judged per metric."""
+    before, after = (
+        evaluate.evaluate(_shallow(spark, folder, layer).rows.filter(F.col("split") == "test"), "label", ENTROPY)
+        for layer in ("refined", "feature")
     )
+    result = evaluate.layer_verdict(before, after, evaluate.METRICS)
     return rounded(result, {"refined": 6, "feature": 6, "delta": 6})
 
 
+def shallow_splits(spark: SparkSession, folder: str) -> DataFrame:
+    """The inner nodes of both shallow trees."""
+    scored = _shallow(spark, folder)
+    parts = [trees.tree_nodes(scored.rows, tree).withColumn("model", F.lit(tree.spec.name)) for tree in scored.trees]
+    inner = parts[0].union(parts[1]).filter("feature is not null")
+    return rounded(inner.select("model", "depth", "feature", "threshold", "gain"), {"threshold": 6, "gain": 6})
+
+
 def _trees(spark: SparkSession, folder: str, specs: Sequence[trees.TreeSpec]) -> stages.Scored:
-    rows = testbed.split_rows(spark, folder)
-    return stages.score_layer(rows, features.detect_features(rows), specs)
+    """The two compared models are trained together, once; a query takes what it asks for."""
+    scored = testbed.scored(spark, folder, (trees.GINI, trees.ENTROPY))
+    return replace(scored, trees=tuple(t for t in scored.trees if t.spec in specs))
 
 
 def tree_gini5(spark: SparkSession, folder: str) -> DataFrame:
@@ -512,8 +576,7 @@ def model_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def layer_comparison(spark: SparkSession, folder: str) -> DataFrame:
     """The deeper tree on refined and on feature rows, judged per metric."""
-    prepared = testbed.feature_layer(spark, folder)
-    after = stages.score_layer(prepared, features.detect_features(prepared), [trees.ENTROPY])
+    after = testbed.scored(spark, folder, (trees.ENTROPY,), "feature")
     before = _trees(spark, folder, [trees.ENTROPY])
     metrics = [stages.model_metrics(s).filter(F.col("split") == "test") for s in (before, after)]
     return evaluate.layer_verdict(*metrics)
@@ -555,6 +618,11 @@ QUERIES: dict[str, Query] = {
         hash_split,
         seeded_sample,
         category_vocabulary,
+        wide_vocabulary,
+        wide_transform,
+        raw_round_trip,
+        quartiles_narrowed,
+        split_narrowed,
         fit_params,
         transformation_catalogue,
         feature_layer,
@@ -566,6 +634,7 @@ QUERIES: dict[str, Query] = {
         alpha_index,
         wide_index,
         leakage_audit,
+        leakage_found,
         feature_matrix,
         scalar_suite,
         class_balance,
@@ -577,6 +646,7 @@ QUERIES: dict[str, Query] = {
         model_compare,
         model_compare_flags,
         layer_verdict,
+        shallow_splits,
         tree_gini5,
         tree_entropy10,
         impurity_importance,

@@ -102,17 +102,119 @@ params AS (
 )"""
 )
 
-SCORED = (
-    SPLIT
-    + """,
+REFINED_FEATURES = {
+    "company_revenue_usd": "coalesce(company_revenue_usd, 0.0)",
+    "employee_count": "coalesce(employee_count, 0.0)",
+    "is_public_company": "CASE WHEN is_public_company THEN 1.0 ELSE 0.0 END",
+    "confidence_tier": "coalesce(confidence_tier, 0.0)",
+    "quality_score": "coalesce(quality_score, 0.0)",
+    "country_hq": "coalesce(TRY_CAST(country_hq AS DOUBLE), 0.0)",
+}
+DUMMIES = {
+    "industry_primary": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
+    "attack_vector_primary": ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", "Desconhecido"),
+    "data_type": ("Desconhecido", "F", "O"),
+}
+PREPARED_FEATURES = {
+    "company_revenue_usd": "least(greatest(coalesce(company_revenue_usd, med_revenue), z_low), z_high)",
+    "employee_count": "coalesce(employee_count, med_staff)",
+    "is_public_company": "CASE WHEN is_public_company THEN 1.0 ELSE 0.0 END",
+    "confidence_tier": "coalesce(trunc(confidence_tier), 0.0)",
+    "quality_score": "coalesce(quality_score, med_quality)",
+    **{f"{c}_{v}": f"CASE WHEN {c} = '{v}' THEN 1.0 ELSE 0.0 END" for c, values in DUMMIES.items() for v in values},
+    "company_revenue_usd_scaled": "(coalesce(company_revenue_usd, med_revenue) - mean_revenue) / std_revenue",
+    "employee_count_scaled": "(coalesce(employee_count, med_staff) - mean_staff) / std_staff",
+}
+
+# Impurity of a node with {a} rows of class 0 and {b} of class 1.
+IMPURITY = {
+    "gini": "(CASE WHEN {a} + {b} = 0 THEN 0.0 ELSE 1.0 - pow({a} / ({a} + {b}), 2) - pow({b} / ({a} + {b}), 2) END)",
+    "entropy": "(0.0 - CASE WHEN {a} > 0 THEN {a} / ({a} + {b}) * log2({a} / ({a} + {b})) ELSE 0.0 END"
+    " - CASE WHEN {b} > 0 THEN {b} / ({a} + {b}) * log2({b} / ({a} + {b})) ELSE 0.0 END)",
+}
+
+
+def _best_cuts(name: str, nodes: str, impurity: str) -> str:
+    """For each node of ``nodes`` (row_key, node) the cut that gains most; the first one on a tie."""
+    measure = lambda a, b: IMPURITY[impurity].format(a=a, b=b)
+    return f""",
+{name}_hist AS (
+  SELECT node, f, code, count(*) FILTER (WHERE label = 0) AS n0, count(*) FILTER (WHERE label = 1) AS n1
+  FROM coded JOIN {nodes} USING (row_key) WHERE split = 'train' GROUP BY node, f, code
+), {name}_sums AS (
+  SELECT node, f, code,
+         CAST(sum(n0) OVER (PARTITION BY node, f ORDER BY code) AS DOUBLE) AS l0,
+         CAST(sum(n1) OVER (PARTITION BY node, f ORDER BY code) AS DOUBLE) AS l1,
+         CAST(sum(n0) OVER (PARTITION BY node, f) AS DOUBLE) AS t0,
+         CAST(sum(n1) OVER (PARTITION BY node, f) AS DOUBLE) AS t1
+  FROM {name}_hist
+), {name}_gains AS (
+  SELECT node, f, code,
+         {measure("t0", "t1")} - (l0 + l1) / (t0 + t1) * {measure("l0", "l1")}
+           - (t0 + t1 - l0 - l1) / (t0 + t1) * {measure("(t0 - l0)", "(t1 - l1)")} AS gain,
+         CASE WHEN l1 > l0 THEN 1 ELSE 0 END AS left_class,
+         CASE WHEN t1 - l1 > t0 - l0 THEN 1 ELSE 0 END AS right_class
+  FROM {name}_sums WHERE l0 + l1 < t0 + t1
+), {name} AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain, 12) DESC, f, code) AS place
+                 FROM {name}_gains WHERE gain > 1e-12) WHERE place = 1
+)"""
+
+
+def _grown(impurity: str, alias: str) -> str:
+    """A tree of depth two: leaves and the class of every row as ``alias``."""
+    x = impurity
+    return (
+        f""",
+{x}_root AS (SELECT row_key, '' AS node FROM labelled)"""
+        + _best_cuts(f"{x}_top", f"{x}_root", impurity)
+        + f""",
+{x}_half AS (
+  SELECT row_key, CASE WHEN coded.code <= t.code THEN 'L' ELSE 'R' END AS node
+  FROM coded JOIN {x}_top t ON coded.f = t.f
+)"""
+        + _best_cuts(f"{x}_low", f"{x}_half", impurity)
+        + f""",
+{x}_leaf AS (
+  SELECT h.row_key, h.node || CASE WHEN t.f IS NULL THEN '' WHEN coded.code <= t.code THEN 'L' ELSE 'R' END AS leaf
+  FROM {x}_half h LEFT JOIN {x}_low t ON t.node = h.node LEFT JOIN coded ON coded.row_key = h.row_key AND coded.f = t.f
+), {x}_class AS (
+  SELECT leaf, CASE WHEN count(*) FILTER (WHERE label = 1) > count(*) FILTER (WHERE label = 0) THEN 1 ELSE 0 END AS {alias}
+  FROM {x}_leaf JOIN labelled USING (row_key) WHERE split = 'train' GROUP BY leaf
+)"""
+    )
+
+
+def _tree_rows(base: str, relation: str, values: dict[str, str]) -> str:
+    listed = ", ".join(f"CAST({v} AS DOUBLE)" for v in values.values())
+    return (
+        base
+        + f""",
 limits AS (SELECT quantile_cont(total_loss_usd, 0.5) AS threshold FROM refined),
+labelled AS (
+  SELECT *, CASE WHEN total_loss_usd > (SELECT threshold FROM limits) THEN 1 ELSE 0 END AS label FROM {relation}
+),
+cells AS (
+  SELECT row_key, split, label, unnest(range({len(values)})) AS f, unnest([{listed}]) AS v FROM labelled
+),
+ranked_cells AS (
+  SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) - 1 AS place, count(*) OVER (PARTITION BY f) AS n
+  FROM cells WHERE split = 'train'
+),
+edges AS (
+  SELECT DISTINCT f, v AS e FROM ranked_cells, (SELECT unnest(range(1, 32)) AS k) WHERE place = n * k // 32
+),
+bounds AS (SELECT f, list(e ORDER BY e) AS es FROM edges GROUP BY f),
+coded AS (
+  SELECT row_key, split, label, cells.f, len(list_filter(es, lambda e: e < v)) AS code FROM cells JOIN bounds ON cells.f = bounds.f
+)"""
+        + _grown("gini", "p1")
+        + _grown("entropy", "p2")
+        + """,
 scored AS (
-  SELECT *,
-         CASE WHEN total_loss_usd > (SELECT threshold FROM limits) THEN 1 ELSE 0 END AS label,
-         CASE WHEN is_public_company THEN 1 ELSE 0 END AS p1,
-         CASE WHEN industry_primary IN ('BUILDING', 'MACHINERY')
-                OR employee_count > 400000 THEN 1 ELSE 0 END AS p2
-  FROM parted
+  SELECT labelled.*, p1, p2 FROM labelled
+  JOIN gini_leaf USING (row_key) JOIN gini_class USING (leaf)
+  JOIN entropy_leaf e ON e.row_key = labelled.row_key JOIN entropy_class c ON c.leaf = e.leaf
 ),
 both_models AS (
   SELECT 'modelo1_gini' AS model, split, label, p1 AS p FROM scored
@@ -137,6 +239,61 @@ measured AS (
 ),
 numbered AS (
   SELECT *, row_number() OVER (ORDER BY row_key) - 1 AS id FROM scored WHERE split = 'test'
+)"""
+    )
+
+
+SCORED = _tree_rows(SPLIT, "parted", REFINED_FEATURES)
+PREPARED_SCORED = _tree_rows(PARAMS, "(SELECT * FROM parted, params)", PREPARED_FEATURES)
+
+
+def _audit(split: str, same: str, fitted: str) -> str:
+    """Verdicts from the rows: keys of the parts, a dropped column by value, parameters of the fitted rows."""
+    schema = ("no_column_known_only_afterwards", "no_audit_column", "no_identifier_as_feature",
+              "no_part_of_the_target", "no_text_left_of_encoded_columns", "split_recorded")
+    kept = ", ".join(f"'{c}'" for c in domain.MODEL_COLUMNS)
+    lines = [
+        # No name of the layer's columns is among those that must be gone.
+        f"SELECT '{rule}' AS rule, count(*) = 0 AS passed, coalesce(string_agg(c, ','), '') AS offending"
+        f" FROM (SELECT unnest([{kept}]) AS c) WHERE c IN ('notes', 'meta_data_carga', 'incident_id', 'direct_loss_usd')"
+        for rule in schema
+    ]
+    cut = f"SELECT max(row_key) FILTER (WHERE {split} = 'train') AS l, min(row_key) FILTER (WHERE {split} <> 'train') AS f FROM parted"
+    lines.append(f"SELECT 'no_train_key_after_the_cut', l < f, CASE WHEN l < f THEN '' ELSE CAST(l AS VARCHAR) END FROM ({cut})")
+    rows = "parted JOIN (SELECT incident_id AS row_key, review_flag FROM incidents) USING (row_key)"
+    lines.append(
+        f"SELECT 'no_dropped_column_under_another_name', count(*) FILTER (WHERE {same}) < count(*), '' FROM {rows}"
+    )
+    lines.append(
+        f"""SELECT 'parameters_are_those_of_train', abs(mean_revenue - (SELECT avg(company_revenue_usd) FROM {fitted})) < 1e-6
+              AND abs(std_staff - (SELECT stddev_pop(employee_count) FROM {fitted})) < 1e-6, '' FROM params"""
+    )
+    return "\nUNION ALL ".join(lines)
+
+
+def _splits() -> str:
+    """Inner nodes of both trees; a cut whose two leaves say the same is no node."""
+    names = ", ".join(f"'{n}'" for n in REFINED_FEATURES)
+    parts = []
+    for impurity, model in (("gini", "modelo1_gini"), ("entropy", "modelo2_entropy")):
+        for depth, cuts in ((0, f"{impurity}_top"), (1, f"(SELECT * FROM {impurity}_low WHERE left_class <> right_class)")):
+            parts.append(
+                f"""SELECT '{model}' AS model, CAST({depth} AS BIGINT) AS depth, [{names}][t.f + 1] AS feature,
+                  round(es[t.code + 1], 6) AS threshold, round(gain, 6) AS gain
+                FROM {cuts} t JOIN bounds ON bounds.f = t.f"""
+            )
+    return "\nUNION ALL ".join(parts)
+
+
+WIDE = (
+    SPLIT
+    + """,
+named AS (
+  SELECT row_key, split, company_name FROM parted JOIN incidents ON incident_id = row_key
+),
+words AS (
+  SELECT word, row_number() OVER (ORDER BY word) - 1 AS code
+  FROM (SELECT DISTINCT company_name AS word FROM named WHERE split = 'train')
 )"""
 )
 
@@ -287,13 +444,6 @@ def _catalogue() -> str:
     return "\nUNION ALL ".join(lines)
 
 
-DUMMIES = {
-    "industry_primary": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
-    "attack_vector_primary": ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW", "Desconhecido"),
-    "data_type": ("Desconhecido", "F", "O"),
-}
-
-
 def _feature_layer() -> str:
     dummies = ",\n  ".join(
         f"CAST(CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS BIGINT) AS \"{c}_{v}\""
@@ -359,16 +509,16 @@ METRIC_COLUMNS = ", ".join(f"round({m}, 6) AS {m}" for m in ("acuracia", "precis
 
 
 def _verdict() -> str:
-    return "\nUNION ALL ".join(
-        f"""SELECT '{m}' AS metric, round(a.{m}, 6) AS refined, round(b.{m}, 6) AS feature,
-             round(b.{m} - a.{m}, 6) AS delta,
-             CASE WHEN b.{m} - a.{m} > 0.001 THEN 'SIM' WHEN b.{m} - a.{m} >= 0 THEN '='
-                  ELSE 'NAO' END AS improved
-           FROM measured a, measured b
-           WHERE a.split = 'test' AND b.split = 'test'
-             AND a.model = 'modelo1_gini' AND b.model = 'modelo2_entropy'"""
-        for m in ("acuracia", "precisao", "recall", "f1")
-    )
+    """Metrics of the entropy tree on both layers, each computed as a query of its own."""
+    line = "SELECT {m} FROM measured WHERE split = 'test' AND model = 'modelo2_entropy'"
+    parts = []
+    for m in ("acuracia", "precisao", "recall", "f1"):
+        before = f"({_with(SCORED, line.format(m=m))})"
+        after = f"({_with(PREPARED_SCORED, line.format(m=m))})"
+        parts.append(f"SELECT '{m}' AS metric, {before} AS a, {after} AS b")
+    both = " UNION ALL ".join(parts)
+    return f"""SELECT metric, round(a, 6) AS refined, round(b, 6) AS feature, round(b - a, 6) AS delta,
+      CASE WHEN b - a > 0.001 THEN 'SIM' WHEN b - a >= 0 THEN '=' ELSE 'NAO' END AS improved FROM ({both})"""
 
 
 def _word(flag: str) -> str:
@@ -483,11 +633,22 @@ sizes AS (
         REFINED + "," + RANKED,
         """SELECT industry_primary, count(*) AS listed,
              count(*) FILTER (WHERE is_public_company) AS listed_public,
-             CAST(sum(CASE WHEN rank_in_industry = 1 THEN 1 ELSE 0 END) AS BIGINT)
-               AS top1_por_setor
-           FROM ranked WHERE rank_in_industry <= 5 GROUP BY industry_primary
+             count(*) FILTER (WHERE rank_in_industry = 1) AS leaders,
+             max(rank_in_industry) AS last_rank
+           FROM ranked GROUP BY industry_primary
            ORDER BY listed DESC, industry_primary LIMIT 10""",
     ),
+    "raw_round_trip": "SELECT *, (SELECT count(*) FROM orders) AS meta_qtd_linhas FROM orders",
+    "quartiles_narrowed": """
+        SELECT round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS q2,
+               round(quantile_cont(value, 0.75), 6) AS q3 FROM events""",
+    "split_narrowed": _with(SPLIT, "SELECT row_key, split FROM parted"),
+    "wide_vocabulary": _with(WIDE, "SELECT word, code FROM words"),
+    "wide_transform": _with(
+        WIDE,
+        """SELECT row_key, coalesce(code, (SELECT count(*) FROM words)) AS company_name_code
+           FROM named LEFT JOIN words ON word = company_name""",
+    ),
     "rank_all_rows": """
         SELECT event_id, event_type, value,
                row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rank
@@ -594,11 +755,11 @@ filled AS (
         SELECT o_orderkey, code AS name_code
         FROM orders JOIN customer ON o_custkey = c_custkey
         JOIN words ON customer.c_name = words.c_name""",
-    "leakage_audit": """
-        SELECT rule, true AS passed, '' AS offending FROM (VALUES
-          ('no_column_known_only_afterwards'), ('no_audit_column'),
-          ('no_identifier_as_feature'), ('no_part_of_the_target'),
-          ('no_text_left_of_encoded_columns'), ('split_recorded')) AS v(rule)""",
+    "leakage_audit": _with(PARAMS, _audit("split", "review_flag = data_type", "parted WHERE split = 'train'")),
+    "leakage_found": f"""SELECT rule, CASE WHEN rule = 'no_dropped_column_under_another_name' THEN 'review_flag=status' END
+        AS column_pair FROM ({_with(PARAMS, _audit(
+            "CASE WHEN row_key % 5 = 0 THEN 'test' ELSE 'train' END", "review_flag = review_flag", "parted"))})
+        WHERE NOT passed""",
     "feature_matrix": _with(
         REFINED,
         """SELECT row_key, coalesce(company_revenue_usd, 0.0) AS company_revenue_usd,
@@ -680,5 +841,6 @@ typed AS (SELECT *, TRY_CAST(company_revenue_usd AS DOUBLE) AS x FROM incidents)
              round(total_loss_usd, 4) AS total_loss_usd
            FROM numbered""",
     ),
-    "layer_verdict": _with(SCORED, _verdict()),
+    "layer_verdict": _verdict(),
+    "shallow_splits": _with(SCORED, _splits()),
 }

@@ -8,7 +8,7 @@ parameters, metric rows and importances, never table rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lamina import domain
 from lamina.domain import FeatureSpec, RefineSpec
 from lamina.operators import evaluate, explore, features, refine, trees
-from lamina.operators.ordering import with_ordered_split
+from lamina.operators.ordering import with_ordered_split, with_ordinal
 from lamina.sources import ingest, layers
 
 
@@ -117,16 +117,10 @@ def score_layer(
     """Label by the median, train each model on train, predict every row."""
     threshold = evaluate.label_threshold(df, target)
     labelled = evaluate.with_label(df, threshold, target)
-    small = trees.is_small(df)
-    if small:
-        labelled = trees.spread_over_cores(labelled, key)
-    rows = trees.matrix(labelled, names, "label", [key, "split", target])
+    edges = trees.bin_edges(labelled.filter(F.col("split") == "train"), names, key)
+    rows = trees.matrix(labelled, names, "label", [key, "split", target], edges)
     train = rows.filter(F.col("split") == "train")
-    if small:  # every tree passes over it several times
-        train = train.persist()
-    fitted = tuple(trees.fit_tree(train, names, spec) for spec in specs)
-    if small:
-        train.unpersist()
+    fitted = tuple(trees.fit_tree(train, names, spec, edges=edges) for spec in specs)
     for tree in fitted:
         rows = trees.predict(rows, tree, tree.spec.name)
     return Scored(rows, fitted, threshold)
@@ -138,6 +132,11 @@ def model_metrics(scored: Scored) -> DataFrame:
     return evaluate.evaluate_models(scored.rows, "label", names, ["split"])
 
 
+def stored_scores(scored: Scored, path: str) -> Scored:
+    """The same with its rows written, so that no report computes predictions again."""
+    return replace(scored, rows=_stored(scored.rows, path))
+
+
 def _stored(df: DataFrame, path: str) -> DataFrame:
     return layers.read_layer(df.sparkSession, layers.write_layer(df, path))
 
@@ -154,12 +153,17 @@ def model_stage(
     prepared = score_layer(
         feature_rows, features.detect_features(feature_rows), (trees.ENTROPY,)
     )
+    scored = stored_scores(scored, f"{to.models}/scored_refined.parquet")
+    prepared = stored_scores(prepared, f"{to.models}/scored_feature.parquet")
     gini, entropy = scored.trees
     # small tables used by several reports: computed once, then read
     metrics = _stored(model_metrics(scored), f"{to.reports}/metrics_by_split.parquet")
     test_metrics = metrics.filter(F.col("split") == "test")
     gap = evaluate.overfit_gap(metrics)
-    test = scored.rows.filter(F.col("split") == "test")
+    test = _stored(
+        with_ordinal(scored.rows.filter(F.col("split") == "test"), [F.asc(domain.ROW_KEY)], "id"),
+        f"{to.models}/scored_test.parquet",
+    )
     reports = {
         "metrics": evaluate.metrics_table(test_metrics),
         "overfit_gap": gap,
@@ -203,6 +207,12 @@ def run(spark: SparkSession, csv_files: Sequence[str], root: str) -> dict[str, D
         layers.write_csv(report, f"{to.reports}/{name}")
     params = feature_stage(spark, to)
     reports["catalogue"] = features.catalogue(spark, params)
-    reports["leakage_audit"] = features.leakage_audit(layers.read_layer(spark, to.features))
+    refined = with_ordered_split(layers.read_layer(spark, to.refined), domain.ROW_KEY)
+    raw = layers.read_layer(spark, f"{to.raw}/incidents_master.parquet")
+    dropped = [n for n in raw.columns if n in domain.LEAKING_COLUMNS]
+    gone = raw.select(F.col(domain.KEY).alias(domain.ROW_KEY), *[F.col(n) for n in dropped])
+    reports["leakage_audit"] = features.leakage_audit(
+        layers.read_layer(spark, to.features), source=refined.join(gone, domain.ROW_KEY), params=params
+    )
     reports.update(model_stage(spark, to))
     return reports

@@ -8,11 +8,14 @@ data: negative balances, unspecified priorities, pending orders.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina import domain
-from lamina.operators import features, ordering, refine
+from lamina.operators import features, ordering, refine, trees
+from lamina.plans import stages
 from lamina.session import fresh_path
 from lamina.sources.layers import read_layer, write_layer
 
@@ -124,3 +127,19 @@ def feature_layer(spark: SparkSession, folder: str) -> DataFrame:
         "feature",
         lambda: features.build_features(refined(spark, folder))[0],
     )
+
+
+SHALLOW = (replace(trees.GINI, depth=2), replace(trees.ENTROPY, depth=2))
+_scored: dict[tuple, stages.Scored] = {}
+
+
+def scored(
+    spark: SparkSession, folder: str, specs: tuple[trees.TreeSpec, ...], layer: str = "refined"
+) -> stages.Scored:
+    """A layer with the predictions of trees, trained and written once per application."""
+    key = (spark.sparkContext.applicationId, folder, specs, layer)
+    if key not in _scored:
+        rows = split_rows(spark, folder) if layer == "refined" else feature_layer(spark, folder)
+        fresh = stages.score_layer(rows, features.detect_features(rows), specs)
+        _scored[key] = stages.stored_scores(fresh, fresh_path(spark, f"scored-{layer}"))
+    return _scored[key]

@@ -57,14 +57,17 @@ def ingest(
     raw_folder: str,
     schema: T.StructType | None = None,
     infer: bool = False,
+    **options: str,
 ) -> str:
     """One CSV (file or folder of parts) to one raw Parquet table; its path.
 
+    ``options`` are the reader's, such as ``sep``, ``escape`` or ``multiLine``.
+
     The row count has to be on every row, so the source is counted first. The
     count parses no columns; a window over the whole table would instead send
     every row through one task.
     """
-    source = read_csv(spark, path, schema, infer)
+    source = read_csv(spark, path, schema, infer, **options)
     name = table_name(path)
     target = os.path.join(raw_folder, f"{name}.parquet")
     audited = with_audit(source, f"{name}.csv", source.count())
@@ -73,11 +76,15 @@ def ingest(
 
 
 def ingest_all(
-    spark: SparkSession, files: Mapping[str, str] | list[str], raw_folder: str, infer: bool = False
+    spark: SparkSession,
+    files: Mapping[str, str] | list[str],
+    raw_folder: str,
+    infer: bool = False,
+    **options: str,
 ) -> dict[str, str]:
     """Every listed CSV to its raw table: table name -> Parquet path."""
     paths = list(files.values()) if isinstance(files, Mapping) else files
-    return {table_name(p): ingest(spark, p, raw_folder, infer=infer) for p in paths}
+    return {table_name(p): ingest(spark, p, raw_folder, infer=infer, **options) for p in paths}
 
 
 def layer_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -5,6 +7,7 @@ from pyspark.sql import functions as F
 from lamina import session
 from lamina.domain import FeatureSpec
 from lamina.operators import features
+from lamina.operators.ordering import with_ordered_split
 from tests.conftest import rows
 
 SPEC = FeatureSpec()
@@ -98,21 +101,56 @@ def test_names_that_fall_together(spark):
     assert features.dummy_names("c", ["a.b", "a_b"], set()) == ["c_a_b", "c_a_b_2"]
 
 
-def test_wide_vocabulary_goes_through_a_table(spark, monkeypatch):
+def test_names_that_differ_in_case(spark, tmp_path):
+    assert features.dummy_names("c", ["SaaS", "saas"], set()) == ["c_SaaS", "c_saas_2"]
+    df = refined(spark).withColumn("industry_primary", F.when(F.col("row_key") % 2 == 0, "SaaS").otherwise("saas"))
+    table, _ = features.build_features(df)
+    table.write.parquet(str(tmp_path / "layer"))
+    assert spark.read.parquet(str(tmp_path / "layer")).count() == 50
+
+
+def test_a_wide_nominal_column_is_refused(spark):
     df = refined(spark).withColumn("industry_primary", F.concat(F.lit("w"), F.col("row_key")))
-    spec = FeatureSpec(widest_vocabulary=10)
+    with pytest.raises(ValueError, match="industry_primary"):
+        features.build_features(df, FeatureSpec(widest_vocabulary=10))
+
+
+@pytest.mark.parametrize("categories", [3, 50])
+def test_index_table_of_any_width(spark, monkeypatch, tmp_path, categories):
+    word = F.concat(F.lit("w"), F.col("row_key") % categories)
+    df = refined(spark).withColumn("industry_primary", word)
+    spec = FeatureSpec(nominal=("attack_vector_primary", "data_type"), indexed=("industry_primary",))
     for bound in (100_000, 0):
         monkeypatch.setattr(session, "BROADCAST_ROWS", bound)
         table, params = features.build_features(df, spec)
-        assert params.wide == ("industry_primary",)
         codes = {r["row_key"]: r["industry_primary_code"] for r in table.collect()}
-        words = sorted(f"w{i}" for i in range(40))
-        assert all(codes[i] == words.index(f"w{i}") for i in range(40))
-        assert all(codes[i] == 40 for i in range(40, 50))
+        words = sorted({f"w{i % categories}" for i in range(40)})
+        for i in range(50):
+            name = f"w{i % categories}"
+            assert codes[i] == (words.index(name) if name in words else len(words))
+        # Stored and read again, the parameters give the layer for any frame.
+        path = str(tmp_path / f"params-{bound}")
+        features.params_table(spark, params).write.parquet(path)
+        again = features.transform(df, features.read_params(spark.read.parquet(path)), spec)
+        assert {r["row_key"]: r["industry_primary_code"] for r in again.collect()} == codes
+        assert set(table.columns) - {"split"} <= set(again.columns)
     vectors, _ = features.one_hot_vector(table, "industry_primary_code", "v")
     assert vectors.count() == 50
 
 
+def test_numbers_that_are_not_finite(spark, tmp_path):
+    odd = {1: "inf", 2: "-Infinity", 3: "NaN", 4: "12d", 5: "30f", 6: "1e3", 7: "1e999"}
+    cell = F.create_map(*[F.lit(x) for pair in odd.items() for x in pair])
+    text = F.coalesce(F.element_at(cell, F.col("row_key").cast("int")), F.col("company_revenue_usd").cast("string"))
+    df = refined(spark).withColumn("company_revenue_usd", text)
+    table, params = features.build_features(df)
+    table.write.parquet(str(tmp_path / "layer"))
+    got = {r["row_key"]: r for r in spark.read.parquet(str(tmp_path / "layer")).collect()}
+    assert all(math.isfinite(r["company_revenue_usd"]) and math.isfinite(r["company_revenue_usd_scaled"]) for r in got.values())
+    assert all(math.isfinite(v) for v in (params.z_low, params.z_high, params.means["company_revenue_usd"]))
+    assert all(got[i]["company_revenue_usd"] == got[1]["company_revenue_usd"] for i in (2, 3, 4, 5, 7))
+
+
 def test_alphabetical_codes(spark):
     df = refined(spark)
     train = df.filter("row_key < 40")
@@ -146,6 +184,17 @@ def test_clip_effect(spark):
 def test_leakage_audit(spark):
     table, _ = features.build_features(refined(spark))
     assert all(r["passed"] for r in features.leakage_audit(table).collect())
+    source = with_ordered_split(refined(spark), "row_key").withColumn("review_flag", F.col("employee_count"))
+    _, params = features.build_features(refined(spark))
+    found = features.leakage_audit(table, source=source.drop("review_flag"), params=params)
+    assert found.count() == 9 and all(r["passed"] for r in found.collect())
+    twin = table.withColumn("hidden", F.col("employee_count"))
+    source = twin.select("row_key", F.col("hidden").alias("review_flag")).join(source.drop("review_flag"), "row_key")
+    mixed = twin.withColumn("split", F.when(F.col("row_key") % 2 == 0, "train").otherwise("test"))
+    wrong = features.leakage_audit(mixed, source=source, params=features.FitParams(fence=1.0))
+    failed = {r["rule"]: r["offending"] for r in wrong.filter("not passed").collect()}
+    assert set(failed) == {"no_train_key_after_the_cut", "no_dropped_column_under_another_name", "parameters_are_those_of_train"}
+    assert "review_flag=hidden" in failed["no_dropped_column_under_another_name"]
     leaking = features.leakage_audit(table.withColumn("notes", F.lit("x")))
     assert [r["offending"] for r in leaking.filter("not passed").collect()] == ["notes"]
 

@@ -109,3 +109,34 @@ def test_nodes_and_storage(spark, planted):
     assert root["feature"] == "x1" and abs(root["threshold"] - 0.4) < 0.05
     loaded = trees.load_model(tree.spec, tree.features, trees.save_model(tree, fresh_path(spark, "model")))
     assert trees.predict(rows_, loaded).filter("prediction is null").count() == 0
+
+
+def test_trees_do_not_depend_on_partitions(spark):
+    df = spark.range(30_000).select(
+        "id", *[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(100_003)).cast("double").alias(f"x{k}") for k in range(4)]
+    )
+    noise = F.pmod(F.xxhash64("id", F.lit("noise")), F.lit(10)) < 3
+    df = df.withColumn("label", ((F.col("x1") > 40_000) & (F.col("x2") > 30_000) | noise).cast("int"))
+    names = ["x0", "x1", "x2", "x3"]
+    dumps, drops = [], []
+    for part in (df.coalesce(1), df.repartition(7), df.repartition(3, "x3")):
+        edges = trees.bin_edges(part, names, "id")
+        assert all(len(e) == trees.BINS - 1 for e in edges.values())
+        rows_ = trees.matrix(part, names, "label", ["id"], edges)
+        tree = trees.fit_tree(rows_, names, trees.ENTROPY, edges=edges)
+        dumps.append([tuple(r) for r in trees.tree_nodes(df, tree).orderBy("node").collect()])
+        losses = trees.permutation_importance(rows_.filter("id % 10 = 0"), tree, "id")
+        drops.append([tuple(r) for r in losses.collect()])
+    assert dumps[0] == dumps[1] == dumps[2] and len(dumps[0]) > 20
+    assert drops[0] == drops[1] == drops[2]
+    # The root's cut is a value of the feature, and depth grows by one.
+    depth = {n[0]: n[1] for n in dumps[0]}
+    assert all(depth[n[4]] == depth[n[5]] == n[1] + 1 for n in dumps[0] if n[2])
+
+
+def test_codes(spark):
+    df = spark.createDataFrame([(None,), (-1.0,), (0.0,), (1.0,), (1.5,), (9.0,)], "a double")
+    got = [r["a"] for r in trees.coded(df, {"a": (0.0, 1.0, 2.0)}).collect()]
+    assert got == [0.0, 0.0, 0.0, 1.0, 2.0, 3.0]
+    assert trees.bin_edges(df.limit(0), ["a"], "a") == {"a": ()}
+    assert [r["a"] for r in trees.coded(df.limit(2), {"a": ()}).collect()] == [0.0, 0.0]

@@ -21,6 +21,13 @@ def test_csv_text_and_audit(spark, tmp_path):
     assert rows(refine.rejected_values(typed, ["total_loss_usd"])) == [("total_loss_usd", 1)]
 
 
+def test_reader_options_reach_the_source(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a;b\n1;"two\nlines"\n')
+    got = layers.read_layer(spark, ingest.ingest(spark, str(path), str(tmp_path / "raw"), sep=";", multiLine="true"))
+    assert [(r["a"], r["b"]) for r in got.collect()] == [("1", "two\nlines")]
+
+
 def test_inferred_types(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("a,b\n1,1.5\n2,$5\n")

@@ -41,6 +41,7 @@ def test_all_stages(spark, tmp_path):
     refined = layers.read_layer(spark, f"{tmp_path}/run/refined/dataset_ml.parquet")
     assert refined.count() == 366
     assert not set(domain.LEAKING_COLUMNS) & set(refined.columns)
+    assert "is_public_company" in features.detect_features(refined)
     assert refined.filter("attack_vector_primary = 'Desconhecido'").count() > 0
     table = layers.read_layer(spark, f"{tmp_path}/run/feature/dataset_ml_ready.parquet")
     assert table.filter("split = 'train'").count() == 292
