@@ -58,8 +58,7 @@ def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
     rows = pii_disclosure.detect(table(spark, folder, "documents"))
     counts = [
-        F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{pattern.kind}")
-        for i, pattern in enumerate(pii_disclosure.PATTERNS)
+        pii_disclosure.count_of(i).alias(f"n_{pattern.kind}") for i, pattern in enumerate(pii_disclosure.PATTERNS)
     ]
     listed = pii_disclosure.listed
     return rows.select(
@@ -113,5 +112,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_licenses": license_join.oracle(),
+    "op5_pii": pii_disclosure.oracle(),
     "op7_quality_rules": quality_rules.oracle(),
 }
