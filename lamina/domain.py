@@ -64,6 +64,10 @@ MODEL_COLUMNS = (
 
 CORRELATED = ("total_loss_usd", "company_revenue_usd", "employee_count", "quality_score")
 
+# Columns of the group reports.
+GROUP_ROWS, GROUP_MEAN, GROUP_MOST, SECOND_MEAN = "num_incidentes", "perda_media", "perda_maxima", "receita_media"
+ALL_ROWS, LEADERS = "total_incidentes", "top1_por_setor"
+
 HIGH, LOW = "Alto", "Baixo"
 YES, NO = "SIM", "NAO"
 EQUAL = "="

@@ -8,20 +8,22 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina import domain
 from lamina.functions.scalars import col, finite_or_zero
 from lamina.operators.ordering import rank_within_group, top_k, with_ordinal
 from lamina.operators.selection import quantiles, upper_fence, usable
+from lamina.session import cut_lineage
 from lamina.sources.layers import register_view
 
 
 def group_counts(df: DataFrame, group: str) -> DataFrame:
     """Rows per group with their share of all; NULL is a group of its own.
 
-    The total is counted first (from the footers of a Parquet layer); a
-    window over all groups would put them into one task.
+    The total is the sum of the groups' counts, which are written once, so that
+    the rows are read once; a window over all groups would put them into one task.
     """
-    total = df.count()
-    counts = df.groupBy(col(group)).agg(F.count("*").alias("count"))
+    counts = cut_lineage(df.groupBy(col(group)).agg(F.count("*").alias("count")))
+    total = counts.agg(F.sum("count")).first()[0] or 0
     return counts.withColumn("percent", F.lit(100.0) * F.col("count") / F.lit(total))
 
 
@@ -43,12 +45,12 @@ def group_profile(df: DataFrame, group: str, measure: str, second: str) -> DataF
     return (
         df.groupBy(col(group))
         .agg(
-            F.count(F.lit(1)).alias("num_incidentes"),
-            F.avg(col(measure)).alias("perda_media"),
-            F.max(col(measure)).alias("perda_maxima"),
-            F.avg(col(second)).alias("receita_media"),
+            F.count(F.lit(1)).alias(domain.GROUP_ROWS),
+            F.avg(col(measure)).alias(domain.GROUP_MEAN),
+            F.max(col(measure)).alias(domain.GROUP_MOST),
+            F.avg(col(second)).alias(domain.SECOND_MEAN),
         )
-        .orderBy(F.desc("num_incidentes"), F.asc_nulls_first(group))
+        .orderBy(F.desc(domain.GROUP_ROWS), F.asc_nulls_first(group))
     )
 
 
@@ -107,17 +109,17 @@ def best_per_group_tally(
     """
     if view:
         register_view(ranked_rows(df, group, measure, key), view)
-    sizes = df.groupBy(col(group)).agg(F.count("*").alias("total_incidentes"))
+    sizes = df.groupBy(col(group)).agg(F.count("*").alias(domain.ALL_ROWS))
     best = (
         ranked_in_group(df, group, measure, key, "_rank")
         .filter(F.col("_rank") <= 1)
         .groupBy(col(group).alias("_group"))
-        .agg(F.count("*").alias("top1_por_setor"))
+        .agg(F.count("*").alias(domain.LEADERS))
     )
     tally = sizes.join(best, sizes[group].eqNullSafe(best["_group"]), "left").select(
-        group, "total_incidentes", F.coalesce("top1_por_setor", F.lit(0)).alias("top1_por_setor")
+        group, domain.ALL_ROWS, F.coalesce(domain.LEADERS, F.lit(0)).alias(domain.LEADERS)
     )
-    return top_k(tally, [F.desc("total_incidentes"), F.asc_nulls_first(group)], k)
+    return top_k(tally, [F.desc(domain.ALL_ROWS), F.asc_nulls_first(group)], k)
 
 
 def measure_summary(df: DataFrame, measure: str, rule: str = "linear", **limits: int) -> DataFrame:

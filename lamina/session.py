@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -25,6 +27,7 @@ def build_session(app: str = "lamina", master: str | None = None, **conf: str) -
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.compress", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -37,7 +40,8 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and written layers, visible to all executors.
 
     Uses what the cluster names in ``spark.checkpoint.dir``. Only a local
-    master may fall back to a temporary folder of this machine.
+    master may fall back to a temporary folder of this machine, which goes
+    when the process ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
@@ -45,6 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="lamina-shared-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
