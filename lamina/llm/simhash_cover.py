@@ -196,7 +196,7 @@ def links(prints: DataFrame, radius: int = 3, widest: int = WIDEST) -> DataFrame
     masks = covering_masks(list(range(BITS)), radius)
     # A print becomes a row of every table: spread by number, as bytes before that would put them in few tasks.
     spread = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = _tables(prints.repartition(spread, "fp"), masks)
+    rows = _tables(prints.repartition(spread, F.xxhash64("fp")), masks)
     found = None
     level = 0
     while True:
