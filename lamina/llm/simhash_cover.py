@@ -15,6 +15,9 @@ dealt to finer tables by covering the bits its mask has left open, again and
 again: after each level about half of the open bits are left, and with f open bits a
 bucket cannot hold more than 2^f distinct fingerprints, so this ends.
 
+``representatives`` does not use fingerprints: it joins the five-word shingle sets of
+whole texts exactly and keeps one row of each component.
+
 Defined results: NULL and empty texts and texts of spaces have fingerprint zero
 and are linked like any other; fewer than three words are one shingle; rows with
 the same fingerprint are one class; NULL doc_ids join their class and component,
@@ -24,7 +27,8 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.common import text_slices, texts_of
 from lamina.llm.components import connected_components
-from lamina.session import cut_lineage
+from lamina.session import BROADCAST_ROWS, cut_lineage
 
 BITS = 64
 SEED = 42
@@ -245,23 +249,185 @@ def near_duplicates(
     return rows.join(named, "fp").select(*columns, "fp", "component_id")
 
 
+# ---- one of each group, by whole texts ----------------------------------------------
+
+SIMILARITY = 0.8
+SHINGLE = 5
+# Rows whose shingles are counted to put common ones last, and how many of these rows make one common.
+COUNTED_ROWS = 4000
+COMMON = 8
+MOST_COMMON = 50_000
+# In so many rounds (STARS) members of a bucket are compared with one of them, chosen by one of so many orders.
+ORDERS = 4
+STARS = 2
+
+
+def shingle_set(text: str, words_each: int = SHINGLE) -> np.ndarray:
+    """Distinct shingle hashes in ascending order."""
+    return np.unique(shingle_hashes(text, words_each))
+
+
+def _set_key(shingles: np.ndarray) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(shingles.tobytes(), SEED) if len(shingles) else 0
+
+
+def _least_shared(size: int, similarity: float) -> int:
+    """Shingles a set shares at least with any set of that Jaccard similarity."""
+    return math.ceil(similarity * size - 1e-9)
+
+
+def _longs(numbers: Iterable) -> pa.Array:
+    return pa.array(np.fromiter(numbers, np.uint64).view(np.int64))
+
+
+def _list_of_longs(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)])
+    flat = np.concatenate(arrays) if arrays else np.array([], np.uint64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.view(np.int64)))
+
+
+def _sets_of(rows: DataFrame, words_each: int) -> DataFrame:
+    """set_key and its shingles for rows of one column ``_text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "_text"):
+                sets = [shingle_set(one, words_each) for one in texts_of(part, "_text")]
+                yield pa.RecordBatch.from_arrays([_longs(map(_set_key, sets)), _list_of_longs(sets)], ["set_key", "shingles"])
+
+    return rows.select("_text").mapInArrow(run, "set_key long, shingles array<long>")
+
+
+def common_shingles(docs: DataFrame, text: str, words_each: int) -> np.ndarray:
+    """Shingles of many rows, the commonest last, by a bounded number of rows chosen by hash."""
+    share = min(1.0, COUNTED_ROWS / max(1, docs.count()))
+    rows = docs.select(F.col(text).alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    sets = _sets_of(rows, words_each).dropDuplicates(["set_key"])
+    counted = sets.select(F.explode("shingles").alias("one")).groupBy("one").count().where(F.col("count") >= COMMON)
+    most = counted.orderBy(F.desc("count"), "one").limit(MOST_COMMON).collect()
+    return np.array([row["one"] for row in reversed(most)], np.int64).view(np.uint64)
+
+
+def _prefixes(docs: DataFrame, text: str, keep: tuple[str, ...], similarity: float, words_each: int) -> DataFrame:
+    """``keep``, set_key, size, and the shingles of which similar sets share one.
+
+    In any order of all shingles, sets that share ``need`` of ``n`` have one in common
+    among the first n - need + 1 of each. Common ones are last here, so they are seldom
+    among these; the order decides the work, never the result.
+    """
+    common = common_shingles(docs, text, words_each)
+    order = np.argsort(common)
+    kinds = dict(docs.dtypes)
+    names = [f"k{i}" for i in range(len(keep))]
+
+    def prefix(shingles: np.ndarray) -> np.ndarray:
+        count = len(shingles) - _least_shared(len(shingles), similarity) + 1 if len(shingles) else 0
+        if not len(common):
+            return shingles[:count]
+        at = np.minimum(np.searchsorted(common, shingles, sorter=order), len(common) - 1)
+        place = np.where(common[order[at]] == shingles, order[at] + 1, 0)
+        return shingles[np.argsort(place, kind="stable")[:count]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, "_text"):
+                sets = [shingle_set(one, words_each) for one in texts_of(part, "_text")]
+                made = [_longs(map(_set_key, sets)), pa.array(list(map(len, sets)), pa.int32()), _list_of_longs([prefix(one) for one in sets])]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], [*names, "set_key", "size", "prefix"])
+
+    rows = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], F.col(text).alias("_text"))
+    schema = ", ".join([*(f"{n} {kinds[k]}" for k, n in zip(keep, names)), "set_key long, size int, prefix array<long>"])
+    return rows.mapInArrow(run, schema).withColumnsRenamed(dict(zip(names, keep)))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of set keys (a, b) whose whole sets are similar."""
+    one = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("one"))
+    other = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("other"))
+    both = pairs.join(one, "a").join(other, "b")
+    shared = F.size(F.array_intersect("one", "other"))
+    total = F.size("one") + F.size("other") - shared
+    return cut_lineage(both.where(shared >= similarity * total - 1e-9).select("a", "b"))
+
+
+def similar_sets(
+    classes: DataFrame, keys: DataFrame, texts: DataFrame, similarity: float, words_each: int, stars: int = STARS
+) -> DataFrame:
+    """set_key and root of each set that another one is similar to, directly or through others.
+
+    ``classes`` has the prefixes, ``keys`` a _key of each set, ``texts`` _text by _key. Sets that
+    share a shingle of their prefixes are candidates. In ``stars`` rounds each set is compared with
+    one other only; then all pairs are compared that are not connected yet and share enough of their
+    prefixes. So groups of copies cost little more than their rows, and no pair is left out
+    but those that are connected.
+    """
+    rows = classes.select("set_key", "size", F.explode("prefix").alias("one"))
+    buckets = cut_lineage(rows.groupBy("one").count().where("count > 1").select("one"))
+    shared = rows.join(F.broadcast(buckets) if buckets.count() <= BROADCAST_ROWS else buckets, "one", "left_semi")
+    shared = cut_lineage(shared.withColumn("root", F.col("set_key")))
+
+    def near(one: str, other: str) -> Column:
+        return F.least(one, other) >= similarity * F.greatest(one, other) - 1e-9
+
+    # Past the end of the shorter prefix at most need - 1 shingles of its set are left to share.
+    enough = F.ceil(similarity / (1 + similarity) * (F.col("size") + F.col("size_b")) - 1e-9)
+    least = enough - F.ceil(similarity * F.greatest("size", "size_b") - 1e-9) + 1
+    found = None
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The similar ones; texts of sets in no pair are not read as sets."""
+        pairs = cut_lineage(pairs.select("a", "b"))
+        wanted = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct().join(keys, "set_key")
+        wanted = cut_lineage(wanted.select("_key"))
+        some = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "_key", "left_semi")
+        return _verified(pairs, cut_lineage(_sets_of(some, words_each).dropDuplicates(["set_key"])), similarity)
+
+    def connected(new: DataFrame) -> DataFrame:
+        nonlocal found
+        found = new if found is None else found.union(new)
+        return cut_lineage(connected_components(found, "a", "b")).withColumnRenamed("node", "set_key")
+
+    def unsettled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+        """Rows with their roots, in buckets of more than one."""
+        named = cut_lineage(rows.drop("root").join(roots, "set_key", "left").withColumn("root", F.coalesce("root", "set_key")))
+        mixed = named.groupBy("one").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+        return cut_lineage(named.join(mixed.select("one"), "one", "left_semi"))
+
+    for star in range(stars):
+        rank = F.xxhash64("set_key", F.pmod("one", F.lit(ORDERS)), F.lit(star))
+        centres = shared.groupBy("one").agg(F.min(F.struct(rank.alias("rank"), "set_key", "size", "root")).alias("c"))
+        centres = centres.select("one", F.col("c.set_key").alias("b"), F.col("c.size").alias("size_b"), F.col("c.root").alias("root_b"))
+        pairs = shared.join(centres, "one").where((F.col("root") != F.col("root_b")) & near("size", "size_b"))
+        pairs = pairs.groupBy(F.col("set_key").alias("a"), "b", "size", "size_b").count().where(F.col("count") * ORDERS >= least)
+        pairs = pairs.groupBy("a").agg(F.max(F.struct("count", "b"))["b"].alias("b"))
+        shared = unsettled(shared, connected(verified(pairs)))
+    other = shared.withColumnsRenamed({"set_key": "b", "size": "size_b", "root": "root_b"})
+    rest = shared.withColumnRenamed("set_key", "a").join(other, "one")
+    rest = rest.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near("size", "size_b"))
+    rest = rest.groupBy("a", "b", "size", "size_b").count().where(F.col("count") >= least)
+    return connected(verified(rest))
+
+
 def representatives(
-    docs: DataFrame, text: str = "text", id: str = "doc_id", radius: int = 6, words_each: int = 1, distinct: bool = True
+    docs: DataFrame, text: str = "text", id: str = "doc_id", similarity: float = SIMILARITY, words_each: int = SHINGLE
 ) -> DataFrame:
     """The rows of ``docs`` of which one stays for each component: its smallest id, NULL ids last.
 
-    The defaults find texts that share 0.8 or more of their five-word shingles: a
-    word that is changed changes one shingle of one word but five of five, so such
-    texts are within six bits over their distinct words, where unrelated ones are not.
-    Rows that share id and text are one. The texts are shuffled once, by what
-    identifies a row; rows repeated there are then dropped without another shuffle.
+    Links are pairs of texts whose sets of ``words_each``-word shingles have a Jaccard
+    similarity of ``similarity`` or more, on whole texts; none is missed. Texts without
+    words are alike. Rows that share id and text are one.
     """
     key = F.xxhash64(text)
-    rows = near_duplicates(docs.withColumn("_key", key), text, id, radius, words_each, keep=("_key",), distinct=distinct)
+    rows = cut_lineage(_prefixes(docs.withColumn("_key", key), text, (id, "_key"), similarity, words_each))
+    classes = rows.groupBy("set_key").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    keys = rows.groupBy("set_key").agg(F.min("_key").alias("_key"))
+    texts = docs.select(key.alias("_key"), F.col(text).alias("_text"))
+    found = similar_sets(classes, keys, texts, similarity, words_each)
+    grouped = rows.select(id, "_key", "set_key").join(found, "set_key", "left")
     order = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), F.col("_key").alias("key"))
-    # The component's rows share the class of fingerprints; a NULL component is told by its fingerprint.
-    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
-    chosen = rows.groupBy(group).agg(F.min(order).alias("o")).select("o.id", "o.key")
+    chosen = grouped.groupBy(F.coalesce("root", "set_key")).agg(F.min(order).alias("o")).select("o.id", "o.key")
     chosen = chosen.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"), F.col("key").alias("_k")).distinct()
     named = docs.withColumns({"_id": F.coalesce(F.col(id).cast("string"), F.lit("")), "_k": key})
     return named.join(chosen, ["_id", "_k"], "left_semi").dropDuplicates(["_id", "_k"]).select(*[f"`{c}`" for c in docs.columns])

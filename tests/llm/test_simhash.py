@@ -1,6 +1,7 @@
 """Fingerprints, covering masks, links and components against brute force."""
 
 import itertools
+import os
 import random
 
 import numpy as np
@@ -140,3 +141,56 @@ def test_one_stays_of_each_group(spark):
     assert sh.representatives(docs.limit(0)).count() == 0
     unnamed = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, "p q r s")], "doc_id long, text string")
     assert sorted(r.text for r in sh.representatives(unnamed).collect()) == ["a b c d", "p q r s"]
+
+
+def plain_kept(rows, least=0.8):
+    """Smallest id of each component of texts whose five-word shingles have a Jaccard similarity of ``least``."""
+    def shingles(text):
+        words = (text or "").encode().lower().split()
+        return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        one, other = sets[i], sets[j]
+        if one == other or 5 * len(one & other) >= 5 * least * len(one | other) - 1e-9 and one and other:
+            a, b = find(i), find(j)
+            root[max(a, b)] = min(a, b)
+    kept = {}
+    for place, (i, _) in enumerate(rows):
+        kept.setdefault(find(place), []).append(i)
+    return sorted(min(ids) for ids in kept.values())
+
+
+def test_only_similar_texts_are_dropped(spark):
+    """Order and repetition of words count, and so do chains whose links are all similar."""
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(60)]
+    turned = words[::-1]
+    rows = [(1, " ".join(words)), (2, " ".join(turned)), (3, " ".join(words * 9)), (4, " ".join(words[:30] * 9 + words[30:]))]
+    chain = [f"c{i}" for i in range(200)]
+    for k in range(8):
+        chain[20 * k + 5] = f"x{k}"
+        rows.append((10 + k, " ".join(chain)))
+    line = "one very common line that stands in many texts of this table"
+    for i in range(40):
+        own = [f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(3, 40))]
+        rows.append((100 + i, line + " " + " ".join(own)))
+        rows.append((200 + i, line + " " + " ".join([*own[:-1], "z"])))
+    rows += [(300, None), (301, " "), (302, "a b"), (303, "A  b"), (304, "b a")]
+    got = sorted(r.doc_id for r in sh.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == plain_kept(rows)
+    assert {1, 2, 10}.issubset(got) and not {11, 17, 303} & set(got)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_given_documents_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert sorted(r.doc_id for r in sh.representatives(docs).collect()) == plain_kept(rows)
