@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from lamina.llm import (
     embedding_graph,
+    hard_negatives,
+    inner_topk,
     license_join,
     mixing,
     pii_disclosure,
@@ -97,6 +99,17 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    id = F.col("vec_id")
+    label = F.col("label").cast("long")
+    moved = F.when(id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.hard_negatives(table(spark, folder, "embeddings"), id % 100 == 0, moved)
+
+
+def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return inner_topk.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_licenses": op2_licenses,
@@ -108,10 +121,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_embeddings": op9_embeddings,
     "op10_simhash": op10_simhash,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_exact_topk": op12_exact_topk,
 }
 
 ORACLES: dict[str, str] = {
     "op2_licenses": license_join.oracle(),
     "op5_pii": pii_disclosure.oracle(),
     "op7_quality_rules": quality_rules.oracle(),
+    "op11_hard_negatives": hard_negatives.oracle(),
+    "op12_exact_topk": inner_topk.oracle(),
 }
