@@ -21,6 +21,7 @@ from lamina.llm import (
     simhash_cover,
     token_counts,
     toxicity_cnn,
+    turn_repair,
 )
 from lamina.llm.common import fold, table
 
@@ -110,6 +111,10 @@ def op12_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return inner_topk.top_products(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op13_turn_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return turn_repair.repair(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_licenses": op2_licenses,
@@ -123,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_exact_topk": op12_exact_topk,
+    "op13_turn_repair": op13_turn_repair,
 }
 
 ORACLES: dict[str, str] = {
