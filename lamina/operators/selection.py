@@ -2,50 +2,52 @@
 
 The built-in exact percentile keeps every distinct value of the column in a
 single aggregation buffer, which does not hold for a large table. Here the
-wanted rank is cornered instead: a bounded random sample proposes two bounds,
-one aggregate counts the rows below, on and between them, and the search goes
-on inside the part that holds the rank. The sample only steers the search;
-the counts decide, so the answer is exact whatever the sample says. A value
-shared by very many rows is met as a bound and counted, never gathered.
+wanted ranks are cornered by radix passes. Each pass maps every value to a bucket
+by a function that never decreases, counts the buckets of all columns in one
+grouped aggregate, and keeps only the buckets that hold a wanted rank; the next
+pass cuts these alone. The first buckets of numbers are sixteenths of an octave on
+both sides of zero, whatever the range of the data; later ones cut what is left
+between a bucket's own smallest and largest value into equal parts, so the 52 bits of
+a double's fraction are used up after five passes at most. Texts are cut by their next
+two characters. A value shared by very many rows ends as a bucket whose
+smallest and largest value are equal, and is never gathered. No pass samples:
+the same ranks take the same passes on every cluster.
 """
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.functions.scalars import col
 from lamina.session import cut_lineage
 
-GATHERED_ROWS = 40_000  # most values of one span that are gathered and sorted
-SAMPLED_ROWS = 20_000  # expected sample size per span and round
-TEXT_GATHERED, TEXT_SAMPLED = 10_000, 4_000  # the same for text, whose values are longer
-LEAST_SAMPLE = 100
+GATHERED_ROWS = 200_000  # most values of one span that are gathered and sorted
+TEXT_GATHERED = 10_000  # the same for text, whose values are longer
+BUCKETS = 4096  # equal parts of a span in one pass
+OCTAVE = 16  # parts of an octave in the first pass
+MOST_OCTAVES = 2200.0  # beyond the 2,098 octaves from the smallest to the largest double
 
 
 @dataclass(frozen=True)
 class Span:
-    """Open value interval known to hold the wanted rank of one column."""
+    """A closed range of one column's values and the wanted ranks in it."""
 
     column: str
-    rank: int  # zero-based among the usable values of the column
-    below: int  # usable values at or below ``low``
-    inside: int  # usable values strictly between ``low`` and ``high``
-    low: Any = None
+    below: int  # usable values below the range
+    size: int  # usable values in it
+    ranks: tuple[int, ...]  # zero-based among the usable values of the column
+    low: Any = None  # smallest and largest value, once known
     high: Any = None
 
-    def holds(self) -> Column:
-        value = col(self.column)
-        test = value.isNotNull()
-        if self.low is not None:
-            test = test & (value > F.lit(self.low))
-        if self.high is not None:
-            test = test & (value < F.lit(self.high))
-        return test
+    @property
+    def settled(self) -> bool:
+        return self.low is not None and self.low == self.high
 
 
 def usable(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -64,12 +66,32 @@ def usable_counts(df: DataFrame, names: Sequence[str]) -> dict[str, int]:
     return {n: row[n] for n in names}
 
 
+# What a type is searched as, the expression that makes it so, and the one that turns it back.
+_AS_LONG = {
+    "date": (F.unix_date, F.date_from_unix_date),
+    "timestamp": (F.unix_micros, F.timestamp_micros),
+}
+
+
+def _family(kind: str) -> str:
+    if kind in ("float", "double"):
+        return "double"
+    if kind in ("tinyint", "smallint", "int", "bigint", "boolean", *_AS_LONG):
+        return "bigint"
+    return kind
+
+
+def _image(name: str, kind: str) -> Column:
+    value = _AS_LONG[kind][0](col(name)) if kind in _AS_LONG else col(name)
+    return value.cast(_family(kind))
+
+
 def select_ranks(
     df: DataFrame,
     ranks: Mapping[str, Sequence[int]],
     sizes: Mapping[str, int] | None = None,
     gathered: int = GATHERED_ROWS,
-    sampled: int = SAMPLED_ROWS,
+    buckets: int = BUCKETS,
 ) -> dict[str, dict[int, Any]]:
     """Values at zero-based ``ranks`` of each column's sorted usable values."""
     names = [n for n in ranks if ranks[n]]
@@ -77,150 +99,127 @@ def select_ranks(
         return {n: {} for n in ranks}
     sizes = dict(sizes) if sizes is not None else usable_counts(df, names)
     frame = usable(df, names)
+    kinds = dict(frame.dtypes)
     found: dict[str, dict[int, Any]] = {n: {} for n in ranks}
-    open_spans = [
-        Span(column=n, rank=r, below=0, inside=sizes[n])
-        for n in names
-        for r in sorted(set(ranks[n]))
-    ]
-    for span in open_spans:
-        if not 0 <= span.rank < span.inside:
-            raise IndexError(f"rank {span.rank} outside the {span.inside} values of {span.column}")
-
-    total = max(sizes[n] for n in names)
-    seed = 0
-    if any(f.dataType.typeName() == "string" for f in frame.schema.fields):
-        gathered, sampled = min(gathered, TEXT_GATHERED), min(sampled, TEXT_SAMPLED)
-    # a sample well below the span, and not tiny, always leaves a part out
-    sampled = max(sampled, LEAST_SAMPLE)
-    gathered = max(gathered, 2 * sampled)
-    while wide := [s for s in open_spans if s.inside > gathered]:
-        narrow = [s for s in open_spans if s.inside <= gathered]
-        moved = _narrow(frame, _proposed(frame, wide, sampled, seed), found)
-        open_spans = narrow + moved
-        seed += 1
-        kept = sum(s.inside for s in open_spans)
-        if open_spans and 20 * kept < total:
-            keep = open_spans[0].holds()
-            for span in open_spans[1:]:
-                keep = keep | span.holds()
-            frame = cut_lineage(frame.filter(keep))
-            total = kept
-
-    if open_spans:
-        for span, value in zip(open_spans, _gather(frame, open_spans)):
-            found[span.column][span.rank] = value
+    for n in names:
+        for rank in ranks[n]:
+            if not 0 <= rank < sizes[n]:
+                raise IndexError(f"rank {rank} outside the {sizes[n]} values of {n}")
+    for family in dict.fromkeys(_family(kinds[n]) for n in names):
+        mine = [n for n in names if _family(kinds[n]) == family]
+        spans = [Span(n, 0, sizes[n], tuple(sorted(set(ranks[n])))) for n in mine]
+        cells = [F.struct(F.lit(i).alias("span"), _image(n, kinds[n]).alias("v")) for i, n in enumerate(mine)]
+        rows = frame.select(F.explode(F.array(*cells)).alias("cell")) if len(cells) > 1 else frame.select(cells[0].alias("cell"))
+        rows = rows.select("cell.span", "cell.v").where("v is not null")
+        limit = min(gathered, TEXT_GATHERED) if family == "string" else gathered
+        for name, at in _search(rows, spans, family, limit, buckets).items():
+            found[name] = _turned_back(df, at, kinds[name])
     return found
 
 
-def _proposed(
-    frame: DataFrame, spans: Sequence[Span], sampled: int, seed: int
-) -> list[tuple[Span, Any, Any]]:
-    """Two values per span that a sample places just around the rank."""
-    draw = F.rand(seed)
-    samples = frame.withColumn("_draw", draw).agg(
-        *[
-            F.sort_array(
-                F.collect_list(
-                    F.when(
-                        s.holds() & (F.col("_draw") < F.lit(min(1.0, sampled / s.inside))),
-                        col(s.column),
-                    )
-                )
-            ).alias(f"s{i}")
-            for i, s in enumerate(spans)
-        ]
-    )
-    picks = []
-    for i, span in enumerate(spans):
-        size = F.size(f"s{i}")
-        centre = F.lit((span.rank - span.below) / span.inside) * size
-        margin = 3 * F.sqrt(size.cast("double")) + 1
-        for name, place in ((f"lo{i}", centre - margin), (f"hi{i}", centre + margin)):
-            at = place.cast("int")
-            picks.append(F.when((place >= 0), F.get(F.col(f"s{i}"), at)).alias(name))
-    row = samples.select(*picks).first()
-    return [(s, row[f"lo{i}"], row[f"hi{i}"]) for i, s in enumerate(spans)]
-
-
-def _narrow(
-    frame: DataFrame, proposals: Sequence[tuple[Span, Any, Any]], found: dict[str, dict[int, Any]]
-) -> list[Span]:
-    """Count around the proposed bounds and move each span to its part."""
-    counts = []
-    for i, (span, low, high) in enumerate(proposals):
-        value, inside = col(span.column), span.holds()
-        if low is not None:
-            counts += [
-                F.count_if(inside & (value < F.lit(low))).alias(f"under{i}"),
-                F.count_if(inside & (value == F.lit(low))).alias(f"low{i}"),
-            ]
-        if high is not None:
-            counts += [
-                F.count_if(inside & (value > F.lit(high))).alias(f"over{i}"),
-                F.count_if(inside & (value == F.lit(high))).alias(f"high{i}"),
-            ]
-    if not counts:
-        return [span for span, _, _ in proposals]
-    row = frame.agg(*counts).first().asDict()
-
-    moved = []
-    for i, (span, low, high) in enumerate(proposals):
-        under, on_low = row.get(f"under{i}", 0), row.get(f"low{i}", 0)
-        over, on_high = row.get(f"over{i}", 0), row.get(f"high{i}", 0)
-        if low is not None and low == high:
-            on_high = 0
-        middle = span.inside - under - on_low - on_high - over
-        place = span.rank - span.below
-        if place < under:
-            moved.append(replace(span, high=low, inside=under))
-            continue
-        place -= under
-        if place < on_low:
-            found[span.column][span.rank] = low
-            continue
-        place -= on_low
-        below = span.below + under + on_low
-        if place < middle:
-            moved.append(
-                replace(
-                    span,
-                    low=span.low if low is None else low,
-                    high=span.high if high is None else high,
-                    below=below,
-                    inside=middle,
-                )
-            )
-            continue
-        place -= middle
-        if place < on_high:
-            found[span.column][span.rank] = high
-            continue
-        moved.append(replace(span, low=high, below=below + middle + on_high, inside=over))
-    return moved
-
-
-def _gather(frame: DataFrame, spans: Sequence[Span]) -> list[Any]:
-    """Sort the few values left in each span and take the wanted one."""
-    groups: dict[tuple, int] = {}
+def _turned_back(df: DataFrame, at: dict[int, Any], kind: str) -> dict[int, Any]:
+    if kind == "boolean":
+        return {r: bool(v) for r, v in at.items()}
+    if kind not in _AS_LONG:
+        return at
+    table = df.sparkSession.createDataFrame(list(at.items()), "rank bigint, v bigint")
+    values = table.select("rank", _AS_LONG[kind][1](F.col("v").cast("int" if kind == "date" else "bigint")).alias("v"))
+    return {r["rank"]: r["v"] for r in values.collect()}
+
+
+def _search(
+    rows: DataFrame, spans: list[Span], family: str, gathered: int, buckets: int
+) -> dict[str, dict[int, Any]]:
+    """Radix passes over (span, v) rows until every span is settled or small enough to be sorted."""
+    total = sum(s.size for s in spans)
+    while any(s.size > gathered and not s.settled for s in spans):
+        rows, spans = _pass(rows, spans, family, gathered, buckets)
+        kept = sum(s.size for s in spans if not s.settled)
+        if kept and 20 * kept < total:
+            rows, total = cut_lineage(rows), kept
+    found: dict[str, dict[int, Any]] = {s.column: {} for s in spans}
     for span in spans:
-        groups.setdefault((span.column, span.low, span.high), len(groups))
-    first_of = {g: next(s for s in spans if (s.column, s.low, s.high) == g) for g in groups}
-    gathered = frame.agg(
-        *[
-            F.sort_array(F.collect_list(F.when(s.holds(), col(s.column)))).alias(f"g{groups[g]}")
-            for g, s in first_of.items()
-        ]
+        if span.settled:
+            found[span.column].update({r: span.low for r in span.ranks})
+    left = [i for i, s in enumerate(spans) if not s.settled]
+    if left:
+        sorted_spans = rows.where(F.col("span").isin(left)).groupBy("span").agg(F.sort_array(F.collect_list("v")).alias("vs"))
+        picked = sorted_spans.join(F.broadcast(_places(rows, spans, left)), "span")
+        for row in picked.select("span", "rank", F.get("vs", F.col("place")).alias("v")).collect():
+            found[spans[row["span"]].column][row["rank"]] = row["v"]
+    return found
+
+
+def _places(rows: DataFrame, spans: Sequence[Span], chosen: Sequence[int]) -> DataFrame:
+    """One row for each wanted rank: its span, and its place there."""
+    places = [(i, r, r - spans[i].below) for i in chosen for r in spans[i].ranks]
+    return rows.sparkSession.createDataFrame(places, "span int, rank bigint, place bigint")
+
+
+def _pass(
+    rows: DataFrame, spans: list[Span], family: str, gathered: int, buckets: int
+) -> tuple[DataFrame, list[Span]]:
+    """Counts the buckets of all spans at once; the rows and spans of those that hold a rank."""
+    spark = rows.sparkSession
+    open_spans = [i for i, s in enumerate(spans) if not s.settled]
+    # As many rows as wanted ranks at most, hence broadcast.
+    table = spark.createDataFrame(
+        [(i, spans[i].low, spans[i].high, spans[i].size > gathered, _depth(spans[i], family)) for i in open_spans],
+        f"span int, low {family}, high {family}, cut boolean, depth int",
     )
-    row = gathered.select(
-        *[
-            F.get(
-                F.col(f"g{groups[(s.column, s.low, s.high)]}"), F.lit(s.rank - s.below)
-            ).alias(f"v{i}")
-            for i, s in enumerate(spans)
-        ]
-    ).first()
-    return [row[f"v{i}"] for i in range(len(spans))]
+    known = rows.join(F.broadcast(table), "span")
+    bucket = _text_bucket() if family == "string" else _number_bucket(buckets)
+    first = spans[open_spans[0]].low is None
+    if first and family != "string":
+        bucket = _octave_bucket()
+    none = F.lit("") if family == "string" else F.lit(0).cast("bigint")
+    dealt = known.select("span", "v", F.when(F.col("cut"), bucket).otherwise(none).alias("bucket"))
+    upto = Window.partitionBy("span").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = dealt.groupBy("span", "bucket").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    counted = counts.withColumn("upto", F.sum("n").over(upto))
+    wanted = F.broadcast(_places(rows, spans, open_spans))
+    inside = (F.col("place") < F.col("upto")) & (F.col("place") >= F.col("upto") - F.col("n"))
+    hits = counted.join(wanted, "span").where(inside).collect()
+    made: dict[tuple, dict] = {}
+    for row in hits:
+        made.setdefault((row["span"], row["bucket"]), {"row": row, "ranks": []})["ranks"].append(row["rank"])
+    new = [s for s in spans if s.settled]
+    names = []
+    for (i, bucket_name), entry in made.items():
+        row = entry["row"]
+        names.append((i, bucket_name, len(new)))
+        new.append(
+            Span(spans[i].column, spans[i].below + row["upto"] - row["n"], row["n"], tuple(sorted(entry["ranks"])), row["low"], row["high"])
+        )
+    kind = "string" if family == "string" else "bigint"
+    going = [n for n in names if not new[n[2]].settled]
+    renamed = spark.createDataFrame(going, f"span int, bucket {kind}, new int")
+    left = dealt.join(F.broadcast(renamed), ["span", "bucket"]).select(F.col("new").alias("span"), "v")
+    return left, new
+
+
+def _octave_bucket() -> Column:
+    """Sixteenths of an octave, counted from the smallest positive double up and mirrored below zero."""
+    value = F.col("v").cast("double")
+    octaves = F.least(F.log2(F.abs(value)) + 1075.0, F.lit(MOST_OCTAVES))
+    return F.floor(F.when(value == 0, F.lit(0.0)).otherwise(F.signum(value) * octaves) * OCTAVE).cast("bigint")
+
+
+def _number_bucket(buckets: int) -> Column:
+    """Equal parts of what lies between a span's smallest and largest value, which are finite and of one sign."""
+    part = (F.col("v") - F.col("low")).cast("double") / (F.col("high") - F.col("low")).cast("double")
+    return F.least(F.floor(part * buckets), F.lit(buckets - 1)).cast("bigint")
+
+
+def _text_bucket() -> Column:
+    return F.substring(F.col("v"), F.lit(1), F.col("depth"))
+
+
+def _depth(span: Span, family: str) -> int:
+    """Characters of a text's bucket: two more than all texts of the span share."""
+    if family != "string" or span.low is None:
+        return 2
+    return len(os.path.commonprefix([span.low, span.high])) + 2
 
 
 def quantile_ranks(size: int, p: float, rule: str) -> tuple[int, int, float]:

@@ -71,7 +71,7 @@ def raw_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # Limits that make the search for ranks narrow its spans even on small tables.
-NARROW = {"gathered": 400, "sampled": 200}
+NARROW = {"gathered": 400, "buckets": 64}
 
 
 def quartiles_narrowed(spark: SparkSession, folder: str) -> DataFrame:

@@ -34,7 +34,7 @@ def test_rank_in_a_huge_group(spark, monkeypatch, bound, window_rows):
 @pytest.mark.parametrize("n, train", [(778, 622), (1, 0), (0, 0), (5, 4)])
 def test_split_sizes(spark, n, train):
     df = spark.range(n).withColumn("k", F.reverse(F.lpad(F.col("id").cast("string"), 6, "0")))
-    for limits in ({}, {"gathered": 200, "sampled": 100}):
+    for limits in ({}, {"gathered": 20, "buckets": 8}):
         parts = ordering.with_ordered_split(df, "k", **limits)
         assert parts.filter("split = 'train'").count() == train
         assert parts.filter("split = 'test'").count() == n - train
@@ -64,7 +64,7 @@ def test_seeded_sample(spark):
     first = {r[0] for r in ordering.seeded_sample(df, "id", 100, seed=1).collect()}
     again = {
         r[0]
-        for r in ordering.seeded_sample(df.repartition(7), "id", 100, seed=1, gathered=200, sampled=100).collect()
+        for r in ordering.seeded_sample(df.repartition(7), "id", 100, seed=1, gathered=20, buckets=8).collect()
     }
     other = {r[0] for r in ordering.seeded_sample(df, "id", 100, seed=2).collect()}
     assert len(first) == 100 and first == again and first != other

@@ -1,12 +1,16 @@
+import datetime
+import decimal
+import math
 import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from lamina.operators import selection
 from lamina.operators.selection import quantiles, select_ranks, upper_fence
 
-TINY = {"gathered": 200, "sampled": 100}
+TINY = {"gathered": 20, "buckets": 8}
 
 
 def frame(spark, values):
@@ -54,6 +58,42 @@ def test_text_keys(spark):
     assert got == {0: "k0000", 400: "k0400", 999: "k0999"}
 
 
+def test_numbers_of_any_size_take_few_passes(spark, monkeypatch):
+    """From the smallest to the largest double, both signs, zeros, infinities and neighbours one bit apart."""
+    rng = random.Random(2)
+    values = [rng.choice((-1, 1)) * math.ldexp(1 + rng.random(), rng.randrange(-1074, 1023)) for _ in range(600)]
+    one = 1.0
+    for _ in range(300):
+        values += [one, -one]
+        one = math.nextafter(one, 2)
+    values += [0.0] * 50 + [5e-324, -5e-324, 1.7e308, -1.7e308, math.inf, math.inf, -math.inf]
+    passes = []
+    plain = selection._pass
+    monkeypatch.setattr(selection, "_pass", lambda *a: passes.append(1) or plain(*a))
+    ranks = list(range(0, len(values), 29))
+    got = select_ranks(frame(spark, values), {"x": ranks}, gathered=2)["x"]
+    expected = sorted(values)
+    assert got == {r: expected[r] for r in ranks}
+    assert len(passes) <= 5
+
+
+def test_other_types_and_many_columns(spark):
+    rng = random.Random(3)
+    big = [(1 << 62) + rng.randrange(4000) for _ in range(500)]
+    days = [datetime.date(1950, 1, 1) + datetime.timedelta(rng.randrange(40_000)) for _ in range(500)]
+    times = [datetime.datetime(2001, 1, 1) + datetime.timedelta(microseconds=rng.randrange(1 << 50)) for _ in range(500)]
+    cents = [decimal.Decimal(rng.randrange(-(10**6), 10**6)).scaleb(-2) for _ in range(500)]
+    words = ["é" * rng.randrange(3) + "same start " * 3 + chr(rng.randrange(32, 3000)) for _ in range(500)]
+    data = list(zip(big, days, times, cents, words, [i % 3 == 0 for i in range(500)]))
+    df = spark.createDataFrame(data, "a bigint, b date, c timestamp, d decimal(12,2), e string, f boolean").repartition(3)
+    ranks = [0, 1, 124, 250, 499]
+    got = select_ranks(df, {n: ranks for n in "abcdef"}, **TINY)
+    for i, n in enumerate("abcdef"):
+        key = (lambda w: w.encode()) if n == "e" else None
+        expected = sorted((row[i] for row in data), key=key)
+        assert got[n] == {r: expected[r] for r in ranks}, n
+
+
 def test_rank_outside(spark):
     with pytest.raises(IndexError):
         select_ranks(frame(spark, [1.0]), {"x": [1]})
@@ -64,7 +104,7 @@ def test_rank_outside(spark):
 def test_against_sorted(spark, values, rank):
     values = values * 8
     rank = min(8 * rank, len(values) - 1)
-    got = select_ranks(frame(spark, values), {"x": [rank]}, gathered=200, sampled=100)["x"]
+    got = select_ranks(frame(spark, values), {"x": [rank]}, gathered=20, buckets=8)["x"]
     assert got[rank] == sorted(values)[rank]
 
 
