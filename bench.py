@@ -16,8 +16,8 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from lamina.operators import features
-from lamina.plans import testbed
+from lamina.operators import features, trees
+from lamina.plans import stages, testbed
 from lamina.plans.catalog import QUERIES
 from lamina.session import build_session, fresh_path
 from lamina.sources.layers import write_layer
@@ -32,6 +32,13 @@ def feature_stage(spark, folder):
     write_layer(rows, fresh_path(spark, "bench-feature"))
 
 
+def model_stage(spark, folder):
+    """Trains both trees on the refined rows and predicts every row."""
+    rows = testbed.split_rows(spark, folder)
+    scored = stages.score_layer(rows, features.detect_features(rows), (trees.GINI, trees.ENTROPY))
+    write_layer(scored.rows, fresh_path(spark, "bench-scored"))
+
+
 def query(name):
     def run(spark, folder):
         QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
@@ -51,7 +58,7 @@ def main() -> None:
         spark__driver__memory="12g",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    work = {"stage_refined": refined_stage, "stage_feature": feature_stage}
+    work = {"stage_refined": refined_stage, "stage_feature": feature_stage, "stage_model": model_stage}
     work |= {name: query(name) for name in QUERIES}
     chosen = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
     seconds = {}

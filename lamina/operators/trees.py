@@ -1,27 +1,30 @@
-"""Decision trees on MLlib: training, prediction, importances, structure."""
+"""Decision trees grown from counts: training, prediction, importances, structure.
+
+Features are seen as codes of at most 32 equal ranks. A level of all trees is one
+grouped count of (tree, node, feature, code) over the rows of the smaller children; what their
+siblings hold is the parent's counts less these. Cuts are chosen by a window over the
+counts, so the driver sees one row for each node. A fitted tree is a table of nodes; rows
+walk it by looking up constant arrays, one step a level, in one column expression.
+"""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
-from pyspark.ml.classification import (
-    DecisionTreeClassificationModel,
-    DecisionTreeClassifier,
-)
-from pyspark.ml.feature import Bucketizer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lamina.functions.scalars import col, finite_or_zero, number_of
-from lamina.operators.features import assemble, numeric_matrix
-from lamina.session import shared_folder
+from lamina.operators.features import numeric_matrix
+from lamina.operators.selection import select_ranks
+from lamina.session import cut_lineage
 
 BUCKET_ROWS = 10_000  # rows among which a feature is permuted
 BINS = 32  # codes a feature has at most
-SAMPLED_ROWS = 20_000  # rows, chosen by key hash, whose ranks give the bins
+LEAST_GAIN = 1e-12  # a cut that gains no more is none
+TIE_DIGITS = 12  # gains that agree so far are equal: the first feature, then the lowest cut
 
 
 @dataclass(frozen=True)
@@ -31,8 +34,6 @@ class TreeSpec:
     name: str
     impurity: str
     depth: int
-    seed: int = 42
-    max_bins: int = 128
 
 
 # The two models that are compared.
@@ -40,113 +41,297 @@ GINI = TreeSpec("modelo1_gini", "gini", 5)
 ENTROPY = TreeSpec("modelo2_entropy", "entropy", 10)
 
 
+@dataclass(frozen=True)
+class Node:
+    """A node with its train rows of both classes; inner ones have a cut and two children."""
+
+    depth: int
+    zeros: int
+    ones: int
+    feature: int | None = None
+    code: int | None = None  # rows up to this code, and up to this threshold, go left
+    threshold: float | None = None
+    gain: float | None = None
+    left: int | None = None
+    right: int | None = None
+
+    @property
+    def prediction(self) -> int:
+        return int(self.ones > self.zeros)
+
+
 @dataclass(frozen=True)
 class FittedTree:
+    """Nodes numbered from the root, left before right: a left child follows its parent."""
+
     spec: TreeSpec
-    model: DecisionTreeClassificationModel
     features: tuple[str, ...]
-    edges: Mapping[str, tuple[float, ...]] | None = None
+    nodes: tuple[Node, ...] = field(repr=False)
+
+    @property
+    def depth(self) -> int:
+        return max(n.depth for n in self.nodes)
 
 
 def bin_edges(
-    train: DataFrame, names: Sequence[str], key: str, bins: int = BINS, sampled: int = SAMPLED_ROWS
+    train: DataFrame, names: Sequence[str], bins: int = BINS, **limits: int
 ) -> dict[str, tuple[float, ...]]:
-    """Ascending bounds that cut each feature into at most ``bins`` codes of equal ranks.
-
-    Ranks are those of about ``sampled`` rows at most, chosen by the hash of
-    their key, so the bounds do not depend on cores, partitions or row order.
-    """
+    """Ascending bounds that cut each feature into at most ``bins`` codes of equal ranks of all rows."""
     if not names:
         return {}
-    share = min(1.0, sampled / max(1, train.count()))
-    chosen = F.pmod(F.xxhash64(col(key)), F.lit(1 << 30)) < int(share * (1 << 30))
-    numbers = numeric_matrix(train.filter(chosen), names)
-    ranked = numbers.agg(*[F.sort_array(F.collect_list(col(n))).alias(f"v{i}") for i, n in enumerate(names)])
-    picks = []
-    for i in range(len(names)):
-        place = [F.get(f"v{i}", F.floor(F.size(f"v{i}") * k / bins).cast("int")) for k in range(1, bins)]
-        picks.append(F.array_distinct(F.array_compact(F.array(*place))).alias(f"v{i}"))
-    row = ranked.select(*picks).first()
-    return {n: tuple(row[f"v{i}"]) for i, n in enumerate(names)}
-
-
-def coded(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
-    """Each feature replaced by its code: how many of its bounds are below the value.
-
-    With so few distinct values the learner tries every cut, whatever rows it
-    samples to find candidates, so trees are the same for every partitioning.
+    numbers = numeric_matrix(train, names)
+    rows = numbers.count()
+    places = sorted({rows * k // bins for k in range(1, bins)}) if rows else []
+    at = select_ranks(numbers, {n: places for n in names}, {n: rows for n in names}, **limits)
+    return {n: tuple(sorted({float(v) for v in at[n].values()})) for n in names}
+
+
+def _code(value: Column, edges: Sequence[float]) -> Column:
+    """How many of the ascending bounds lie below the value, found by halving."""
+    if not edges:
+        return F.lit(0)
+    bounds = _constants(edges, "double")
+    steps = [1 << k for k in reversed(range(len(edges).bit_length()))]
+
+    def search(x: Column) -> Column:
+        # A place past the last bound gives NULL, which is not below.
+        further = lambda low, step: F.when(F.get(bounds, low + step - 1) < x, low + step).otherwise(low)
+        return F.aggregate(_constants(steps, "int"), F.lit(0), further)
+
+    return _held(value, search)
+
+
+def codes(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> Column:
+    """Array of each feature's code: how many of its bounds are below the value."""
+    return F.array(*[_code(finite_or_zero(number_of(df, n)), edges[n]) for n in edges]).cast("array<tinyint>")
+
+
+def values(df: DataFrame, features: Sequence[str]) -> Column:
+    """Array of the features as doubles, missing and non-finite ones as 0."""
+    return F.array(*[finite_or_zero(number_of(df, n)) for n in features])
+
+
+# -- walking a tree --------------------------------------------------------------
+
+
+def _constants(numbers: Sequence, kind: str) -> Column:
+    """A constant array; written as one text, so that a plan does not hold an expression for each number."""
+    return F.split(F.lit(",".join(map(repr, numbers))), ",").cast(f"array<{kind}>")
+
+
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, also where the optimizer would write it into each place of use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def leaf_of(nodes: Sequence[Node], cuts: str, value: Callable[[Column], Column]) -> Column:
+    """The number of the node that a row ends in, as one expression over constant arrays.
+
+    ``value`` gives a row's value of a feature number, ``cuts`` names what it is compared
+    with: code or threshold. The step from node to node is written once and repeated for
+    each level, so the expression does not grow with the tree.
     """
-    names = list(edges)
-    if not names:
-        return df
-    # The bucketizer's ranges hold their lower bound; with the sign turned they hold the upper one.
-    turned = df.withColumns({f"_v{i}": -finite_or_zero(number_of(df, n)) for i, n in enumerate(names)})
-    inputs, outputs = ([f"_{kind}{i}" for i in range(len(names))] for kind in "vb")
-    infinite = float("inf")
-    splits = [[-infinite, *[-e for e in reversed(edges[n] or (0.0,))], infinite] for n in names]
-    dealt = Bucketizer(splitsArray=splits, inputCols=inputs, outputCols=outputs).transform(turned)
-    codes = {n: F.lit(float(len(edges[n] or (0.0,)))) - F.col(f"_b{i}") for i, n in enumerate(names)}
-    return dealt.withColumns(codes).drop(*inputs, *outputs)
-
-
-def matrix(
-    df: DataFrame,
-    features: Sequence[str],
-    label: str = "label",
-    kept: Sequence[str] = (),
-    edges: Mapping[str, Sequence[float]] | None = None,
-) -> DataFrame:
-    """Vector of features (codes, if bounds are given), double label and the kept columns."""
-    df = coded(df, edges) if edges else df
-    named = list(dict.fromkeys([label, *kept]))
-    return assemble(df, features, named).withColumn(label, col(label).cast("double"))
+    asked = _constants([-1 if n.feature is None else n.feature for n in nodes], "int")
+    limits = _constants([0 if n.feature is None else getattr(n, cuts) for n in nodes], "int" if cuts == "code" else "double")
+    lefts = _constants([-1 if n.left is None else n.left for n in nodes], "int")
+    rights = _constants([-1 if n.right is None else n.right for n in nodes], "int")
+
+    def step(at: Column, _level: Column) -> Column:
+        down = F.when(value(F.get(asked, at)) <= F.get(limits, at), F.get(lefts, at)).otherwise(F.get(rights, at))
+        return F.when(F.get(lefts, at) < 0, at).otherwise(down)
 
+    depth = max(n.depth for n in nodes)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step) if depth else F.lit(0)
 
-def fit_tree(
+
+def predict(df: DataFrame, tree: FittedTree, name: str = "prediction") -> DataFrame:
+    """Adds the predicted class as an integer column; ``df`` has the features as columns."""
+    leaf = _held(values(df, tree.features), lambda x: leaf_of(tree.nodes, "threshold", lambda f: F.get(x, f)))
+    classes = _constants([n.prediction for n in tree.nodes], "int")
+    return df.withColumn(name, F.get(classes, leaf))
+
+
+# -- growing -------------------------------------------------------------------------
+
+
+def impurity_of(kind: str, zeros: Column, ones: Column) -> Column:
+    """Impurity of a node with so many rows (doubles) of each class."""
+    both = zeros + ones
+    p, q = F.try_divide(zeros, both), F.try_divide(ones, both)
+    if kind == "gini":
+        return F.coalesce(1.0 - p * p - q * q, F.lit(0.0))
+    if kind == "entropy":
+        share = lambda s: F.when(s > 0, -s * F.log2(s)).otherwise(0.0)
+        return share(p) + share(q)
+    raise ValueError(f"unknown impurity {kind!r}")
+
+
+def _best_cuts(counts: DataFrame, specs: Sequence[TreeSpec]) -> DataFrame:
+    """For each tree and node the cut that gains most, with the rows it sends left."""
+    by_feature = Window.partitionBy("tree", "node", "f")
+    running = by_feature.orderBy("code").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = counts.select(
+        "tree", "node", "f", "code",
+        *[F.sum(n).over(running).cast("double").alias(f"left_{n}") for n in ("zeros", "ones")],
+        *[F.sum(n).over(by_feature).cast("double").alias(f"all_{n}") for n in ("zeros", "ones")],
+    )
+    a, b, t0, t1 = (F.col(n) for n in ("left_zeros", "left_ones", "all_zeros", "all_ones"))
+    gain = None
+    for i, spec in enumerate(specs):
+        lost = (a + b) / (t0 + t1) * impurity_of(spec.impurity, a, b)
+        lost = lost + (t0 + t1 - a - b) / (t0 + t1) * impurity_of(spec.impurity, t0 - a, t1 - b)
+        mine = impurity_of(spec.impurity, t0, t1) - lost
+        gain = (F if gain is None else gain).when(F.col("tree") == i, mine)
+    real = sums.where(a + b < t0 + t1).withColumn("gain", gain).where(F.col("gain") > LEAST_GAIN)
+    order = Window.partitionBy("tree", "node").orderBy(F.desc(F.round("gain", TIE_DIGITS)), "f", "code")
+    return real.withColumn("place", F.row_number().over(order)).where("place = 1")
+
+
+def fit_trees(
     train: DataFrame,
     features: Sequence[str],
-    spec: TreeSpec,
+    specs: Sequence[TreeSpec],
     label: str = "label",
-    edges: Mapping[str, tuple[float, ...]] | None = None,
-) -> FittedTree:
-    """Train on an assembled frame.
+    edges: Mapping[str, Sequence[float]] | None = None,
+) -> tuple[FittedTree, ...]:
+    """Grows all trees together, one pass over the coded rows a level.
 
-    Training is level by level: each level is one pass that adds up split
-    statistics per node, so rows stay where they are.
+    The same rows give the same nodes for every partitioning and order: counts decide,
+    equal gains (to 12 digits) take the first feature and the lowest cut. A node is a leaf
+    at the tree's depth, if its rows are of one class, or if no cut gains.
     """
-    shared_folder(train.sparkSession)  # deep trees checkpoint their node ids there
-    learner = DecisionTreeClassifier(
-        featuresCol="features",
-        labelCol=label,
-        impurity=spec.impurity,
-        maxDepth=spec.depth,
-        maxBins=spec.max_bins,
-        seed=spec.seed,
-        cacheNodeIds=spec.depth > 5,
-        maxMemoryInMB=512,
+    edges = {n: tuple(e) for n, e in (edges or bin_edges(train, features)).items()}
+    coded = codes(train, edges) if features else F.array().cast("array<tinyint>")
+    rows = train.select(coded.alias("codes"), col(label).cast("int").alias("label"))
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() < cores:
+        # Few large files would leave cores idle at every level.
+        rows = rows.repartition(cores)
+    rows = cut_lineage(rows)
+    total = rows.agg(F.count_if(F.col("label") == 0).alias("zeros"), F.count_if(F.col("label") == 1).alias("ones")).first()
+    grown = [[Node(0, total["zeros"], total["ones"])] for _ in specs]
+    counts = None
+    parents: list[list[int]] = [[] for _ in specs]  # nodes of the last level that were cut
+    for level in range(max((s.depth for s in specs), default=0)):
+        counts = cut_lineage(_level_counts(rows, grown, specs, level, counts, parents))
+        parents = [[] for _ in specs]
+        for cut in _best_cuts(counts, specs).collect():
+            nodes, number = grown[cut["tree"]], cut["node"]
+            old = nodes[number]
+            zeros, ones = int(cut["left_zeros"]), int(cut["left_ones"])
+            left = len(nodes)
+            nodes += [Node(level + 1, zeros, ones), Node(level + 1, old.zeros - zeros, old.ones - ones)]
+            nodes[number] = replace(
+                old, feature=cut["f"], code=cut["code"], gain=cut["gain"], left=left, right=left + 1,
+                threshold=edges[features[cut["f"]]][cut["code"]],
+            )
+            parents[cut["tree"]].append(number)
+        if not any(parents):
+            break
+    return tuple(FittedTree(s, tuple(features), _numbered(nodes)) for s, nodes in zip(specs, grown))
+
+
+def _level_counts(
+    rows: DataFrame,
+    grown: Sequence[Sequence[Node]],
+    specs: Sequence[TreeSpec],
+    level: int,
+    before: DataFrame | None,
+    parents: Sequence[Sequence[int]],
+) -> DataFrame:
+    """Rows of both classes by tree, node, feature and code, for the nodes that may be cut at this level."""
+    if before is None:
+        open_trees = [i for i, s in enumerate(specs) if s.depth > 0 and grown[i][0].zeros and grown[i][0].ones]
+        whole = _counted(rows.withColumn("node", F.lit(0)))
+        trees = F.explode(F.lit(open_trees).cast("array<int>"))
+        return whole.select(trees.alias("tree"), "node", "f", "code", "zeros", "ones")
+    counted, larger = [], []
+    parts = None
+    for i, (spec, nodes) in enumerate(zip(specs, grown)):
+        flags = [0] * len(nodes)
+        for p in parents[i] if level < spec.depth else []:
+            pair = sorted((nodes[p].left, nodes[p].right), key=lambda n: (nodes[n].zeros + nodes[n].ones, n))
+            mixed = [n for n in pair if nodes[n].zeros and nodes[n].ones]
+            if mixed:
+                flags[pair[0]] = 1
+                counted.append((i, pair[0], pair[0] in mixed))
+                larger.append((i, p, pair[0], pair[1], pair[1] in mixed))
+        if not any(flags):
+            continue
+        placed = rows.withColumn("node", leaf_of(nodes, "code", lambda f: F.get("codes", f)))
+        part = placed.where(F.get(_constants(flags, "int"), F.col("node")) == 1)
+        part = part.withColumn("tree", F.lit(i))
+        parts = part if parts is None else parts.unionByName(part)
+    if parts is None:
+        return before.limit(0)
+    spark = rows.sparkSession
+    smaller = cut_lineage(_counted(parts, "tree"))
+    # One row for each cut of the last level.
+    flagged = F.broadcast(spark.createDataFrame(counted, "tree int, node int, open boolean").where("open").drop("open"))
+    pairs = spark.createDataFrame(larger, "tree int, parent int, small int, large int, open boolean")
+    pairs = F.broadcast(pairs.where("open").drop("open"))
+    own = smaller.join(flagged, ["tree", "node"])
+    plus = before.withColumnRenamed("node", "parent").join(pairs, ["tree", "parent"])
+    minus = smaller.withColumnRenamed("node", "small").join(pairs, ["tree", "small"])
+    names = ("tree", F.col("large").alias("node"), "f", "code")
+    rest = plus.select(*names, "zeros", "ones").unionByName(
+        minus.select(*names, (-F.col("zeros")).alias("zeros"), (-F.col("ones")).alias("ones"))
     )
-    return FittedTree(spec, learner.fit(train.select("features", label)), tuple(features), edges)
+    rest = rest.groupBy("tree", "node", "f", "code").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
+    return own.unionByName(rest.where("zeros + ones > 0"))
 
 
-def predict(df: DataFrame, tree: FittedTree, name: str = "prediction") -> DataFrame:
-    """Add the predicted class as an integer column."""
-    model = tree.model.copy()
-    model.setPredictionCol("_class").setProbabilityCol("").setRawPredictionCol("")
-    return model.transform(df).withColumn(name, F.col("_class").cast("int")).drop("_class")
+def _counted(rows: DataFrame, *by: str) -> DataFrame:
+    cells = rows.select(*by, "node", "label", F.posexplode("codes").alias("f", "code"))
+    return cells.groupBy(*by, "node", "f", "code").agg(
+        F.count_if(F.col("label") == 0).alias("zeros"), F.count_if(F.col("label") == 1).alias("ones")
+    )
+
+
+def _numbered(nodes: Sequence[Node]) -> tuple[Node, ...]:
+    """The nodes in the order of a walk from the root, left before right."""
+    order: list[int] = []
+    waiting = [0]
+    while waiting:
+        number = waiting.pop()
+        order.append(number)
+        if nodes[number].feature is not None:
+            waiting += [nodes[number].right, nodes[number].left]
+    place = {old: new for new, old in enumerate(order)}
+    return tuple(
+        nodes[o] if nodes[o].feature is None else replace(nodes[o], left=place[nodes[o].left], right=place[nodes[o].right])
+        for o in order
+    )
 
 
-def impurity_importance(df: DataFrame, tree: FittedTree) -> DataFrame:
-    """The model's own importances, highest first."""
-    weights = tree.model.featureImportances.toArray().tolist()
-    rows = list(zip(tree.features, weights))
-    table = df.sparkSession.createDataFrame(rows, "feature string, importance double")
-    return sorted_importance(table)
+# -- importances -------------------------------------------------------------------------
+
+
+def impurity_importance(spark: SparkSession, tree: FittedTree) -> DataFrame:
+    """Gain of each feature's cuts, weighted by the rows of their nodes; all add up to 1, highest first."""
+    names = spark.createDataFrame(list(enumerate(tree.features)), "position int, feature string")
+    weights = tree_nodes(spark, tree).where("feature is not null").select("feature", (F.col("rows") * F.col("gain")).alias("w"))
+    sums = weights.groupBy("feature").agg(F.sum("w").alias("w"))
+    total = sums.agg(F.sum("w").alias("total"))
+    shared = sums.crossJoin(F.broadcast(total)).select("feature", (F.col("w") / F.col("total")).alias("share"))
+    table = names.join(shared, "feature", "left")
+    return sorted_importance(table.select("feature", F.coalesce("share", F.lit(0.0)).alias("importance")))
 
 
 def sorted_importance(table: DataFrame) -> DataFrame:
     return table.orderBy(F.desc("importance"), F.asc("feature"))
 
 
+def path_masks(tree: FittedTree) -> list[list[int]]:
+    """For each node the numbers of the features asked for on the way to it."""
+    asked: list[list[int]] = [[] for _ in tree.nodes]
+    for number, node in enumerate(tree.nodes):
+        if node.feature is not None:
+            mine = sorted({*asked[number], node.feature})
+            asked[node.left], asked[node.right] = mine, mine
+    return asked
+
+
 def permutation_importance(
     test: DataFrame,
     tree: FittedTree,
@@ -158,36 +343,37 @@ def permutation_importance(
 ) -> DataFrame:
     """Mean loss of accuracy on ``test`` when one feature is permuted.
 
-    Rows are dealt by key hash into random buckets of bounded size and brought
-    into hash order there; in repeat r each row takes the feature of the row r
-    places on, around the end of the bucket. Every value is used once per
-    repeat, by a random other row. One shuffle serves all features and
-    repeats; the permuted rows are made and scored in place. A feature the
-    tree never asks for cannot change a prediction: its importance is 0.
+    Rows are dealt by a digest of their key into random buckets of bounded size and
+    brought into its order there; in repeat r each row takes the feature of the row r
+    places on, around the end of the bucket. Every value is used once per repeat, by
+    another row. One shuffle serves all features and repeats. A row's leaf tells
+    which features its path asks for: only these are swapped and the row scored
+    again, as no other one can change its prediction.
     """
-    weights = tree.model.featureImportances.toArray()
-    used = [i for i, w in enumerate(weights) if w > 0]
-    spark = test.sparkSession
-    names = spark.createDataFrame(
-        [(i, n) for i, n in enumerate(tree.features)], "position int, feature string"
-    )
-    if not used:
+    rows, spark = test.count(), test.sparkSession
+    names = spark.createDataFrame(list(enumerate(tree.features)), "position int, feature string")
+    used = sorted({n.feature for n in tree.nodes if n.feature is not None})
+    if not used or not rows:
         return sorted_importance(names.select("feature", F.lit(0.0).alias("importance")))
 
     # Only the row count decides, so the result is the same on any cluster.
-    buckets = max(math.ceil(test.count() / bucket_rows), 1)
-    scored = predict(test.select(col(key), col(label), "features"), tree, "_base")
-    rows = scored.select(
-        F.xxhash64(col(key), F.lit(seed)).alias("_hash"),
-        col(key).alias("_key"),
-        col(label).cast("int").alias("_label"),
-        (F.col("_base") == col(label)).cast("int").alias("_hit"),
-        vector_to_array("features").alias("_x"),
-    ).withColumn("_bucket", F.pmod("_hash", F.lit(buckets)))
-    rows = rows.withColumn("_u", F.array(*[F.col("_x")[i] for i in used]))
-    order = Window.partitionBy("_bucket").orderBy("_hash", "_key")
+    buckets = max(math.ceil(rows / bucket_rows), 1)
+    digest = F.md5(F.concat_ws(":", col(key), F.lit(seed)))
+    placed = test.select(
+        digest.alias("_digest"), col(key).alias("_key"), col(label).cast("int").alias("_label"), values(test, tree.features).alias("_x")
+    )
+    placed = placed.withColumn("_leaf", _held(F.col("_x"), lambda x: leaf_of(tree.nodes, "threshold", lambda f: F.get(x, f))))
+    classes = _constants([n.prediction for n in tree.nodes], "int")
+    placed = placed.withColumns(
+        {
+            "_bucket": F.conv(F.substring("_digest", 1, 8), 16, 10).cast("bigint") % buckets,
+            "_hit": (F.get(classes, F.col("_leaf")) == F.col("_label")).cast("int"),
+            "_u": F.array(*[F.get("_x", F.lit(i)) for i in used]),
+        }
+    )
+    order = Window.partitionBy("_bucket").orderBy("_digest", "_key")
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = rows.withColumns(
+    placed = placed.withColumns(
         {
             "_place": F.row_number().over(order) - 1,
             "_size": F.count("*").over(whole).cast("int"),
@@ -197,68 +383,67 @@ def permutation_importance(
     )
     donors = F.transform(
         F.sequence(F.lit(1), F.lit(repeats)),
-        lambda r: F.coalesce(
-            F.get("_following", r - 1), F.get("_first", (F.col("_place") + r) % F.col("_size"))
-        ),
-    )
-    # A row carries its own features and the one value that is swapped in.
-    swaps = F.flatten(
-        F.transform(
-            donors,
-            lambda donor: F.array(
-                *[F.struct(F.lit(i).alias("position"), F.get(donor, k).alias("value")) for k, i in enumerate(used)]
-            ),
-        )
-    )
-    swap = placed.select("_label", "_hit", "_x", F.explode(swaps).alias("_swap")).select(
-        "_label", "_hit", "_x", F.col("_swap.position").alias("position"), F.col("_swap.value").alias("_value")
-    )
-    swapped = F.transform(
-        "_x", lambda v, i: F.when(i == F.col("position"), F.col("_value")).otherwise(v)
+        lambda r: F.coalesce(F.get("_following", r - 1), F.get("_first", (F.col("_place") + r) % F.col("_size"))),
     )
-    permuted = swap.select("_label", "_hit", "position", array_to_vector(swapped).alias("features"))
-    drop = F.col("_hit") - (F.col("_p") == F.col("_label")).cast("int")
-    losses = (
-        predict(permuted, tree, "_p").groupBy("position").agg(F.avg(drop).alias("importance"))
-    )
-    table = names.join(losses, "position", "left").select(
-        "feature", F.coalesce("importance", F.lit(0.0)).alias("importance")
-    )
-    return sorted_importance(table)
-
+    masks = F.split(F.lit(";".join(",".join(map(str, m)) for m in path_masks(tree))), ";")
+    asked_for = F.split(F.get(masks, F.col("_leaf")), ",").cast("array<int>")
+    slots = _constants([used.index(i) if i in used else -1 for i in range(len(tree.features))], "int")
+    asked = placed.select("_label", "_hit", "_x", donors.alias("_donors"), F.explode(asked_for).alias("position"))
+    swapped = asked.select(
+        "_label", "_hit", "_x", "position",
+        F.explode(F.transform("_donors", lambda d: F.get(d, F.get(slots, F.col("position"))))).alias("_value"),
+    )
+    mine = lambda f: F.when(f == F.col("position"), F.col("_value")).otherwise(F.get("_x", f))
+    again = F.get(classes, leaf_of(tree.nodes, "threshold", mine))
+    lost = F.col("_hit") - (again == F.col("_label")).cast("int")
+    losses = swapped.groupBy("position").agg((F.sum(lost) / F.lit(float(rows) * repeats)).alias("loss"))
+    table = names.join(losses, "position", "left")
+    return sorted_importance(table.select("feature", F.coalesce("loss", F.lit(0.0)).alias("importance")))
+
+
+# -- structure -----------------------------------------------------------------------------
 
 NODES = (
     "node bigint, depth bigint, feature string, threshold double, left_node bigint, right_node bigint, "
-    "impurity double, gain double, prediction int"
+    "zeros bigint, ones bigint, rows bigint, impurity double, gain double, prediction int"
 )
 
 
-def tree_nodes(df: DataFrame, tree: FittedTree) -> DataFrame:
-    """Nodes of the fitted tree as rows, numbered from the root, left before right.
+def tree_nodes(spark: SparkSession, tree: FittedTree) -> DataFrame:
+    """Nodes of the fitted tree as rows, numbered from the root, left before right."""
+    rows = [
+        (
+            i, n.depth, None if n.feature is None else tree.features[n.feature], n.threshold, n.left, n.right,
+            n.zeros, n.ones, n.zeros + n.ones, None, n.gain, n.prediction,
+        )
+        for i, n in enumerate(tree.nodes)
+    ]
+    zeros, ones = F.col("zeros").cast("double"), F.col("ones").cast("double")
+    return spark.createDataFrame(rows, NODES).withColumn("impurity", impurity_of(tree.spec.impurity, zeros, ones))
 
-    A tree of bounded depth is small; it is walked by the model's public
-    structure. Thresholds of codes are given as values of the feature.
-    """
-    found: list[tuple] = []
 
-    def walk(node, depth: int) -> int:
-        number = len(found)
-        found.append(())
-        inner = node.subtreeDepth() > 0
-        feature = threshold = left = right = gain = None
-        if inner:
-            feature = tree.features[node.split().featureIndex()]
-            threshold, gain = float(node.split().threshold()), float(node.gain())
-            if tree.edges:
-                threshold = float(tree.edges[feature][math.floor(threshold)])
-            left, right = walk(node.leftChild(), depth + 1), walk(node.rightChild(), depth + 1)
-        found[number] = (
-            number, depth, feature, threshold, left, right, float(node.impurity()), gain, int(node.prediction())
-        )
-        return number
-
-    walk(tree.model._call_java("rootNode"), 0)
-    return df.sparkSession.createDataFrame(found, NODES)
+RULES = (
+    "leaf bigint, feature string, above double, up_to double, rows bigint, prediction int"
+)
+
+
+def leaf_rules(spark: SparkSession, tree: FittedTree) -> DataFrame:
+    """The tree as rules: for each leaf and feature asked on its path, the interval (above, up_to] that leads there."""
+    found: list[tuple] = []
+    waiting = [(0, {})]
+    while waiting:
+        number, ranges = waiting.pop()
+        node = tree.nodes[number]
+        if node.feature is None:
+            found += [
+                (number, tree.features[f], low, high, node.zeros + node.ones, node.prediction)
+                for f, (low, high) in sorted(ranges.items())
+            ]
+            continue
+        low, high = ranges.get(node.feature, (None, None))
+        waiting.append((node.right, {**ranges, node.feature: (node.threshold, high)}))
+        waiting.append((node.left, {**ranges, node.feature: (low, node.threshold)}))
+    return spark.createDataFrame(found, RULES)
 
 
 def model_summary(
@@ -289,16 +474,23 @@ def model_summary(
     )
 
 
-def save_model(tree: FittedTree, folder: str) -> str:
-    tree.model.write().overwrite().save(folder)
+def save_model(spark: SparkSession, tree: FittedTree, folder: str) -> str:
+    """The node table as Parquet, with the cuts' codes and the model's name, rule and depth on every row."""
+    codes_ = spark.createDataFrame([(i, n.feature, n.code) for i, n in enumerate(tree.nodes)], "node bigint, position int, code int")
+    spec = tree.spec
+    table = tree_nodes(spark, tree).join(F.broadcast(codes_), "node").withColumns(
+        {"model": F.lit(spec.name), "criterion": F.lit(spec.impurity), "max_depth": F.lit(spec.depth),
+         "features": F.array(*[F.lit(f) for f in tree.features]).cast("array<string>")}
+    )
+    table.coalesce(1).write.mode("overwrite").parquet(folder)
     return folder
 
 
-def load_model(
-    spec: TreeSpec,
-    features: Sequence[str],
-    folder: str,
-    edges: Mapping[str, tuple[float, ...]] | None = None,
-) -> FittedTree:
-    """The stored model; its bounds, if it was trained on codes, are kept by the caller."""
-    return FittedTree(spec, DecisionTreeClassificationModel.load(folder), tuple(features), edges)
+def load_model(spark: SparkSession, folder: str) -> FittedTree:
+    rows = spark.read.parquet(folder).orderBy("node").collect()
+    nodes = tuple(
+        Node(r["depth"], r["zeros"], r["ones"], r["position"], r["code"], r["threshold"], r["gain"], r["left_node"], r["right_node"])
+        for r in rows
+    )
+    first = rows[0]
+    return FittedTree(TreeSpec(first["model"], first["criterion"], first["max_depth"]), tuple(first["features"]), nodes)

@@ -532,7 +532,7 @@ def layer_verdict(spark: SparkSession, folder: str) -> DataFrame:
 def shallow_splits(spark: SparkSession, folder: str) -> DataFrame:
     """The inner nodes of both shallow trees."""
     scored = _shallow(spark, folder)
-    parts = [trees.tree_nodes(scored.rows, tree).withColumn("model", F.lit(tree.spec.name)) for tree in scored.trees]
+    parts = [trees.tree_nodes(spark, tree).withColumn("model", F.lit(tree.spec.name)) for tree in scored.trees]
     inner = parts[0].union(parts[1]).filter("feature is not null")
     return rounded(inner.select("model", "depth", "feature", "threshold", "gain"), {"threshold": 6, "gain": 6})
 
@@ -544,34 +544,48 @@ def _trees(spark: SparkSession, folder: str, specs: Sequence[trees.TreeSpec]) ->
 
 
 def tree_gini5(spark: SparkSession, folder: str) -> DataFrame:
-    return stages.model_metrics(_trees(spark, folder, [trees.GINI]))
+    return rounded(stages.model_metrics(_trees(spark, folder, [trees.GINI])), ROUND_METRICS)
 
 
 def tree_entropy10(spark: SparkSession, folder: str) -> DataFrame:
-    return stages.model_metrics(_trees(spark, folder, [trees.ENTROPY]))
+    return rounded(stages.model_metrics(_trees(spark, folder, [trees.ENTROPY])), ROUND_METRICS)
 
 
 def impurity_importance(spark: SparkSession, folder: str) -> DataFrame:
     scored = _trees(spark, folder, [trees.GINI])
-    return trees.impurity_importance(scored.rows, scored.trees[0])
+    return rounded(trees.impurity_importance(spark, scored.trees[0]), {"importance": 8})
 
 
 def permutation_importance(spark: SparkSession, folder: str) -> DataFrame:
     scored = _trees(spark, folder, [trees.GINI])
     test = scored.rows.filter(F.col("split") == "test")
-    return trees.permutation_importance(test, scored.trees[0], KEY)
+    return rounded(trees.permutation_importance(test, scored.trees[0], KEY), {"importance": 8})
 
 
 def tree_dump(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _trees(spark, folder, [trees.GINI])
-    return trees.tree_nodes(scored.rows, scored.trees[0])
+    nodes = trees.tree_nodes(spark, _trees(spark, folder, [trees.GINI]).trees[0])
+    return widened(rounded(nodes, {"threshold": 6, "impurity": 8, "gain": 8}), "prediction")
+
+
+def tree_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = trees.leaf_rules(spark, _trees(spark, folder, [trees.GINI]).trees[0])
+    return widened(rounded(rules, {"above": 6, "up_to": 6}), "prediction")
 
 
 def model_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary record; of its importances, read back from the record, the leading one."""
     scored = _trees(spark, folder, [trees.GINI])
     gap = evaluate.overfit_gap(stages.model_metrics(scored))
-    importances = trees.impurity_importance(scored.rows, scored.trees[0])
-    return trees.model_summary(scored.rows, scored.trees[0], gap, importances)
+    importances = trees.impurity_importance(spark, scored.trees[0])
+    summary = trees.model_summary(scored.rows, scored.trees[0], gap, importances)
+    listed = F.from_json("feature_importances", "array<struct<importance:double, feature:string>>")
+    first = F.array_min(F.transform(listed, lambda x: F.struct((-x["importance"]).alias("importance"), x["feature"].alias("feature"))))
+    table = summary.withColumn("first", first).select(
+        "modelo", "model", "criterion", "max_depth", F.array_join("features", ",").alias("features"),
+        F.col("first.feature").alias("leading_feature"), F.round(-F.col("first.importance"), 8).alias("leading_importance"),
+        "acuracia_treino", "f1_treino", "acuracia_teste", "f1_teste", "n_treino", "n_teste",
+    )
+    return widened(table, "max_depth")
 
 
 def layer_comparison(spark: SparkSession, folder: str) -> DataFrame:
@@ -579,7 +593,7 @@ def layer_comparison(spark: SparkSession, folder: str) -> DataFrame:
     after = testbed.scored(spark, folder, (trees.ENTROPY,), "feature")
     before = _trees(spark, folder, [trees.ENTROPY])
     metrics = [stages.model_metrics(s).filter(F.col("split") == "test") for s in (before, after)]
-    return evaluate.layer_verdict(*metrics)
+    return rounded(evaluate.layer_verdict(*metrics), {"refined": 6, "feature": 6, "delta": 6})
 
 
 QUERIES: dict[str, Query] = {
@@ -652,6 +666,7 @@ QUERIES: dict[str, Query] = {
         impurity_importance,
         permutation_importance,
         tree_dump,
+        tree_rules,
         model_summary,
         layer_comparison,
     )

@@ -151,41 +151,41 @@ def _best_cuts(name: str, nodes: str, impurity: str) -> str:
 ), {name}_gains AS (
   SELECT node, f, code,
          {measure("t0", "t1")} - (l0 + l1) / (t0 + t1) * {measure("l0", "l1")}
-           - (t0 + t1 - l0 - l1) / (t0 + t1) * {measure("(t0 - l0)", "(t1 - l1)")} AS gain,
-         CASE WHEN l1 > l0 THEN 1 ELSE 0 END AS left_class,
-         CASE WHEN t1 - l1 > t0 - l0 THEN 1 ELSE 0 END AS right_class
+           - (t0 + t1 - l0 - l1) / (t0 + t1) * {measure("(t0 - l0)", "(t1 - l1)")} AS gain
   FROM {name}_sums WHERE l0 + l1 < t0 + t1
-), {name} AS (
+), {name} AS MATERIALIZED (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY round(gain, 12) DESC, f, code) AS place
                  FROM {name}_gains WHERE gain > 1e-12) WHERE place = 1
 )"""
 
 
-def _grown(impurity: str, alias: str) -> str:
-    """A tree of depth two: leaves and the class of every row as ``alias``."""
+def _grown(impurity: str, depth: int, alias: str) -> str:
+    """A tree: its cuts, its nodes (named by the turns that lead to them) and the class of every row as ``alias``."""
     x = impurity
-    return (
-        f""",
-{x}_root AS (SELECT row_key, '' AS node FROM labelled)"""
-        + _best_cuts(f"{x}_top", f"{x}_root", impurity)
-        + f""",
-{x}_half AS (
-  SELECT row_key, CASE WHEN coded.code <= t.code THEN 'L' ELSE 'R' END AS node
-  FROM coded JOIN {x}_top t ON coded.f = t.f
-)"""
-        + _best_cuts(f"{x}_low", f"{x}_half", impurity)
-        + f""",
-{x}_leaf AS (
-  SELECT h.row_key, h.node || CASE WHEN t.f IS NULL THEN '' WHEN coded.code <= t.code THEN 'L' ELSE 'R' END AS leaf
-  FROM {x}_half h LEFT JOIN {x}_low t ON t.node = h.node LEFT JOIN coded ON coded.row_key = h.row_key AND coded.f = t.f
-), {x}_class AS (
-  SELECT leaf, CASE WHEN count(*) FILTER (WHERE label = 1) > count(*) FILTER (WHERE label = 0) THEN 1 ELSE 0 END AS {alias}
-  FROM {x}_leaf JOIN labelled USING (row_key) WHERE split = 'train' GROUP BY leaf
-)"""
-    )
-
-
-def _tree_rows(base: str, relation: str, values: dict[str, str]) -> str:
+    parts = [f""",
+{x}_at0 AS MATERIALIZED (SELECT row_key, '' AS node FROM labelled)"""]
+    for level in range(depth):
+        parts.append(_best_cuts(f"{x}_cut{level}", f"{x}_at{level}", impurity))
+        parts.append(f""",
+{x}_at{level + 1} AS MATERIALIZED (
+  SELECT a.row_key, a.node || CASE WHEN c.code <= t.code THEN 'L' ELSE 'R' END AS node
+  FROM {x}_at{level} a JOIN {x}_cut{level} t ON t.node = a.node JOIN coded c ON c.row_key = a.row_key AND c.f = t.f
+)""")
+    every = " UNION ALL ".join(f"SELECT * FROM {x}_at{level}" for level in range(depth + 1))
+    cuts = " UNION ALL ".join(f"SELECT node, f, code, gain FROM {x}_cut{level}" for level in range(depth))
+    parts.append(f""",
+{x}_every AS MATERIALIZED ({every}),
+{x}_cuts AS MATERIALIZED ({cuts}),
+{x}_leaf AS MATERIALIZED (SELECT row_key, arg_max(node, length(node)) AS leaf FROM {x}_every GROUP BY row_key),
+{x}_nodes AS MATERIALIZED (
+  SELECT node, count(*) FILTER (WHERE label = 0) AS zeros, count(*) FILTER (WHERE label = 1) AS ones,
+         row_number() OVER (ORDER BY node) - 1 AS number
+  FROM {x}_every JOIN labelled USING (row_key) WHERE split = 'train' GROUP BY node
+), {x}_class AS MATERIALIZED (SELECT node AS leaf, CASE WHEN ones > zeros THEN 1 ELSE 0 END AS {alias} FROM {x}_nodes)""")
+    return "".join(parts)
+
+
+def _tree_rows(base: str, relation: str, values: dict[str, str], depths: tuple[int, int] = (2, 2)) -> str:
     listed = ", ".join(f"CAST({v} AS DOUBLE)" for v in values.values())
     return (
         base
@@ -205,13 +205,13 @@ edges AS (
   SELECT DISTINCT f, v AS e FROM ranked_cells, (SELECT unnest(range(1, 32)) AS k) WHERE place = n * k // 32
 ),
 bounds AS (SELECT f, list(e ORDER BY e) AS es FROM edges GROUP BY f),
-coded AS (
+coded AS MATERIALIZED (
   SELECT row_key, split, label, cells.f, len(list_filter(es, lambda e: e < v)) AS code FROM cells JOIN bounds ON cells.f = bounds.f
 )"""
-        + _grown("gini", "p1")
-        + _grown("entropy", "p2")
+        + _grown("gini", depths[0], "p1")
+        + _grown("entropy", depths[1], "p2")
         + """,
-scored AS (
+scored AS MATERIALIZED (
   SELECT labelled.*, p1, p2 FROM labelled
   JOIN gini_leaf USING (row_key) JOIN gini_class USING (leaf)
   JOIN entropy_leaf e ON e.row_key = labelled.row_key JOIN entropy_class c ON c.leaf = e.leaf
@@ -245,6 +245,8 @@ numbered AS (
 
 SCORED = _tree_rows(SPLIT, "parted", REFINED_FEATURES)
 PREPARED_SCORED = _tree_rows(PARAMS, "(SELECT * FROM parted, params)", PREPARED_FEATURES)
+DEEP = _tree_rows(SPLIT, "parted", REFINED_FEATURES, (5, 10))
+PREPARED_DEEP = _tree_rows(PARAMS, "(SELECT * FROM parted, params)", PREPARED_FEATURES, (1, 10))
 
 
 def _audit(split: str, same: str, fitted: str) -> str:
@@ -271,18 +273,83 @@ def _audit(split: str, same: str, fitted: str) -> str:
     return "\nUNION ALL ".join(lines)
 
 
+FEATURE_NAMES = "[" + ", ".join(f"'{n}'" for n in REFINED_FEATURES) + "]"
+
+
 def _splits() -> str:
-    """Inner nodes of both trees; a cut whose two leaves say the same is no node."""
-    names = ", ".join(f"'{n}'" for n in REFINED_FEATURES)
-    parts = []
-    for impurity, model in (("gini", "modelo1_gini"), ("entropy", "modelo2_entropy")):
-        for depth, cuts in ((0, f"{impurity}_top"), (1, f"(SELECT * FROM {impurity}_low WHERE left_class <> right_class)")):
-            parts.append(
-                f"""SELECT '{model}' AS model, CAST({depth} AS BIGINT) AS depth, [{names}][t.f + 1] AS feature,
-                  round(es[t.code + 1], 6) AS threshold, round(gain, 6) AS gain
-                FROM {cuts} t JOIN bounds ON bounds.f = t.f"""
-            )
-    return "\nUNION ALL ".join(parts)
+    """Inner nodes of both trees."""
+    return "\nUNION ALL ".join(
+        f"""SELECT '{model}' AS model, CAST(length(node) AS BIGINT) AS depth, {FEATURE_NAMES}[t.f + 1] AS feature,
+          round(es[t.code + 1], 6) AS threshold, round(gain, 6) AS gain
+        FROM {impurity}_cuts t JOIN bounds ON bounds.f = t.f"""
+        for impurity, model in (("gini", "modelo1_gini"), ("entropy", "modelo2_entropy"))
+    )
+
+
+def _dump() -> str:
+    gini = IMPURITY["gini"].format(a="CAST(zeros AS DOUBLE)", b="CAST(ones AS DOUBLE)")
+    return f"""
+    SELECT n.number AS node, CAST(length(n.node) AS BIGINT) AS depth, {FEATURE_NAMES}[t.f + 1] AS feature,
+           round(es[t.code + 1], 6) AS threshold, CASE WHEN t.f IS NOT NULL THEN n.number + 1 END AS left_node,
+           r.number AS right_node, zeros, ones, zeros + ones AS rows, round({gini}, 8) AS impurity,
+           round(gain, 8) AS gain, CAST(p1 AS BIGINT) AS prediction
+    FROM gini_nodes n JOIN gini_class c ON c.leaf = n.node LEFT JOIN gini_cuts t ON t.node = n.node
+    LEFT JOIN bounds ON bounds.f = t.f LEFT JOIN (SELECT number, node FROM gini_nodes) r ON r.node = n.node || 'R'"""
+
+
+def _rules() -> str:
+    """The intervals of each leaf: every cut on the way bounds its feature from above or below."""
+    return f"""
+    SELECT number AS leaf, {FEATURE_NAMES}[t.f + 1] AS feature,
+           round(max(es[t.code + 1]) FILTER (WHERE n.node[length(t.node) + 1] = 'R'), 6) AS above,
+           round(min(es[t.code + 1]) FILTER (WHERE n.node[length(t.node) + 1] = 'L'), 6) AS up_to,
+           zeros + ones AS rows, CAST(p1 AS BIGINT) AS prediction
+    FROM gini_nodes n JOIN gini_class c ON c.leaf = n.node JOIN gini_cuts t ON starts_with(n.node, t.node)
+    JOIN bounds ON bounds.f = t.f
+    WHERE n.node NOT IN (SELECT node FROM gini_cuts) GROUP BY ALL"""
+
+
+GAINS = """
+gains AS (
+  SELECT f, sum((zeros + ones) * gain) AS w FROM gini_cuts JOIN gini_nodes USING (node) GROUP BY f
+),
+importances AS (
+  SELECT name AS feature, coalesce(w / (SELECT sum(w) FROM gains), 0.0) AS importance
+  FROM (SELECT unnest({names}) AS name, unnest(range({count})) AS f) LEFT JOIN gains USING (f)
+)"""
+GAINS = GAINS.format(names=FEATURE_NAMES, count=len(REFINED_FEATURES))
+
+
+def _permuted(depth: int = 5, repeats: int = 5, bucket_rows: int = 10_000) -> str:
+    """Every test row scored again with every feature of the row r places on in its bucket."""
+    walk = [f"""
+dealt AS (
+  SELECT row_key, label, p1, md5(row_key || ':42') AS h,
+         CAST('0x' || substr(md5(row_key || ':42'), 1, 8) AS BIGINT)
+           % (SELECT greatest(CAST(ceil(count(*) / {bucket_rows}) AS BIGINT), 1) FROM scored WHERE split = 'test') AS bucket
+  FROM scored WHERE split = 'test'
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h, row_key) - 1 AS place, count(*) OVER (PARTITION BY bucket) AS n FROM dealt
+), walk0 AS (
+  SELECT a.row_key, b.row_key AS donor, r, p, '' AS node
+  FROM placed a, (SELECT unnest(range(1, {repeats + 1})) AS r) rs, (SELECT DISTINCT f AS p FROM gini_cuts) ps, placed b
+  WHERE b.bucket = a.bucket AND b.place = (a.place + r) % a.n
+)"""]
+    for level in range(depth):
+        walk.append(f"""walk{level + 1} AS (
+  SELECT w.row_key, donor, r, p, w.node || CASE WHEN t.f IS NULL THEN '' WHEN c.code <= t.code THEN 'L' ELSE 'R' END AS node
+  FROM walk{level} w LEFT JOIN gini_cuts t ON t.node = w.node
+  LEFT JOIN coded c ON c.f = t.f AND c.row_key = CASE WHEN t.f = p THEN donor ELSE w.row_key END
+)""")
+    walk.append(f"""lost AS (
+  SELECT p, sum(CAST(s.p1 = label AS INT) - CAST(c.p1 = label AS INT)) / CAST({repeats} * (SELECT count(*) FROM placed) AS DOUBLE) AS loss
+  FROM walk{depth} w JOIN placed s USING (row_key) JOIN gini_class c ON c.leaf = w.node GROUP BY p
+)""")
+    return _with(
+        DEEP + "," + ",\n".join(walk),
+        f"""SELECT name AS feature, round(coalesce(loss, 0.0), 8) AS importance
+        FROM (SELECT unnest({FEATURE_NAMES}) AS name, unnest(range({len(REFINED_FEATURES)})) AS f) LEFT JOIN lost ON p = f""",
+    )
 
 
 WIDE = (
@@ -508,17 +575,13 @@ def _alpha_index() -> str:
 METRIC_COLUMNS = ", ".join(f"round({m}, 6) AS {m}" for m in ("acuracia", "precisao", "recall", "f1"))
 
 
-def _verdict() -> str:
+def _verdict(before: str, after: str, metrics: tuple[str, ...], places: int = 6) -> str:
     """Metrics of the entropy tree on both layers, each computed as a query of its own."""
-    line = "SELECT {m} FROM measured WHERE split = 'test' AND model = 'modelo2_entropy'"
-    parts = []
-    for m in ("acuracia", "precisao", "recall", "f1"):
-        before = f"({_with(SCORED, line.format(m=m))})"
-        after = f"({_with(PREPARED_SCORED, line.format(m=m))})"
-        parts.append(f"SELECT '{m}' AS metric, {before} AS a, {after} AS b")
-    both = " UNION ALL ".join(parts)
-    return f"""SELECT metric, round(a, 6) AS refined, round(b, 6) AS feature, round(b - a, 6) AS delta,
-      CASE WHEN b - a > 0.001 THEN 'SIM' WHEN b - a >= 0 THEN '=' ELSE 'NAO' END AS improved FROM ({both})"""
+    line = f"SELECT {', '.join(metrics)} FROM measured WHERE split = 'test' AND model = 'modelo2_entropy'"
+    pairs = " UNION ALL ".join(f"SELECT '{m}' AS metric, b.{m} AS a, c.{m} AS b FROM b, c" for m in metrics)
+    return f"""WITH b AS MATERIALIZED ({_with(before, line)}), c AS MATERIALIZED ({_with(after, line)})
+      SELECT metric, round(a, {places}) AS refined, round(b, {places}) AS feature, round(b - a, {places}) AS delta,
+      CASE WHEN b - a > 0.001 THEN 'SIM' WHEN b - a >= 0 THEN '=' ELSE 'NAO' END AS improved FROM ({pairs})"""
 
 
 def _word(flag: str) -> str:
@@ -841,6 +904,33 @@ typed AS (SELECT *, TRY_CAST(company_revenue_usd AS DOUBLE) AS x FROM incidents)
              round(total_loss_usd, 4) AS total_loss_usd
            FROM numbered""",
     ),
-    "layer_verdict": _verdict(),
+    "layer_verdict": _verdict(SCORED, PREPARED_SCORED, ("acuracia", "precisao", "recall", "f1")),
+    "layer_comparison": _verdict(DEEP, PREPARED_DEEP, ("f1", "acuracia")),
     "shallow_splits": _with(SCORED, _splits()),
+    "tree_gini5": _with(
+        DEEP, f"SELECT model, split, tp, tn, fp, fn, {METRIC_COLUMNS} FROM measured WHERE model = 'modelo1_gini'"
+    ),
+    "tree_entropy10": _with(
+        DEEP, f"SELECT model, split, tp, tn, fp, fn, {METRIC_COLUMNS} FROM measured WHERE model = 'modelo2_entropy'"
+    ),
+    "tree_dump": _with(DEEP, _dump()),
+    "tree_rules": _with(DEEP, _rules()),
+    "impurity_importance": _with(
+        DEEP + "," + GAINS, "SELECT feature, round(importance, 8) AS importance FROM importances"
+    ),
+    "permutation_importance": _permuted(),
+    "model_summary": _with(
+        DEEP + "," + GAINS,
+        f"""SELECT 'DecisionTreeClassifier' AS modelo, model, 'gini' AS criterion, CAST(5 AS BIGINT) AS max_depth,
+             '{",".join(REFINED_FEATURES)}' AS features,
+             (SELECT feature FROM importances ORDER BY importance DESC, feature LIMIT 1) AS leading_feature,
+             (SELECT round(max(importance), 8) FROM importances) AS leading_importance,
+             round(max(acuracia) FILTER (WHERE split = 'train'), 4) AS acuracia_treino,
+             round(max(f1) FILTER (WHERE split = 'train'), 4) AS f1_treino,
+             round(max(acuracia) FILTER (WHERE split = 'test'), 4) AS acuracia_teste,
+             round(max(f1) FILTER (WHERE split = 'test'), 4) AS f1_teste,
+             CAST(sum(tp + tn + fp + fn) FILTER (WHERE split = 'train') AS BIGINT) AS n_treino,
+             CAST(sum(tp + tn + fp + fn) FILTER (WHERE split = 'test') AS BIGINT) AS n_teste
+           FROM measured WHERE model = 'modelo1_gini' GROUP BY model""",
+    ),
 }

@@ -117,10 +117,9 @@ def score_layer(
     """Label by the median, train each model on train, predict every row."""
     threshold = evaluate.label_threshold(df, target)
     labelled = evaluate.with_label(df, threshold, target)
-    edges = trees.bin_edges(labelled.filter(F.col("split") == "train"), names, key)
-    rows = trees.matrix(labelled, names, "label", [key, "split", target], edges)
+    rows = features.numeric_matrix(labelled, names, [key, "split", target, "label"])
     train = rows.filter(F.col("split") == "train")
-    fitted = tuple(trees.fit_tree(train, names, spec, edges=edges) for spec in specs)
+    fitted = trees.fit_trees(train, names, specs)
     for tree in fitted:
         rows = trees.predict(rows, tree, tree.spec.name)
     return Scored(rows, fitted, threshold)
@@ -185,10 +184,11 @@ def model_stage(
         reports[f"previsoes_{name}"] = evaluate.prediction_table(
             test, domain.ROW_KEY, "label", name, scored.threshold
         )
-        reports[f"impurity_importance_{name}"] = trees.impurity_importance(refined, tree)
+        reports[f"impurity_importance_{name}"] = trees.impurity_importance(spark, tree)
         reports[f"permutation_importance_{name}"] = trees.sorted_importance(importance)
         reports[f"summary_{name}"] = trees.model_summary(scored.rows, tree, gap, importance)
-        trees.save_model(tree, f"{to.models}/{name}")
+        reports[f"rules_{name}"] = trees.leaf_rules(spark, tree)
+        trees.save_model(spark, tree, f"{to.models}/{name}")
     for name, report in reports.items():
         if name.startswith("summary_"):
             layers.write_json(report, f"{to.reports}/{name}")

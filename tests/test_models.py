@@ -1,3 +1,7 @@
+import hashlib
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -66,77 +70,154 @@ def planted(spark):
     df = df.withColumn("label", (F.col("x1") > 0.4).cast("int")).withColumn(
         "split", F.when(F.col("id") < 4800, "train").otherwise("test")
     )
-    rows = trees.matrix(df, ["x1", "x2", "x3"], "label", ["id", "split"])
-    tree = trees.fit_tree(rows.filter("split = 'train'"), ["x1", "x2", "x3"], trees.GINI)
-    return rows, tree
+    (tree,) = trees.fit_trees(df.filter("split = 'train'"), ["x1", "x2", "x3"], [trees.GINI])
+    return df, tree
 
 
 def test_planted_signal(spark, planted):
-    rows_, tree = planted
-    scored = trees.predict(rows_, tree, tree.spec.name)
+    df, tree = planted
+    scored = trees.predict(df, tree, tree.spec.name)
     metrics = evaluate.evaluate_models(scored, "label", {tree.spec.name: tree.spec.name}, ["split"])
     assert all(r["acuracia"] > 0.98 for r in metrics.collect())
-    assert trees.impurity_importance(rows_, tree).first()["feature"] == "x1"
+    importance = trees.impurity_importance(spark, tree)
+    assert importance.first()["feature"] == "x1"
+    assert abs(sum(r["importance"] for r in importance.collect()) - 1) < 1e-9
     gap = evaluate.overfit_gap(metrics)
     assert abs(gap.first()["acuracia_gap"]) < 0.02
-    summary = trees.model_summary(scored, tree, gap, trees.impurity_importance(rows_, tree)).first()
+    summary = trees.model_summary(scored, tree, gap, importance).first()
     assert (summary["n_treino"], summary["n_teste"], summary["max_depth"]) == (4800, 1200, 5)
 
 
+def plain_prediction(tree, x):
+    at = 0
+    while tree.nodes[at].feature is not None:
+        node = tree.nodes[at]
+        at = node.left if x[node.feature] <= node.threshold else node.right
+    return tree.nodes[at].prediction
+
+
 @pytest.mark.parametrize("bucket_rows", [50_000, 100, 3])
 def test_permutation_importance(planted, bucket_rows):
-    rows_, tree = planted
-    test = rows_.filter("split = 'test'")
-    table = trees.permutation_importance(test, tree, "id", bucket_rows=bucket_rows)
-    got = {r["feature"]: r["importance"] for r in table.collect()}
-    assert got["x1"] > (0.3 if bucket_rows > 3 else 0.15)
-    assert abs(got["x2"]) < 0.02 and got["x3"] == 0.0
-    again = {r["feature"]: r["importance"] for r in table.collect()}
-    assert again == got
-
-
-def test_permutation_of_one_row(planted):
-    rows_, tree = planted
-    table = trees.permutation_importance(rows_.filter("id = 1"), tree, "id")
-    assert {r["importance"] for r in table.collect()} == {0.0}
-
-
-def test_nodes_and_storage(spark, planted):
-    rows_, tree = planted
-    nodes = trees.tree_nodes(rows_, tree).collect()
-    assert len(nodes) == tree.model.numNodes
+    """Scoring only the rows whose path asks for a feature gives what scoring all rows again gives."""
+    df, tree = planted
+    test = df.filter("split = 'test'")
+    got = {r["feature"]: r["importance"] for r in trees.permutation_importance(test, tree, "id", bucket_rows=bucket_rows).collect()}
+    data = [(r.id, (r.x1, r.x2, r.x3), r.label) for r in test.collect()]
+    buckets = {}
+    for key, x, y in data:
+        digest = hashlib.md5(f"{key}:42".encode()).hexdigest()
+        buckets.setdefault(int(digest[:8], 16) % -(-len(data) // bucket_rows), []).append((digest, key, x, y))
+    for f, name in enumerate(("x1", "x2", "x3")):
+        lost = 0
+        for members in buckets.values():
+            members.sort()
+            for i, (_, _, x, y) in enumerate(members):
+                for r in range(1, 6):
+                    mixed = list(x)
+                    mixed[f] = members[(i + r) % len(members)][2][f]
+                    lost += (plain_prediction(tree, x) == y) - (plain_prediction(tree, mixed) == y)
+        assert abs(got[name] - lost / (5 * len(data))) < 1e-12
+
+
+def test_permutation_of_few_rows(planted):
+    df, tree = planted
+    for rows_ in ("id = 1", "id = -1"):
+        table = trees.permutation_importance(df.filter(rows_), tree, "id")
+        assert {r["importance"] for r in table.collect()} == {0.0}
+
+
+def test_nodes_rules_and_storage(spark, planted):
+    df, tree = planted
+    nodes = trees.tree_nodes(spark, tree).collect()
+    assert len(nodes) == len(tree.nodes)
     root = next(n for n in nodes if n["node"] == 0)
     assert root["feature"] == "x1" and abs(root["threshold"] - 0.4) < 0.05
-    loaded = trees.load_model(tree.spec, tree.features, trees.save_model(tree, fresh_path(spark, "model")))
-    assert trees.predict(rows_, loaded).filter("prediction is null").count() == 0
+    assert sum(n["rows"] for n in nodes if n["feature"] is None) == 4800
+    loaded = trees.load_model(spark, trees.save_model(spark, tree, fresh_path(spark, "model")))
+    assert loaded == tree
+    leaves = {}
+    for r in trees.leaf_rules(spark, tree).collect():
+        leaves.setdefault(r["leaf"], []).append(r)
+    place = {"x1": 0, "x2": 1, "x3": 2}
+    for row in trees.predict(df.limit(200), tree).collect():
+        x = (row.x1, row.x2, row.x3)
+        fits = [
+            rules[0]["prediction"]
+            for rules in leaves.values()
+            if all((r["above"] is None or x[place[r["feature"]]] > r["above"]) and (r["up_to"] is None or x[place[r["feature"]]] <= r["up_to"]) for r in rules)
+        ]
+        assert fits == [row.prediction] == [plain_prediction(tree, x)]
+
+
+def plain_tree(rows_, spec, depth=0):
+    """(depth, zeros, ones, feature, code, gain) of a walk from the root, every cut of every node tried."""
+    def impurity(zeros, ones):
+        shares = [n / (zeros + ones) for n in (zeros, ones) if n]
+        return 1 - sum(p * p for p in shares) if spec.impurity == "gini" else -sum(p * math.log2(p) for p in shares)
+
+    ones = sum(y for _, y in rows_)
+    zeros, best = len(rows_) - ones, None
+    for f in range(len(rows_[0][0]) if zeros and ones and depth < spec.depth else 0):
+        for code in sorted({x[f] for x, _ in rows_})[:-1]:
+            left = [y for x, y in rows_ if x[f] <= code]
+            a, n = sum(left), len(left)
+            gain = impurity(zeros, ones) - n / len(rows_) * impurity(n - a, a)
+            gain -= (len(rows_) - n) / len(rows_) * impurity(zeros - n + a, ones - a)
+            if gain > 1e-12 and (best is None or (-round(gain, 12), f, code) < best[:3]):
+                best = (-round(gain, 12), f, code, gain)
+    if best is None:
+        return [(depth, zeros, ones, None, None, None)]
+    _, f, code, gain = best
+    sides = [[r for r in rows_ if (r[0][f] <= code) == side] for side in (True, False)]
+    return [(depth, zeros, ones, f, code, round(gain, 9)), *plain_tree(sides[0], spec, depth + 1), *plain_tree(sides[1], spec, depth + 1)]
+
+
+def test_trees_against_every_cut_tried(spark):
+    rng = random.Random(1)
+    data = [([rng.randrange(6), rng.randrange(9), 3, rng.randrange(2)], 0) for _ in range(400)]
+    data = [(x, int((x[0] > 2) ^ (x[1] in (1, 2, 7)) if rng.random() < 0.85 else rng.randrange(2))) for x, _ in data]
+    df = spark.createDataFrame([(*map(float, x), y) for x, y in data], "a double, b double, c double, d double, label int")
+    edges = {n: tuple(float(v) for v in range(9)) for n in "abcd"}
+    for spec, tree in zip((trees.GINI, trees.ENTROPY), trees.fit_trees(df.repartition(5), list("abcd"), (trees.GINI, trees.ENTROPY), edges=edges)):
+        got = [(n.depth, n.zeros, n.ones, n.feature, n.code, n.gain and round(n.gain, 9)) for n in tree.nodes]
+        assert got == plain_tree(data, spec)
+        assert len(got) > 20
+        found = [r.prediction for r in trees.predict(df, tree).collect()]
+        assert found == [plain_prediction(tree, x) for x, _ in data]
 
 
 def test_trees_do_not_depend_on_partitions(spark):
+    """More rows than any sample would hold; bounds are exact ranks of all of them."""
     df = spark.range(30_000).select(
         "id", *[F.pmod(F.xxhash64("id", F.lit(k)), F.lit(100_003)).cast("double").alias(f"x{k}") for k in range(4)]
     )
     noise = F.pmod(F.xxhash64("id", F.lit("noise")), F.lit(10)) < 3
     df = df.withColumn("label", ((F.col("x1") > 40_000) & (F.col("x2") > 30_000) | noise).cast("int"))
     names = ["x0", "x1", "x2", "x3"]
-    dumps, drops = [], []
-    for part in (df.coalesce(1), df.repartition(7), df.repartition(3, "x3")):
-        edges = trees.bin_edges(part, names, "id")
-        assert all(len(e) == trees.BINS - 1 for e in edges.values())
-        rows_ = trees.matrix(part, names, "label", ["id"], edges)
-        tree = trees.fit_tree(rows_, names, trees.ENTROPY, edges=edges)
-        dumps.append([tuple(r) for r in trees.tree_nodes(df, tree).orderBy("node").collect()])
-        losses = trees.permutation_importance(rows_.filter("id % 10 = 0"), tree, "id")
-        drops.append([tuple(r) for r in losses.collect()])
-    assert dumps[0] == dumps[1] == dumps[2] and len(dumps[0]) > 20
-    assert drops[0] == drops[1] == drops[2]
-    # The root's cut is a value of the feature, and depth grows by one.
-    depth = {n[0]: n[1] for n in dumps[0]}
-    assert all(depth[n[4]] == depth[n[5]] == n[1] + 1 for n in dumps[0] if n[2])
+    plain = {n: sorted(r[0] for r in df.select(n).collect()) for n in names}
+    want = {n: tuple(sorted({v[30_000 * k // 32] for k in range(1, 32)})) for n, v in plain.items()}
+    assert trees.bin_edges(df.repartition(3), names, gathered=100, buckets=64) == want
+    dumps = []
+    for part in (df.coalesce(1), df.repartition(7, "x3")):
+        (tree,) = trees.fit_trees(part, names, [trees.ENTROPY])
+        dumps.append(tree.nodes)
+    assert dumps[0] == dumps[1] and len(dumps[0]) > 20
+    assert {n.threshold for n in dumps[0] if n.feature == 1} <= set(want["x1"])
 
 
 def test_codes(spark):
     df = spark.createDataFrame([(None,), (-1.0,), (0.0,), (1.0,), (1.5,), (9.0,)], "a double")
-    got = [r["a"] for r in trees.coded(df, {"a": (0.0, 1.0, 2.0)}).collect()]
-    assert got == [0.0, 0.0, 0.0, 1.0, 2.0, 3.0]
-    assert trees.bin_edges(df.limit(0), ["a"], "a") == {"a": ()}
-    assert [r["a"] for r in trees.coded(df.limit(2), {"a": ()}).collect()] == [0.0, 0.0]
+    got = [list(r[0]) for r in df.select(trees.codes(df, {"a": (0.0, 1.0, 2.0)})).collect()]
+    assert got == [[0], [0], [0], [1], [2], [3]]
+    assert trees.bin_edges(df.limit(0), ["a"]) == {"a": ()}
+    assert [list(r[0]) for r in df.limit(2).select(trees.codes(df, {"a": ()})).collect()] == [[0], [0]]
+
+
+def test_trees_without_cuts(spark):
+    """No rows, one class, no features, constant features: a single leaf."""
+    df = spark.createDataFrame([(1.0, 1), (2.0, 1)], "a double, label int")
+    for part, names in ((df.limit(0), ["a"]), (df, ["a"]), (df, []), (df.selectExpr("1.0D as a", "label"), ["a"])):
+        (tree,) = trees.fit_trees(part, names, [trees.GINI])
+        assert len(tree.nodes) == 1
+        assert {r.prediction for r in trees.predict(df, tree).collect()} == {int(tree.nodes[0].ones > 0)}
+        assert trees.impurity_importance(spark, tree).filter("importance <> 0").count() == 0
