@@ -11,7 +11,7 @@ from lamina.llm import quality_gam, sentencepiece_codec
 from lamina.llm.common import fold
 from tests.llm.test_mixing import reshared
 from tests.llm.test_pii import plain_spans
-from tests.llm.test_simhash import plain_components, sh
+from tests.llm.test_simhash import plain_kept
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
@@ -48,9 +48,9 @@ def test_quality_rejects_what_the_model_scores_low(spark, stages):
 
 
 def test_one_of_each_group_stays(stages):
+    """By the similarity of all pairs of five-word shingle sets of the quality stage's texts."""
     rows = sorted(stages[1].collect(), key=lambda r: r.doc_id)
-    prints = [sh.fingerprint(r.text, 1, True) for r in rows]
-    want = {rows[i].doc_id for i in set(plain_components(prints, 6))}
+    want = set(plain_kept([(r.doc_id, r.text) for r in rows]))
     assert {r.doc_id for r in stages[2].collect()} == want
     texts = Counter(r.text for r in stages[2].collect())
     assert max(texts.values()) == 1
