@@ -15,8 +15,11 @@ dealt to finer tables by covering the bits its mask has left open, again and
 again: after each level about half of the open bits are left, and with f open bits a
 bucket cannot hold more than 2^f distinct fingerprints, so this ends.
 
-``representatives`` does not use fingerprints: it joins the five-word shingle sets of
-whole texts exactly and keeps one row of each component.
+``representatives`` keeps one row of each group of texts whose five-word shingle sets have
+a Jaccard similarity of 0.8 or more. Covering tables over the fingerprints of distinct words
+find the near copies first; an exact join of rare shingles then finds the pairs that differ
+in more bits, so that none is missed. A pair is refused by what bit sketches of the two sets
+leave possible before any whole set is read, and linked only if the whole sets are similar.
 
 Defined results: NULL and empty texts and texts of spaces have fingerprint zero
 and are linked like any other; fewer than three words are one shingle; rows with
@@ -259,7 +262,9 @@ COMMON = 8
 MOST_COMMON = 50_000
 # In so many rounds (STARS) members of a bucket are compared with one of them, chosen by one of so many orders.
 ORDERS = 4
-STARS = 2
+STARS = 1
+# Bits in which the fingerprints of distinct words may differ for the covering tables to pair them.
+RADIUS = 3
 
 
 def shingle_set(text: str, words_each: int = SHINGLE) -> np.ndarray:
@@ -310,17 +315,39 @@ def common_shingles(docs: DataFrame, text: str, words_each: int) -> np.ndarray:
     return np.array([row["one"] for row in reversed(most)], np.int64).view(np.uint64)
 
 
-def _prefixes(docs: DataFrame, text: str, keep: tuple[str, ...], similarity: float, words_each: int) -> DataFrame:
-    """``keep``, set_key, size, and the shingles of which similar sets share one.
+SKETCH_LEAST, SKETCH_MOST = 256, 1 << 16
+
+
+def sketch(shingles: np.ndarray) -> bytes:
+    """Bits of the shingles' low digits, two for each shingle at least unless there are very many."""
+    bits = SKETCH_LEAST
+    while bits < 2 * len(shingles) and bits < SKETCH_MOST:
+        bits *= 2
+    marks = np.zeros(bits, np.uint8)
+    marks[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
+    return np.packbits(marks, bitorder="little").tobytes()
+
+
+def most_shared(one: bytes, size: int, other: bytes, other_size: int) -> int:
+    """Upper bound of the shingles two sets share: a bit that only one has costs it a shingle."""
+    a, b = (np.frombuffer(x, np.uint8) for x in (one, other))
+    width = min(len(a), len(b))
+    a, b = (np.bitwise_or.reduce(x.reshape(-1, width), axis=0) for x in (a, b))
+    only = lambda x, y: int(np.bitwise_count(x & ~y).sum())
+    return min(size - only(a, b), other_size - only(b, a))
+
+
+def _prefixes(docs: DataFrame, text: str, keep: dict[str, Column], similarity: float, words_each: int) -> DataFrame:
+    """``keep``, set_key, size, sketch, fp, and the shingles of which similar sets share one.
 
     In any order of all shingles, sets that share ``need`` of ``n`` have one in common
     among the first n - need + 1 of each. Common ones are last here, so they are seldom
-    among these; the order decides the work, never the result.
+    among these; the order decides the work, never the result. ``fp`` is the fingerprint of
+    the distinct words.
     """
     common = common_shingles(docs, text, words_each)
     order = np.argsort(common)
-    kinds = dict(docs.dtypes)
-    names = [f"k{i}" for i in range(len(keep))]
+    names = [*keep, "set_key", "size", "sketch", "fp", "prefix"]
 
     def prefix(shingles: np.ndarray) -> np.ndarray:
         count = len(shingles) - _least_shared(len(shingles), similarity) + 1 if len(shingles) else 0
@@ -333,13 +360,34 @@ def _prefixes(docs: DataFrame, text: str, keep: tuple[str, ...], similarity: flo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "_text"):
-                sets = [shingle_set(one, words_each) for one in texts_of(part, "_text")]
-                made = [_longs(map(_set_key, sets)), pa.array(list(map(len, sets)), pa.int32()), _list_of_longs([prefix(one) for one in sets])]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], [*names, "set_key", "size", "prefix"])
+                texts = texts_of(part, "_text")
+                sets = [shingle_set(one, words_each) for one in texts]
+                made = [
+                    _longs(map(_set_key, sets)), pa.array(list(map(len, sets)), pa.int32()), pa.array(map(sketch, sets), pa.binary()),
+                    _longs(fingerprint(one, 1, True) for one in texts), _list_of_longs([prefix(one) for one in sets]),
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names)
 
-    rows = docs.select(*[F.col(k).alias(n) for k, n in zip(keep, names)], F.col(text).alias("_text"))
-    schema = ", ".join([*(f"{n} {kinds[k]}" for k, n in zip(keep, names)), "set_key long, size int, prefix array<long>"])
-    return rows.mapInArrow(run, schema).withColumnsRenamed(dict(zip(names, keep)))
+    rows = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(text).alias("_text"))
+    kinds = dict(rows.dtypes)
+    schema = [f"{n} {kinds[n]}" for n in keep] + ["set_key long", "size int", "sketch binary", "fp long", "prefix array<long>"]
+    return rows.mapInArrow(run, ", ".join(schema))
+
+
+def _possible(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) whose sketches leave room for the similarity."""
+    one = classes.select(F.col("set_key").alias("a"), F.col("size").alias("m"), F.col("sketch").alias("s"))
+    other = classes.select(F.col("set_key").alias("b"), F.col("size").alias("n"), F.col("sketch").alias("t"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            m, n, s, t = (batch.column(c).to_pylist() for c in ("m", "n", "s", "t"))
+            fits = [
+                most_shared(x, k, y, l) >= similarity / (1 + similarity) * (k + l) - 1e-9 for x, k, y, l in zip(s, m, t, n)
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
+
+    return pairs.select("a", "b").join(one, "a").join(other, "b").mapInArrow(run, "a long, b long")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -352,13 +400,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return cut_lineage(both.where(shared >= similarity * total - 1e-9).select("a", "b"))
 
 
+def _near_copies(classes: DataFrame, radius: int) -> DataFrame:
+    """Pairs (a, b) of set keys by the covering tables; sets of one fingerprint are paired with the least of them."""
+    prints = classes.groupBy("fp").agg(F.min("set_key").alias("least"))
+    same = classes.join(prints, "fp").where("set_key <> least").select(F.col("set_key").alias("a"), F.col("least").alias("b"))
+    found = links(prints.select("fp"), radius)
+    named = prints.select(F.col("fp").alias("a"), F.col("least").alias("x"))
+    other = prints.select(F.col("fp").alias("b"), F.col("least").alias("y"))
+    return same.union(found.join(named, "a").join(other, "b").select("x", "y"))
+
+
 def similar_sets(
     classes: DataFrame, keys: DataFrame, texts: DataFrame, similarity: float, words_each: int, stars: int = STARS
 ) -> DataFrame:
     """set_key and root of each set that another one is similar to, directly or through others.
 
-    ``classes`` has the prefixes, ``keys`` a _key of each set, ``texts`` _text by _key. Sets that
-    share a shingle of their prefixes are candidates. In ``stars`` rounds each set is compared with
+    ``classes`` has one row for each set: set_key, size, sketch, fp and prefix; ``keys`` a _key of
+    each set, ``texts`` _text by _key. Pairs of the covering tables are looked at first. Then sets that
+    share a shingle of their prefixes are candidates: in ``stars`` rounds each set is compared with
     one other only; then all pairs are compared that are not connected yet and share enough of their
     prefixes. So groups of copies cost little more than their rows, and no pair is left out
     but those that are connected.
@@ -377,12 +436,12 @@ def similar_sets(
     found = None
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The similar ones; texts of sets in no pair are not read as sets."""
-        pairs = cut_lineage(pairs.select("a", "b"))
+        """The similar ones; texts of sets in no possible pair are not read as sets."""
+        pairs = cut_lineage(_possible(pairs, classes, similarity))
         wanted = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct().join(keys, "set_key")
         wanted = cut_lineage(wanted.select("_key"))
         some = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "_key", "left_semi")
-        return _verified(pairs, cut_lineage(_sets_of(some, words_each).dropDuplicates(["set_key"])), similarity)
+        return _verified(pairs, cut_lineage(_sets_of(some.dropDuplicates(["_key"]), words_each)), similarity)
 
     def connected(new: DataFrame) -> DataFrame:
         nonlocal found
@@ -395,6 +454,7 @@ def similar_sets(
         mixed = named.groupBy("one").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
         return cut_lineage(named.join(mixed.select("one"), "one", "left_semi"))
 
+    shared = unsettled(shared, connected(verified(_near_copies(classes, RADIUS))))
     for star in range(stars):
         rank = F.xxhash64("set_key", F.pmod("one", F.lit(ORDERS)), F.lit(star))
         centres = shared.groupBy("one").agg(F.min(F.struct(rank.alias("rank"), "set_key", "size", "root")).alias("c"))
@@ -410,6 +470,13 @@ def similar_sets(
     return connected(verified(rest))
 
 
+def _unused(docs: DataFrame, name: str) -> str:
+    """The name, made longer until the table has no such column."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def representatives(
     docs: DataFrame, text: str = "text", id: str = "doc_id", similarity: float = SIMILARITY, words_each: int = SHINGLE
 ) -> DataFrame:
@@ -419,15 +486,23 @@ def representatives(
     similarity of ``similarity`` or more, on whole texts; none is missed. Texts without
     words are alike. Rows that share id and text are one.
     """
-    key = F.xxhash64(text)
-    rows = cut_lineage(_prefixes(docs.withColumn("_key", key), text, (id, "_key"), similarity, words_each))
-    classes = rows.groupBy("set_key").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    key = F.xxhash64(F.col(f"`{text}`"))
+    named = F.coalesce(F.col(f"`{id}`").cast("string"), F.lit(""))
+    rows = cut_lineage(_prefixes(docs, text, {"id": F.col(f"`{id}`"), "_key": key, "_id": named}, similarity, words_each))
+    classes = rows.groupBy("set_key").agg(*[F.first(n).alias(n) for n in ("size", "sketch", "fp", "prefix")])
+    classes = cut_lineage(classes)
     keys = rows.groupBy("set_key").agg(F.min("_key").alias("_key"))
-    texts = docs.select(key.alias("_key"), F.col(text).alias("_text"))
+    texts = docs.select(key.alias("_key"), F.col(f"`{text}`").alias("_text"))
     found = similar_sets(classes, keys, texts, similarity, words_each)
-    grouped = rows.select(id, "_key", "set_key").join(found, "set_key", "left")
-    order = F.struct(F.col(id).isNull().alias("no_id"), F.col(id).alias("id"), F.col("_key").alias("key"))
-    chosen = grouped.groupBy(F.coalesce("root", "set_key")).agg(F.min(order).alias("o")).select("o.id", "o.key")
-    chosen = chosen.select(F.coalesce(F.col("id").cast("string"), F.lit("")).alias("_id"), F.col("key").alias("_k")).distinct()
-    named = docs.withColumns({"_id": F.coalesce(F.col(id).cast("string"), F.lit("")), "_k": key})
-    return named.join(chosen, ["_id", "_k"], "left_semi").dropDuplicates(["_id", "_k"]).select(*[f"`{c}`" for c in docs.columns])
+    slim = rows.select("id", "_id", "_key", "set_key")
+    grouped = slim.join(found, "set_key", "left")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "_key", "_id")
+    chosen = grouped.groupBy(F.coalesce("root", "set_key")).agg(F.min(order).alias("o")).select("o._id", "o._key").distinct()
+    # Only rows that share id and text with another one are brought together to leave one of them.
+    counted = slim.groupBy("_id", "_key").agg((F.count("*") > 1).alias("again"))
+    i, k, again = (_unused(docs, n) for n in ("near_id", "near_key", "near_again"))
+    chosen = cut_lineage(chosen.join(counted, ["_id", "_key"]).toDF(i, k, again))
+    kept = docs.withColumns({i: named, k: key}).join(chosen, [i, k])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    repeated = kept.where(F.col(again)).dropDuplicates([i, k])
+    return kept.where(~F.col(again)).select(*columns).unionByName(repeated.select(*columns))
