@@ -256,10 +256,11 @@ def near_duplicates(
 
 SIMILARITY = 0.8
 SHINGLE = 5
-# Rows whose shingles are counted to put common ones last, and how many of these rows make one common.
-COUNTED_ROWS = 4000
-COMMON = 8
-MOST_COMMON = 50_000
+# Share of the rows whose shingles are counted to put common ones last, and how many of these rows
+# make one common: as a share, so that buckets of the others stay as small on a large table.
+COUNTED_SHARE = 1 / 8
+COMMON = 6
+MOST_COMMON = 400_000
 # In so many rounds (STARS) members of a bucket are compared with one of them, chosen by one of so many orders.
 ORDERS = 4
 STARS = 1
@@ -306,16 +307,15 @@ def _sets_of(rows: DataFrame, words_each: int) -> DataFrame:
 
 
 def common_shingles(docs: DataFrame, text: str, words_each: int) -> np.ndarray:
-    """Shingles of many rows, the commonest last, by a bounded number of rows chosen by hash."""
-    share = min(1.0, COUNTED_ROWS / max(1, docs.count()))
-    rows = docs.select(F.col(text).alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    """Shingles of many rows, the commonest last, by a fixed share of the texts, chosen by hash; at most ``MOST_COMMON``."""
+    rows = docs.select(F.col(text).alias("_text")).where(F.pmod(F.xxhash64("_text"), F.lit(1 << 30)) < int(COUNTED_SHARE * (1 << 30)))
     sets = _sets_of(rows, words_each).dropDuplicates(["set_key"])
     counted = sets.select(F.explode("shingles").alias("one")).groupBy("one").count().where(F.col("count") >= COMMON)
     most = counted.orderBy(F.desc("count"), "one").limit(MOST_COMMON).collect()
     return np.array([row["one"] for row in reversed(most)], np.int64).view(np.uint64)
 
 
-SKETCH_LEAST, SKETCH_MOST = 256, 1 << 16
+SKETCH_LEAST, SKETCH_MOST = 256, 1 << 15
 
 
 def sketch(shingles: np.ndarray) -> bytes:
@@ -418,11 +418,11 @@ def similar_sets(
     ``classes`` has one row for each set: set_key, size, sketch, fp and prefix; ``keys`` a _key of
     each set, ``texts`` _text by _key. Pairs of the covering tables are looked at first. Then sets that
     share a shingle of their prefixes are candidates: in ``stars`` rounds each set is compared with
-    one other only; then all pairs are compared that are not connected yet and share enough of their
-    prefixes. So groups of copies cost little more than their rows, and no pair is left out
+    one other only; then all pairs are compared that are not connected yet and can share enough after the first
+    shingle they share. So groups of copies cost little more than their rows, and no pair is left out
     but those that are connected.
     """
-    rows = classes.select("set_key", "size", F.explode("prefix").alias("one"))
+    rows = classes.select("set_key", "size", F.posexplode("prefix").alias("pos", "one"))
     buckets = cut_lineage(rows.groupBy("one").count().where("count > 1").select("one"))
     shared = rows.join(F.broadcast(buckets) if buckets.count() <= BROADCAST_ROWS else buckets, "one", "left_semi")
     shared = cut_lineage(shared.withColumn("root", F.col("set_key")))
@@ -463,10 +463,13 @@ def similar_sets(
         pairs = pairs.groupBy(F.col("set_key").alias("a"), "b", "size", "size_b").count().where(F.col("count") * ORDERS >= least)
         pairs = pairs.groupBy("a").agg(F.max(F.struct("count", "b"))["b"].alias("b"))
         shared = unsettled(shared, connected(verified(pairs)))
-    other = shared.withColumnsRenamed({"set_key": "b", "size": "size_b", "root": "root_b"})
+    other = shared.withColumnsRenamed({"set_key": "b", "size": "size_b", "root": "root_b", "pos": "pos_b"})
     rest = shared.withColumnRenamed("set_key", "a").join(other, "one")
-    rest = rest.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near("size", "size_b"))
-    rest = rest.groupBy("a", "b", "size", "size_b").count().where(F.col("count") >= least)
+    # If this is the first shingle two sets share, they share no more than what follows it in both. A similar
+    # pair passes at its first one, so pairs of texts around one common passage need not be counted up.
+    left = F.least(F.col("size") - F.col("pos"), F.col("size_b") - F.col("pos_b"))
+    rest = rest.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near("size", "size_b") & (left >= enough))
+    rest = rest.select("a", "b").distinct()
     return connected(verified(rest))
 
 

@@ -189,6 +189,35 @@ def test_only_similar_texts_are_dropped(spark):
     assert {1, 2, 10}.issubset(got) and not {11, 17, 303} & set(got)
 
 
+def test_sketches_never_refuse_a_similar_pair():
+    """What two sketches leave possible is at least what the sets share, also of unequal widths and when all bits are set."""
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 5, 100, 3000, 60_000):
+        for m in (1, 90, 4000, 50_000):
+            pool = rng.integers(0, 1 << 63, n + m, dtype=np.uint64)
+            one, other = np.unique(pool[:n]), np.unique(np.concatenate([pool[: n // 2], pool[n:]]))
+            bound = sh.most_shared(sh.sketch(one), len(one), sh.sketch(other), len(other))
+            assert len(np.intersect1d(one, other)) <= bound <= min(len(one), len(other))
+    one = np.arange(400, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    assert sh.most_shared(sh.sketch(one), 400, sh.sketch(one[:200]), 200) == 200
+    assert sh.most_shared(sh.sketch(one[:200]), 200, sh.sketch(one[200:]), 200) < 100
+
+
+def test_one_passage_around_which_texts_differ(spark):
+    """Texts that share most of their shingles but too few to be linked, beside some that are."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(100)]
+    rows = []
+    for i in range(90):
+        own = [f"o{i}x{j}" for j in range(rng.choice((2, 6, 9, 12, 20)))]
+        cut = rng.randrange(100)
+        rows.append((i, " ".join(passage[:cut] + own + passage[cut:])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as near_id", "2 as fp", "'k' as set_key", "3 as _key", "4 as _id", "5 as _k")
+    kept = sh.representatives(docs)
+    assert kept.columns == docs.columns and {r.near_id for r in kept.collect()} == {1}
+    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows)
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
 def test_given_documents_against_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
