@@ -3,17 +3,24 @@
 Patterns find e-mail addresses, IP addresses, card and phone numbers. Each value
 found is a protected entity. How strongly a term reveals an entity is estimated
 from the whole corpus: with N documents, n_e that hold the entity, n_t that hold the
-term and n_et in which the term stands near the entity, the information the term
-gives is ln(n_et N / (n_e n_t)), out of the entity's own -ln(n_e / N). A term near
-an entity whose share reaches ``GENERALISE`` is replaced by its class, from ``REMOVE``
-on it is removed; pairs seen in fewer than ``SUPPORT`` documents prove nothing.
+term and n_et that hold both, the chance of the entity where the term stands is
+n_et / (n_t + ``PRIOR``), smoothed so that terms met once or twice can be judged too.
+The information given is ln of that chance over n_e / N, out of the entity's own
+-ln(n_e / N). Wherever a term stands in a document of an entity whose share
+reaches ``GENERALISE`` it is replaced by its class, from ``REMOVE`` on it is removed.
 
-Built-in functions only. Texts are read where they lie; what is shuffled is one
-slim row a document, the words near entities, and counts that were added up before.
+The share depends only on which documents hold the two, so entities of the same
+documents are counted as one class, terms likewise: a text of thousands of
+addresses met nowhere else gives one class of each. Equal sets are told by their
+size and two 64-bit hashes.
+
+Built-in functions only. Texts are read where they lie; what is shuffled are the words
+of documents with findings, and counts that were added up before.
 
 Defined results: NULL and empty texts have no spans; rows repeat as they come, and
 repeated rows count as documents; NULL ids are ids like any other here; an empty
-table gives none; extra columns pass through ``sanitise`` unchanged.
+table gives none; extra columns, whatever their names, pass through ``sanitise`` unchanged;
+work grows in proportion to the matches of a text, however long.
 """
 
 from __future__ import annotations
@@ -28,8 +35,9 @@ from lamina.session import cut_lineage, small_enough
 
 GENERALISE = 0.8
 REMOVE = 0.95
-SUPPORT = 3
-REACH = 48
+PRIOR = 1.0
+CHUNK = 256  # elements whose running sums are appended one by one
+COVERED = "\uE000"  # stands for a letter or digit that a span covers; private use, no letter itself
 
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -50,7 +58,8 @@ PATTERNS = (
     Pattern("card", r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,}+", ""),
     Pattern("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+"),
 )
-TERM = r"[\p{L}\p{N}]{2,}"
+WORD = r"[\p{L}\p{N}]"
+TERM = WORD + "{2,}"
 
 
 def _digits(value: Column) -> Column:
@@ -84,118 +93,200 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
+def running(values: Column, combine=lambda a, b: a + b) -> Column:
+    """Running sums (or maxima) of whole numbers from 0 on: inside chunks first, then with the chunks before."""
+    last = lambda a: F.coalesce(F.get(a, F.size(a) - 1), F.lit(0))
+    walk = lambda array: F.aggregate(
+        array, F.array().cast("array<int>"), lambda a, x: F.array_append(a, combine(last(a), x))
+    )
+
+    def joined(p: Column) -> Column:
+        before = lambda k: F.coalesce(F.get(p["upto"], k - 1), F.lit(0))
+        moved = lambda chunk, k: let(before(k), lambda b: F.transform(chunk, lambda x: combine(b, x)))
+        return F.flatten(F.transform(p["chunks"], moved))
+
+    def chunked(all_values: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor(F.greatest(F.size(all_values) - 1, F.lit(0)) / CHUNK).cast("int"))
+        chunks = F.transform(numbers, lambda k: walk(F.slice(all_values, k * CHUNK + 1, CHUNK)))
+        return let(chunks, lambda c: let(F.struct(c.alias("chunks"), walk(F.transform(c, last)).alias("upto")), joined))
+
+    return let(values, chunked)
+
+
+def matches(text: Column, regex: str) -> Column:
+    """start and end in code points and value of every match, placed by what lies before and between them."""
+
+    def placed(values: Column) -> Column:
+        gaps = F.slice(F.transform(F.split(text, regex, -1), F.length), 1, F.size(values))
+        ends = running(F.zip_with(gaps, values, lambda gap, v: gap + F.length(v)))
+
+        def one(e: Column, v: Column, i: Column) -> Column:
+            return F.struct((F.get(e, i) - F.length(v)).alias("start"), F.get(e, i).alias("end"), v.alias("value"))
+
+        each = let(ends, lambda e: F.transform(values, lambda v, i: one(e, v, i)))
+        return F.when(F.size(values) > 0, each).otherwise(F.array().cast(MATCH))
+
+    return let(F.regexp_extract_all(text, F.lit(regex), F.lit(0)), placed)
+
+
+MATCH = "array<struct<start:int,end:int,value:string>>"
 SPAN = "array<struct<kind:int,start:int,end:int,value:string>>"
 
 
 def base_spans(rows: DataFrame, text: str) -> DataFrame:
-    """``rows`` with ``spans``: kind (its number), start and end in code points, value; in order of kind and start.
+    """``rows`` with ``spans``: kind (its number), start and end in code points, value; in order of kind and start."""
 
-    Matches are placed by the lengths of what lies before and between them.
-    """
-    empty = F.array().cast("array<string>")
-    names = [p.kind for p in PATTERNS]
-    for pattern in PATTERNS:
+    def placed(number: int, pattern: Pattern) -> Column:
         possible = F.contains(F.col(text), F.lit(pattern.needs)) if pattern.needs else F.col(text).rlike("[0-9]")
-        found = F.when(possible, F.regexp_extract_all(text, F.lit(pattern.regex), F.lit(0))).otherwise(empty)
-        rows = rows.withColumn(f"_m_{pattern.kind}", found)
-    for pattern in PATTERNS:
-        matches = F.col(f"_m_{pattern.kind}")
-        gaps = F.when(F.size(matches) > 0, F.split(F.col(text), pattern.regex, -1)).otherwise(empty)
-        rows = rows.withColumn(f"_g_{pattern.kind}", F.transform(gaps, F.length))
-        rows = rows.withColumn(f"_l_{pattern.kind}", F.transform(matches, F.length))
+        held = F.filter(matches(F.col(text), pattern.regex), lambda m: _holds(pattern.kind, m["value"]))
+        spans = F.transform(
+            held,
+            lambda m: F.struct(F.lit(number).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value")),
+        )
+        return F.when(possible, spans).otherwise(F.array().cast(SPAN)).cast(SPAN)
+
+    return rows.withColumn("spans", F.concat(*[placed(i, pattern) for i, pattern in enumerate(PATTERNS)]))
 
-    def placed(number: int, kind: str) -> Column:
-        matches, gaps, lengths = (F.col(f"_{c}_{kind}") for c in "mgl")
-        total = lambda array, n: F.aggregate(F.slice(array, 1, n), F.lit(0), lambda a, x: a + x)
 
-        def span(value: Column, i: Column) -> Column:
-            start = total(gaps, i + 1) + total(lengths, i)
-            return F.struct(
-                F.lit(number).alias("kind"), start.alias("start"), (start + F.get(lengths, i)).alias("end"), value.alias("value")
-            )
+def merged(cuts: Column) -> Column:
+    """start, end and mark of cuts in order of start; those that overlap are one, marked as the first of them."""
 
-        return F.filter(F.transform(matches, span), lambda s: _holds(kind, s["value"]))
+    def heads(p: Column) -> Column:
+        numbered = F.transform(
+            p["cuts"], lambda c, i: F.struct(i.alias("at"), c["start"].alias("start"), c["mark"].alias("mark"))
+        )
+        first = F.filter(numbered, lambda h: h["start"] >= F.coalesce(F.get(p["reach"], h["at"] - 1), F.lit(0)))
 
-    spans = F.concat(*[placed(i, kind) for i, kind in enumerate(names)]).cast(SPAN)
-    return rows.withColumn("spans", spans).drop(*[f"_{c}_{k}" for c in "mgl" for k in names])
+        def ended(all_heads: Column, h: Column, k: Column) -> Column:
+            next_at = F.coalesce(F.get(all_heads, k + 1)["at"], F.size(p["cuts"]))
+            return F.struct(h["start"].alias("start"), F.get(p["reach"], next_at - 1).alias("end"), h["mark"].alias("mark"))
 
+        return let(first, lambda all_heads: F.transform(all_heads, lambda h, k: ended(all_heads, h, k)))
 
-def _terms(text: Column, start: Column, spans: Column, cut_left: Column, cut_right: Column) -> Column:
-    """Terms of a stretch of text that begins at ``start``, without cut words and what spans cover."""
-    matches = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-    gaps = F.transform(F.split(text, TERM, -1), F.length)
-    lengths = F.transform(matches, F.length)
-    total = lambda array, n: F.aggregate(F.slice(array, 1, n), F.lit(0), lambda a, x: a + x)
+    def reached(c: Column) -> Column:
+        reach = running(F.transform(c, lambda x: x["end"]), F.greatest)
+        return let(F.struct(c.alias("cuts"), reach.alias("reach")), heads)
 
-    def term(value: Column, i: Column) -> Column:
-        at = start + total(gaps, i + 1) + total(lengths, i)
-        return F.struct(F.lower(value).alias("term"), at.alias("start"), (at + F.length(value)).alias("end"))
+    return let(cuts, reached)
 
-    stop = start + F.length(text)
 
-    def stays(t: Column) -> Column:
-        covered = F.exists(spans, lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"]))
-        return ~covered & ~(cut_left & (t["start"] == start)) & ~(cut_right & (t["end"] == stop))
+def rewritten(text: Column, cuts: Column, change) -> Column:
+    """``text`` with ``change(cut, what it covers)`` in place of every cut; cuts in order, none over another.
+
+    Each chunk of cuts takes its stretch of the text once, so no cut walks the whole text.
+    """
 
-    return F.filter(F.transform(matches, term), stays)
+    def stretch(p: Column) -> Column:
+        def piece(c: Column, i: Column) -> Column:
+            before = F.coalesce(F.get(p["cuts"], i - 1)["end"], p["low"])
+            plain = F.substr(p["part"], before - p["low"] + 1, c["start"] - before)
+            return F.concat(plain, change(c, F.substr(p["part"], c["start"] - p["low"] + 1, c["end"] - c["start"])))
+
+        return F.array_join(F.transform(p["cuts"], piece), "")
+
+    def whole_text(all_cuts: Column) -> Column:
+        end_of = lambda i: F.coalesce(F.get(all_cuts, i)["end"], F.lit(0))
+
+        def chunk(k: Column) -> Column:
+            low, high = end_of(k * CHUNK - 1), end_of(F.least((k + 1) * CHUNK, F.size(all_cuts)) - 1)
+            own = F.slice(all_cuts, k * CHUNK + 1, CHUNK)
+            part = F.substr(text, low + 1, high - low)
+            return let(F.struct(own.alias("cuts"), low.alias("low"), part.alias("part")), stretch)
+
+        chunks = F.sequence(F.lit(0), F.floor((F.size(all_cuts) - 1) / CHUNK).cast("int"))
+        done = F.array_join(F.transform(chunks, chunk), "")
+        tail = F.substr(text, end_of(F.size(all_cuts) - 1) + 1, F.length(text))
+        return F.when(F.size(all_cuts) > 0, F.concat(done, tail)).otherwise(text)
+
+    return let(cuts, whole_text)
+
+
+TERMS = "array<struct<term:string,start:int,end:int>>"
 
 
 def findings(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """doc_id, text_key, spans and mentions: each span's entity and the terms on either side of it."""
-    rows = docs.select(F.col(id).alias("doc_id"), F.xxhash64(text).alias("text_key"), whole(text).alias("_text"))
+    """row, doc_id, text_key, spans, entities and terms (all places of words that no span touches).
+
+    Terms are taken from rows with spans only.
+    """
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id).alias("doc_id"),
+        F.xxhash64(text).alias("text_key"),
+        F.translate(whole(text), COVERED, " ").alias("_text"),
+    )
     rows = base_spans(rows, "_text")
-    text_col, spans = F.col("_text"), F.col("spans")
 
-    def mention(s: Column) -> Column:
-        left = F.greatest(s["start"] - REACH, F.lit(0))
-        before = F.substr(text_col, left + 1, s["start"] - left)
-        after = F.substr(text_col, s["end"] + 1, F.lit(REACH))
+    def entity(s: Column) -> Column:
         value = F.when(s["kind"] == 0, F.lower(s["value"])).when(s["kind"] == 1, s["value"]).otherwise(_digits(s["value"]))
-        return F.struct(
-            F.concat_ws(":", s["kind"].cast("string"), value).alias("entity"),
-            F.concat(
-                _terms(before, left, spans, left > 0, F.lit(True)),
-                _terms(after, s["end"], spans, F.lit(True), s["end"] + REACH < F.length(text_col)),
-            ).alias("terms"),
-        )
+        return F.concat_ws(":", s["kind"].cast("string"), value)
 
-    return rows.select("doc_id", "text_key", "spans", F.transform("spans", mention).alias("mentions"))
+    cuts = F.array_sort(
+        F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("").alias("mark")))
+    )
+    hidden = rewritten(F.col("_text"), merged(cuts), lambda c, covered: F.regexp_replace(covered, WORD, COVERED))
+    rows = rows.withColumn("_hidden", F.when(F.size("spans") > 0, hidden).otherwise(""))
+    free = F.filter(matches(F.col("_hidden"), f"[{WORD[1:-1]}{COVERED}]{{2,}}"), lambda m: ~F.contains(m["value"], F.lit(COVERED)))
+    terms = F.transform(
+        free, lambda m: F.struct(F.lower(m["value"]).alias("term"), m["start"].alias("start"), m["end"].alias("end"))
+    )
+    entities = F.array_distinct(F.transform("spans", entity))
+    return rows.select("row", "doc_id", "text_key", "spans", entities.alias("entities"), terms.cast(TERMS).alias("terms"))
 
 
 def _counts_of_terms(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
     """In how many documents each given term stands; the corpus is counted before it is shuffled."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(whole(text)), F.lit(TERM), F.lit(0)))
+    words = F.array_distinct(F.transform(F.regexp_extract_all(whole(text), F.lit(TERM), F.lit(0)), F.lower))
     each = docs.select(F.explode(words).alias("term"))
     if small_enough(terms, "term"):
-        each = each.join(F.broadcast(terms), "term")
+        each = each.join(F.broadcast(terms.select("term")), "term")
     return each.groupBy("term").agg(F.count("*").alias("n_t")).join(terms, "term")
 
 
+def _held_by(each: DataFrame, name: str, rows: str) -> DataFrame:
+    """For each value of ``name``: in how many rows it stands, and two hashes of the set of these rows."""
+    return each.groupBy(name).agg(
+        F.count("*").alias(rows), F.bit_xor(F.xxhash64("row")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(name), "row")).alias("h2")
+    )
+
+
 def disclosing_terms(
-    docs: DataFrame, found: DataFrame, text: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT
+    docs: DataFrame, found: DataFrame, text: str = "text", generalise: float = GENERALISE, remove: float = REMOVE, prior: float = PRIOR
 ) -> DataFrame:
-    """entity, term, share of the entity's information the term gives, and whether it is to be removed."""
-    # Numbered before mentions become rows, so that a document counts once however often it mentions.
-    each = found.select("mentions", F.monotonically_increasing_id().alias("row"))
-    each = each.select("row", F.explode("mentions").alias("m"))
-    pairs = each.select("row", "m.entity", F.explode_outer("m.terms.term").alias("term")).distinct()
-    together = pairs.where("term is not null").groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    together = together.where(F.col("n_et") >= support)
-    entities = pairs.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    beside = pairs.select("row", "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    """row, term, share (the largest over the row's entities) and whether it is to be removed."""
     total = F.lit(float(found.count()))
 
-    def share(documents: str) -> Column:
-        given = F.log(F.col("n_et") * total / (F.col("n_e") * F.col(documents)))
-        return F.when(F.col("n_e") < total, given / F.log(total / F.col("n_e"))).otherwise(0.0)
-
-    # A term stands in no fewer documents than it does near entities: what falls short even
-    # so need not be counted, which leaves out common words before the corpus is read.
-    together = together.join(entities, "entity").join(beside, "term").where(share("n_near") >= generalise)
-    together = cut_lineage(together.drop("n_near"))
-    terms = cut_lineage(_counts_of_terms(docs, together.select("term").distinct(), text))
-    rows = together.join(terms, "term").withColumn("share", share("n_t")).where(F.col("share") >= generalise)
-    return rows.select("entity", "term", "share", (F.col("share") >= remove).alias("removed"))
+    def share(both: Column) -> Column:
+        given = F.log(both * total / (F.col("n_e") * (F.col("n_t") + prior)))
+        return F.round(F.when(F.col("n_e") < total, given / F.log(total / F.col("n_e"))).otherwise(0.0), 9)
+
+    entities = found.select("row", F.explode("entities").alias("entity"))
+    entity_sets = _held_by(entities, "entity", "n_e").withColumn("e", F.struct("n_e", "h1", "h2"))
+    entities = entities.join(entity_sets.select("entity", "n_e", "e"), "entity").select("row", "n_e", "e").distinct()
+
+    terms = found.select("row", F.explode(F.array_distinct("terms.term")).alias("term"))
+    term_sets = _held_by(terms, "term", "n_near")
+    # The best entity for a term stands in just the rows of findings that hold it. What falls short even so, with no
+    # other document of the term, needs no counting, which leaves out common words before the corpus is read.
+    best = F.col("n_near").alias("n_e")
+    near = term_sets.withColumns({"n_e": best, "n_t": F.col("n_near")}).where(share(F.col("n_near")) >= generalise)
+    near = cut_lineage(near.drop("n_e", "n_t"))
+    counted = _counts_of_terms(docs, near, text).withColumn("n_e", best).where(share(F.col("n_near")) >= generalise)
+    counted = counted.select("term", "n_near", "n_t", F.struct("n_near", "n_t", "h1", "h2").alias("t"))
+    terms = cut_lineage(terms.join(counted, "term"))
+
+    classes = terms.select("row", "n_near", "n_t", "t").distinct()
+    pairs = entities.join(classes, "row").where(share(F.least("n_e", "n_near")) >= generalise)
+    pairs = cut_lineage(pairs.select("row", "e", "t"))
+    together = pairs.groupBy("e", "t").agg(F.count("*").alias("both"), F.first("e.n_e").alias("n_e"), F.first("t.n_t").alias("n_t"))
+    telling = together.withColumn("share", share(F.col("both"))).where(F.col("share") >= generalise)
+    hits = pairs.join(telling.select("e", "t", "share"), ["e", "t"]).groupBy("row", "t").agg(F.max("share").alias("share"))
+    return terms.join(hits, ["row", "t"]).select("row", "term", "share", (F.col("share") >= remove).alias("removed"))
 
 
 ADDED = "array<struct<start:int,end:int,removed:boolean>>"
@@ -204,15 +295,12 @@ ADDED = "array<struct<start:int,end:int,removed:boolean>>"
 def detect(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """doc_id, text_key, spans (by the patterns) and added (terms); one row for each row of ``docs``."""
     found = cut_lineage(findings(docs, text, id))
-    telling = cut_lineage(disclosing_terms(docs.select(F.col(text).alias("text")), found, "text"))
-    near = found.select("doc_id", "text_key", F.explode("mentions").alias("m"))
-    near = near.select("doc_id", "text_key", "m.entity", F.explode("m.terms").alias("t"))
-    near = near.select("doc_id", "text_key", "entity", "t.*").distinct()
-    hits = near.join(telling, ["entity", "term"]).groupBy("doc_id", "text_key", "start", "end").agg(F.max("removed").alias("removed"))
-    added = hits.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(
+    telling = disclosing_terms(docs.select(F.col(text).alias("text")), found, "text")
+    places = found.select("row", F.explode("terms").alias("at")).select("row", "at.*")
+    added = places.join(telling, ["row", "term"]).groupBy("row").agg(
         F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("added")
     )
-    rows = found.join(added, found["doc_id"].eqNullSafe(added["_d"]) & (found["text_key"] == added["_k"]), "left")
+    rows = found.drop("terms").join(added, "row", "left")
     return rows.select("doc_id", "text_key", "spans", F.coalesce("added", F.array().cast(ADDED)).alias("added"))
 
 
@@ -248,26 +336,18 @@ def sanitise(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFra
         "added",
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.when(s["removed"], "").otherwise("[TERM]").alias("mark")),
     )
-    cuts = found.groupBy(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).agg(
-        F.first(F.array_sort(F.concat(marks, more))).alias("_cuts")
-    )
-    body = F.col(f"`{text}`")
-    key = F.xxhash64(body)
+    cuts = found.groupBy("doc_id", "text_key").agg(F.first(F.array_sort(F.concat(marks, more))).alias("cuts"))
+    # The columns travel under numbers, so that one named like a result stays what it is.
+    numbered = {f"column_{i}": c for i, c in enumerate(docs.columns)}
+    names = {c: n for n, c in numbered.items()}
+    rows = docs.toDF(*numbered)
+    body = F.col(names[text])
     any_match = F.coalesce(body.rlike("|".join(f"(?:{p.regex})" for p in PATTERNS)), F.lit(False))
-    joined = docs.where(any_match).join(cuts, F.col(id).eqNullSafe(cuts["_d"]) & (key == cuts["_k"]), "left")
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(state: Column, cut: Column) -> Column:
-        plain = F.substr(body, state["at"] + 1, F.greatest(cut["start"] - state["at"], F.lit(0)))
-        new = cut["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], cut["end"]).alias("at"),
-            F.when(new, F.concat(state["out"], plain, cut["mark"])).otherwise(state["out"]).alias("out"),
-        )
-
-    clean = F.aggregate("_cuts", begin, step, lambda s: F.concat(s["out"], F.substr(body, s["at"] + 1, F.length(body))))
-    out = F.when(F.col("_cuts").isNull(), body).otherwise(clean)
-    return joined.withColumn(text, out).select(*[f"`{c}`" for c in docs.columns]).union(docs.where(~any_match))
+    same = F.col(names[id]).eqNullSafe(F.col("doc_id")) & (F.xxhash64(body) == F.col("text_key"))
+    joined = rows.where(any_match).join(cuts, same, "left")
+    clean = rewritten(body, merged(F.col("cuts")), lambda cut, covered: cut["mark"])
+    out = F.when(F.col("cuts").isNull(), body).otherwise(clean)
+    return joined.withColumn(names[text], out).select(*numbered).union(rows.where(~any_match)).toDF(*docs.columns)
 
 
 # The definitions of the kinds, as the patterns above must match them.
@@ -310,30 +390,26 @@ matched AS (
     WHEN 2 THEN len(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(range(len(digits)), lambda i:
       CASE WHEN i % 2 = 0 THEN {digit} WHEN {digit} > 4 THEN 2 * {digit} - 9 ELSE 2 * {digit} END)) % 10 = 0
     ELSE len(digits) BETWEEN 9 AND 15 END
-), sides AS (
-  SELECT r, entity, greatest(s - {REACH}, 0) AS base, substr(t, greatest(s - {REACH}, 0) + 1, s - greatest(s - {REACH}, 0)) AS side,
-         s > {REACH} AS cut_left, true AS cut_right
-  FROM spans JOIN d USING (r)
-  UNION ALL
-  SELECT r, entity, e, substr(t, e + 1, {REACH}), true, e + {REACH} < length(t) FROM spans JOIN d USING (r)
-), words AS (
-  SELECT r, entity, lower(word) AS term, base + spot AS ws, base + spot + length(word) AS we FROM (
-    {_placed_sql("side", f"'{TERM}'", "r, entity, base, side, cut_left, cut_right", "sides", "word")})
-  WHERE NOT (cut_left AND spot = 0) AND NOT (cut_right AND spot + length(word) = length(side))
-), near AS (
+), holders AS (SELECT DISTINCT r, t FROM spans JOIN d USING (r)),
+words AS (
+  SELECT r, lower(word) AS term, spot AS ws, spot + length(word) AS we
+  FROM ({_placed_sql("t", f"'{TERM}'", "r", "holders", "word")})
+), free AS (
   SELECT * FROM words w WHERE NOT EXISTS (SELECT 1 FROM spans x WHERE x.r = w.r AND x.s < w.we AND w.ws < x.e)
 ), together AS (
-  SELECT entity, term, count(DISTINCT r) AS n_et FROM near GROUP BY entity, term HAVING count(DISTINCT r) >= {SUPPORT}
+  SELECT entity, term, count(*) AS n_et
+  FROM (SELECT DISTINCT r, entity FROM spans) JOIN (SELECT DISTINCT r, term FROM free) USING (r) GROUP BY entity, term
 ), holding AS (SELECT entity, count(DISTINCT r) AS n_e FROM spans GROUP BY entity),
 spoken AS (
-  SELECT term, count(*) AS n_t FROM (SELECT unnest(list_distinct(regexp_extract_all(lower(t), '{TERM}'))) AS term FROM d)
+  SELECT term, count(*) AS n_t
+  FROM (SELECT unnest(list_distinct(list_transform(regexp_extract_all(t, '{TERM}'), lambda w: lower(w)))) AS term FROM d)
   WHERE term IN (SELECT term FROM together) GROUP BY term
 ), telling AS (
   SELECT entity, term FROM together JOIN holding USING (entity) JOIN spoken USING (term), (SELECT count(*) AS n FROM d)
-  WHERE n_e < n AND ln(n_et * CAST(n AS DOUBLE) / (n_e * n_t)) / ln(CAST(n AS DOUBLE) / n_e) >= {GENERALISE}
+  WHERE n_e < n AND round(ln(n_et * CAST(n AS DOUBLE) / (n_e * (n_t + {PRIOR}))) / ln(CAST(n AS DOUBLE) / n_e), 9) >= {GENERALISE}
 ), added AS (
   SELECT r, string_agg('term:' || ws || ':' || we, ',' ORDER BY ws) AS more
-  FROM (SELECT DISTINCT r, ws, we FROM near JOIN telling USING (entity, term)) GROUP BY r
+  FROM (SELECT DISTINCT r, ws, we FROM free JOIN spans USING (r) JOIN telling USING (entity, term)) GROUP BY r
 ), base AS (
   SELECT r, {counts}, string_agg(name || ':' || s || ':' || e, ',' ORDER BY kind, s) AS listed FROM spans GROUP BY r
 )
