@@ -218,7 +218,7 @@ def findings(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFra
         F.monotonically_increasing_id().alias("row"),
         F.col(id).alias("doc_id"),
         F.xxhash64(text).alias("text_key"),
-        F.translate(whole(text), COVERED, " ").alias("_text"),
+        F.replace(whole(text), F.lit(COVERED), F.lit(" ")).alias("_text"),
     )
     rows = base_spans(rows, "_text")
 
