@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from lamina import domain
 from lamina.functions import scalars
 from lamina.functions.scalars import col
-from lamina.operators import evaluate, explore, features, ordering, refine, trees
+from lamina.operators import evaluate, explore, features, fit_state, ordering, refine, trees
 from lamina.operators.selection import quantiles
 from lamina.plans import stages, testbed
-from lamina.session import fresh_path
+from lamina.session import cut_lineage, fresh_path
 from lamina.sources import ingest, layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -331,6 +331,26 @@ def fit_params(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(numbers.select("kind", "column_name", "number"), {"number": 4})
 
 
+def _merged_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The state of train rows that arrive in three batches; each is read once."""
+    train = testbed.split_rows(spark, folder).filter(F.col("split") == "train")
+    batch = F.pmod(F.xxhash64(KEY), F.lit(3))
+    first, second, third = (fit_state.state_for(train.filter(batch == i)) for i in range(3))
+    return cut_lineage(fit_state.merge_states(fit_state.merge_states(first, second), third))
+
+
+def merged_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """The learned numbers from merged states."""
+    params = fit_state.params_of(_merged_state(spark, folder))
+    numbers = features.params_table(spark, params).filter("kind <> 'category'")
+    return rounded(numbers.select("kind", "column_name", "number"), {"number": 4})
+
+
+def merged_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Every category with its train rows, from merged states."""
+    return fit_state.vocabulary_counts(_merged_state(spark, folder))
+
+
 def transformation_catalogue(spark: SparkSession, folder: str) -> DataFrame:
     result = features.catalogue(spark, testbed.fitted(spark, folder))
     return rounded(result.select("transformation", "column_name", "learned"), {"learned": 4})
@@ -638,6 +658,8 @@ QUERIES: dict[str, Query] = {
         quartiles_narrowed,
         split_narrowed,
         fit_params,
+        merged_fit,
+        merged_vocabulary,
         transformation_catalogue,
         feature_layer,
         stacked_parts,

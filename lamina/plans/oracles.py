@@ -485,6 +485,54 @@ def _params() -> str:
     )
 
 
+# Values of train rows in buckets of eleven binary digits; ranks inside a bucket spread between its extremes.
+MERGED = (
+    SPLIT
+    + """,
+cells AS (
+  SELECT unnest(['revenue', 'staff', 'quality', 'loss']) AS c,
+         unnest([company_revenue_usd, employee_count, quality_score, total_loss_usd]) AS v
+  FROM parted WHERE split = 'train'
+), buckets AS (
+  SELECT c, CAST(4398046511105 AS DOUBLE) * v - (CAST(4398046511105 AS DOUBLE) * v - v) AS b,
+         count(*) AS n, min(v) AS low, max(v) AS high
+  FROM cells WHERE v IS NOT NULL GROUP BY ALL
+), counted AS (
+  SELECT *, sum(n) OVER (PARTITION BY c ORDER BY b) AS upto, sum(n) OVER (PARTITION BY c) AS size FROM buckets
+), wanted AS (
+  SELECT DISTINCT c, p, p * (size - 1) AS place, floor(p * (size - 1)) + o AS rank, o
+  FROM counted, (VALUES (0.25::DOUBLE), (0.5), (0.75)) AS ps(p), (VALUES (0), (1)) AS os(o)
+), picked AS (
+  SELECT c, p, o, place, low + (high - low) * CASE WHEN n > 1 THEN (least(rank, size - 1) - upto + n) / (n - 1) ELSE 0 END AS v
+  FROM wanted JOIN counted USING (c) WHERE least(rank, size - 1) < upto AND least(rank, size - 1) >= upto - n
+), q AS (
+  SELECT c, p, any_value(v) FILTER (WHERE o = 0)
+           + (any_value(v) FILTER (WHERE o = 1) - any_value(v) FILTER (WHERE o = 0)) * (any_value(place) - floor(any_value(place))) AS v
+  FROM picked GROUP BY c, p
+), params AS (
+  SELECT (SELECT v FROM q WHERE c = 'revenue' AND p = 0.5) AS med_revenue,
+         (SELECT v FROM q WHERE c = 'staff' AND p = 0.5) AS med_staff,
+         (SELECT v FROM q WHERE c = 'quality' AND p = 0.5) AS med_quality,
+         avg(company_revenue_usd) AS mean_revenue,
+         avg(employee_count) AS mean_staff,
+         stddev_pop(company_revenue_usd) AS std_revenue,
+         stddev_pop(employee_count) AS std_staff,
+         (SELECT 2.5 * max(v) - 1.5 * min(v) FROM q WHERE c = 'loss' AND p <> 0.5) AS fence,
+         avg(company_revenue_usd) - 3 * stddev_pop(company_revenue_usd) AS z_low,
+         avg(company_revenue_usd) + 3 * stddev_pop(company_revenue_usd) AS z_high
+  FROM parted WHERE split = 'train'
+)"""
+)
+
+
+def _merged_vocabulary() -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{name}' AS column_name, {name} AS word, count(*) AS n FROM parted"
+        f" WHERE split = 'train' AND {name} IS NOT NULL GROUP BY {name}"
+        for name in ("industry_primary", "attack_vector_primary", "data_type")
+    )
+
+
 def _catalogue() -> str:
     names = {
         "medians": "missing_number",
@@ -786,6 +834,8 @@ filled AS (
         WHERE place <= n // 2""",
     "category_vocabulary": _with(SPLIT, _vocabulary()),
     "fit_params": _with(PARAMS, _params()),
+    "merged_fit": _with(MERGED, _params()),
+    "merged_vocabulary": _with(SPLIT, _merged_vocabulary()),
     "transformation_catalogue": _with(PARAMS, _catalogue()),
     "feature_layer": _with(PARAMS, _feature_layer()),
     "stacked_parts": _with(PARAMS, _feature_layer()),
