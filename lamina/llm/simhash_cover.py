@@ -32,6 +32,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -328,6 +330,17 @@ def sketch(shingles: np.ndarray) -> bytes:
     return np.packbits(marks, bitorder="little").tobytes()
 
 
+def marks(sketched: bytes) -> list[int]:
+    """The sketch folded to its least size, as whole numbers of 64 bits."""
+    folded = np.bitwise_or.reduce(np.frombuffer(sketched, np.int64).reshape(-1, SKETCH_LEAST // 64), axis=0)
+    return folded.tolist()
+
+
+def _only(one: str, other: str) -> Column:
+    """Bits that only the marks of ``one`` have; each costs its set a shingle of those it can share."""
+    return reduce(add, [F.bit_count(F.col(one)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(SKETCH_LEAST // 64)])
+
+
 def most_shared(one: bytes, size: int, other: bytes, other_size: int) -> int:
     """Upper bound of the shingles two sets share: a bit that only one has costs it a shingle."""
     a, b = (np.frombuffer(x, np.uint8) for x in (one, other))
@@ -347,7 +360,7 @@ def _prefixes(docs: DataFrame, text: str, keep: dict[str, Column], similarity: f
     """
     common = common_shingles(docs, text, words_each)
     order = np.argsort(common)
-    names = [*keep, "set_key", "size", "sketch", "fp", "prefix"]
+    names = [*keep, "set_key", "size", "sketch", "marks", "fp", "prefix"]
 
     def prefix(shingles: np.ndarray) -> np.ndarray:
         count = len(shingles) - _least_shared(len(shingles), similarity) + 1 if len(shingles) else 0
@@ -362,15 +375,17 @@ def _prefixes(docs: DataFrame, text: str, keep: dict[str, Column], similarity: f
             for part in text_slices(batch, "_text"):
                 texts = texts_of(part, "_text")
                 sets = [shingle_set(one, words_each) for one in texts]
+                sketches = [sketch(one) for one in sets]
                 made = [
-                    _longs(map(_set_key, sets)), pa.array(list(map(len, sets)), pa.int32()), pa.array(map(sketch, sets), pa.binary()),
+                    _longs(map(_set_key, sets)), pa.array(list(map(len, sets)), pa.int32()), pa.array(sketches, pa.binary()),
+                    pa.array([marks(one) for one in sketches], pa.list_(pa.int64())),
                     _longs(fingerprint(one, 1, True) for one in texts), _list_of_longs([prefix(one) for one in sets]),
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names)
 
     rows = docs.select(*[c.alias(n) for n, c in keep.items()], F.col(text).alias("_text"))
     kinds = dict(rows.dtypes)
-    schema = [f"{n} {kinds[n]}" for n in keep] + ["set_key long", "size int", "sketch binary", "fp long", "prefix array<long>"]
+    schema = [f"{n} {kinds[n]}" for n in keep] + ["set_key long", "size int", "sketch binary", "marks array<long>", "fp long", "prefix array<long>"]
     return rows.mapInArrow(run, ", ".join(schema))
 
 
@@ -415,7 +430,7 @@ def similar_sets(
 ) -> DataFrame:
     """set_key and root of each set that another one is similar to, directly or through others.
 
-    ``classes`` has one row for each set: set_key, size, sketch, fp and prefix; ``keys`` a _key of
+    ``classes`` has one row for each set: set_key, size, sketch, marks, fp and prefix; ``keys`` a _key of
     each set, ``texts`` _text by _key. Pairs of the covering tables are looked at first. Then sets that
     share a shingle of their prefixes are candidates: in ``stars`` rounds each set is compared with
     one other only; then all pairs are compared that are not connected yet and can share enough after the first
@@ -463,12 +478,16 @@ def similar_sets(
         pairs = pairs.groupBy(F.col("set_key").alias("a"), "b", "size", "size_b").count().where(F.col("count") * ORDERS >= least)
         pairs = pairs.groupBy("a").agg(F.max(F.struct("count", "b"))["b"].alias("b"))
         shared = unsettled(shared, connected(verified(pairs)))
-    other = shared.withColumnsRenamed({"set_key": "b", "size": "size_b", "root": "root_b", "pos": "pos_b"})
+    # Only rows that are left now carry bits of their whole sets, by which the join itself refuses most pairs.
+    shared = cut_lineage(shared.join(classes.select("set_key", "marks"), "set_key"))
+    other = shared.withColumnsRenamed({"set_key": "b", "size": "size_b", "root": "root_b", "pos": "pos_b", "marks": "marks_b"})
     rest = shared.withColumnRenamed("set_key", "a").join(other, "one")
     # If this is the first shingle two sets share, they share no more than what follows it in both. A similar
     # pair passes at its first one, so pairs of texts around one common passage need not be counted up.
     left = F.least(F.col("size") - F.col("pos"), F.col("size_b") - F.col("pos_b"))
-    rest = rest.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near("size", "size_b") & (left >= enough))
+    room = F.least(F.col("size") - _only("marks", "marks_b"), F.col("size_b") - _only("marks_b", "marks"))
+    rest = rest.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near("size", "size_b"))
+    rest = rest.where((left >= enough) & (room >= enough))
     rest = rest.select("a", "b").distinct()
     return connected(verified(rest))
 
@@ -492,7 +511,7 @@ def representatives(
     key = F.xxhash64(F.col(f"`{text}`"))
     named = F.coalesce(F.col(f"`{id}`").cast("string"), F.lit(""))
     rows = cut_lineage(_prefixes(docs, text, {"id": F.col(f"`{id}`"), "_key": key, "_id": named}, similarity, words_each))
-    classes = rows.groupBy("set_key").agg(*[F.first(n).alias(n) for n in ("size", "sketch", "fp", "prefix")])
+    classes = rows.groupBy("set_key").agg(*[F.first(n).alias(n) for n in ("size", "sketch", "marks", "fp", "prefix")])
     classes = cut_lineage(classes)
     keys = rows.groupBy("set_key").agg(F.min("_key").alias("_key"))
     texts = docs.select(key.alias("_key"), F.col(f"`{text}`").alias("_text"))
