@@ -6,9 +6,11 @@ import math
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
+from itertools import pairwise
 
 from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -558,26 +560,113 @@ def _cut_by_key(features: DataFrame, key: str) -> tuple[str, bool, str]:
     return "no_train_key_after_the_cut", not overlap, str(row["last"]) if overlap else ""
 
 
-def _hidden_columns(
-    features: DataFrame, source: DataFrame, key: str, dropped: Sequence[str]
-) -> tuple[str, bool, str]:
-    """No dropped column has, in all rows, the values of a feature; one aggregate over the join by key."""
+DEPENDENCIES = "dropped string, feature string, kind string"
+# Rows by which pairs of columns are refused before the whole table is read for those left, and
+# parts in which the order of values is checked.
+PROBES = 2000
+ORDER_PARTS = 64
+# Share of the variance that a straight line explains.
+STRAIGHT = 1 - 1e-9
+
+
+def hidden_dependencies(
+    features: DataFrame, source: DataFrame, key: str, dropped: Sequence[str] = domain.LEAKING_COLUMNS
+) -> DataFrame:
+    """Features that say the same as a dropped column of ``source``, by value, with the closest ``kind``.
+
+    ``equal``: the same text in all rows, NULL for NULL. The other kinds look at the rows where the dropped
+    column is held, in which the feature may not be NULL and each value of one column has one value of
+    the other: ``affine`` and ``monotone`` for numbers of three values or more, ``recoded`` for two values or
+    more that stand in two rows each on average (columns without repeated values always match).
+
+    Rows of the smallest key hashes refuse most pairs: a pair that fails among some rows fails among all. Only
+    pairs left are counted over the whole tables, so the verdict does not depend on these rows.
+    """
     gone = [n for n in dropped if n in source.columns]
     shown = [n for n in features.columns if n not in (key, "split")]
-    left = features.select(col(key), *[col(n).cast("string").alias(f"_f{i}") for i, n in enumerate(shown)])
-    right = source.select(col(key), *[col(n).cast("string").alias(f"_d{i}") for i, n in enumerate(gone)])
-    pairs = [(i, j) for i in range(len(gone)) for j in range(len(shown))]
-    if not pairs:
-        return "no_dropped_column_under_another_name", True, ""
-    # Only values tell: a column that is NULL everywhere equals nothing.
-    row = left.join(right, key).agg(
-        F.count("*").alias("rows"),
-        *[F.count_if(F.col(f"_d{i}").eqNullSafe(F.col(f"_f{j}"))).alias(f"same_{i}_{j}") for i, j in pairs],
-        *[F.count(F.col(f"_d{i}")).alias(f"held_{i}") for i in range(len(gone))],
-    ).first()
-    bad = sorted(
-        f"{gone[i]}={shown[j]}" for i, j in pairs if row[f"held_{i}"] and row[f"same_{i}_{j}"] == row["rows"]
+    left = features.select(col(key), *[col(n).alias(f"_f{j}") for j, n in enumerate(shown)])
+    right = source.select(col(key), *[col(n).alias(f"_d{i}") for i, n in enumerate(gone)])
+    numbers = {n for df in (left, right) for n, t in df.dtypes if t in NUMBERS or t.startswith("decimal")}
+    few = right.orderBy(F.xxhash64(col(key)), col(key)).limit(PROBES).join(left, key)
+    texts = [F.col(n).cast("double" if n in numbers else "string").alias(n) for n in left.columns + right.columns if n != key]
+    probes = few.select(*texts).collect() if gone and shown else []
+    pairs = [(f"_d{i}", f"_f{j}") for i in range(len(gone)) for j in range(len(shown))]
+    held = {n: [row[n] for row in probes] for n in (probes[0].asDict() if probes else ())}
+    pairs = [(d, f) for d, f in pairs if probes and _may_depend(held[d], held[f])]
+    rows = []
+    if pairs:
+        joined = left.join(right, key)
+        for (d, f), kind in _dependencies(joined, pairs, numbers, held).items():
+            rows.append((gone[int(d[2:])], shown[int(f[2:])], kind))
+    return features.sparkSession.createDataFrame(sorted(rows), DEPENDENCIES)
+
+
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _may_depend(dropped: Sequence, feature: Sequence) -> bool:
+    """False if these rows rule out every kind."""
+    both = {(d, f) for d, f in zip(dropped, feature) if d is not None}
+    return len(both) == len({d for d, _ in both}) == len({f for _, f in both})
+
+
+def _dependencies(
+    joined: DataFrame, pairs: Sequence[tuple[str, str]], numbers: set[str], probes: Mapping[str, Sequence]
+) -> dict[tuple[str, str], str]:
+    """Kinds of the pairs that hold over all rows of ``joined``: one aggregate, and one for each order to check."""
+    parts = [F.count("*").alias("rows")]
+    for n, (d, f) in enumerate(pairs):
+        there = F.col(d).isNotNull()
+        parts += [
+            F.count_if(F.col(d).cast("string").eqNullSafe(F.col(f).cast("string"))).alias(f"same_{n}"),
+            F.count(F.col(d)).alias(f"held_{n}"),
+            F.count_if(there & F.col(f).isNull()).alias(f"open_{n}"),
+            F.count_distinct(F.col(d)).alias(f"d_{n}"),
+            F.count_distinct(F.when(there, F.col(f))).alias(f"f_{n}"),
+            F.count_distinct(F.when(there, F.struct(d, f))).alias(f"both_{n}"),
+        ]
+        if {d, f} <= numbers:
+            parts.append(F.regr_r2(F.col(f).cast("double"), F.col(d).cast("double")).alias(f"line_{n}"))
+    seen = joined.agg(*parts).first().asDict()
+    kinds = {}
+    for n, (d, f) in enumerate(pairs):
+        values, one_to_one = seen[f"d_{n}"], seen[f"d_{n}"] == seen[f"f_{n}"] == seen[f"both_{n}"] and not seen[f"open_{n}"]
+        if seen[f"held_{n}"] and seen[f"same_{n}"] == seen["rows"]:
+            kinds[d, f] = "equal"
+        elif not one_to_one or values < 2:
+            continue
+        elif values >= 3 and (seen.get(f"line_{n}") or 0) >= STRAIGHT:
+            kinds[d, f] = "affine"
+        elif values >= 3 and {d, f} <= numbers and _keeps_order(joined, d, f, probes[d]):
+            kinds[d, f] = "monotone"
+        elif 2 * values <= seen[f"held_{n}"]:
+            kinds[d, f] = "recoded"
+    return kinds
+
+
+def _keeps_order(joined: DataFrame, d: str, f: str, probes: Sequence) -> bool:
+    """Whether ``f`` always rises, or always falls, with ``d``: steps inside parts of the range, then from part to part."""
+    known = sorted({x for x in probes if x is not None})
+    cuts = known[:: max(len(known) // ORDER_PARTS, 1)]
+    values = joined.where(F.col(d).isNotNull()).groupBy(F.col(d).cast("double").alias("d")).agg(F.min(F.col(f).cast("double")).alias("f"))
+    part = reduce(lambda total, cut: total + (F.col("d") > cut).cast("int"), cuts, F.lit(0))
+    before = F.lag("f").over(Window.partitionBy("part").orderBy("d"))
+    steps = values.withColumn("part", part).withColumn("step", F.col("f") - before)
+    ranges = steps.groupBy("part").agg(
+        F.min("step").alias("least"), F.max("step").alias("most"), F.min("f").alias("low"), F.max("f").alias("high")
     )
+    ranges = sorted(ranges.collect(), key=lambda r: r["part"])
+    rises = all(r["least"] is None or r["least"] > 0 for r in ranges) and all(a["high"] < b["low"] for a, b in pairwise(ranges))
+    falls = all(r["most"] is None or r["most"] < 0 for r in ranges) and all(a["low"] > b["high"] for a, b in pairwise(ranges))
+    return rises or falls
+
+
+def _hidden_columns(
+    features: DataFrame, source: DataFrame, key: str, dropped: Sequence[str]
+) -> tuple[str, bool, str]:
+    """No dropped column is back as a feature, as it was or in other words."""
+    found = hidden_dependencies(features, source, key, dropped).collect()
+    bad = sorted(f"{r['dropped']}={r['feature']}" for r in found)
     return "no_dropped_column_under_another_name", not bad, ",".join(bad)
 
 

@@ -440,6 +440,25 @@ def leakage_found(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def hidden_dependencies(spark: SparkSession, folder: str) -> DataFrame:
+    """Columns that refining drops, and the features that say the same: as it is, on a line, in order, recoded."""
+    orders = testbed.table(spark, folder, "orders").withColumnRenamed("o_orderkey", KEY)
+    price, day = F.col("o_totalprice"), F.col("o_orderdate")
+    gone = orders.select(
+        KEY, price.alias("downtime_hours"), day.cast("string").alias("disclosure_date"), F.col("o_orderstatus").alias("review_flag")
+    )
+    status = F.when(F.col("o_orderstatus") == "O", 7).when(F.col("o_orderstatus") == "F", 3).otherwise(5)
+    planted = orders.select(
+        KEY, ((price - 100000) / 50000).alias("hours_scaled"), F.pow(price / 1000, 3).alias("hours_cubed"),
+        (-F.sqrt(price)).alias("hours_falling"), F.datediff(day, F.lit("1992-01-01")).alias("day_number"),
+        F.col("o_orderstatus").alias("state"), status.alias("state_code"), F.floor(price / 10).alias("hours_rounded"),
+    )
+    table = testbed.refined(spark, folder).withColumnRenamed("row_key", KEY)
+    source = table.select(KEY).join(gone, KEY)
+    named = table.select(KEY, REVENUE, "employee_count", "is_public_company", "industry_primary", "data_type", "quality_score")
+    return features.hidden_dependencies(named.join(planted, KEY), source, KEY)
+
+
 def feature_matrix(spark: SparkSession, folder: str) -> DataFrame:
     df = testbed.refined(spark, folder)
     names = [REVENUE, "employee_count", "is_public_company", "confidence_tier", "quality_score"]
@@ -671,6 +690,7 @@ QUERIES: dict[str, Query] = {
         wide_index,
         leakage_audit,
         leakage_found,
+        hidden_dependencies,
         feature_matrix,
         scalar_suite,
         class_balance,

@@ -273,6 +273,48 @@ def _audit(split: str, same: str, fitted: str) -> str:
     return "\nUNION ALL ".join(lines)
 
 
+def _dependency(d: str, f: str, numeric: bool) -> str:
+    """The kind of one pair of columns of ``gone``, from its distinct pairs."""
+    line = f"(SELECT regr_r2(CAST({f} AS DOUBLE), CAST({d} AS DOUBLE)) FROM gone) >= 1 - 1e-9" if numeric else "false"
+    order = (
+        f"(SELECT count(*) FILTER (WHERE s <= 0) = 0 OR count(*) FILTER (WHERE s >= 0) = 0 FROM"
+        f" (SELECT y - lag(y) OVER (ORDER BY x) AS s FROM (SELECT DISTINCT {d} AS x, {f} AS y FROM gone WHERE {d} IS NOT NULL)))"
+        if numeric
+        else "false"
+    )
+    return f"""SELECT '{d}' AS dropped, '{f}' AS feature,
+      CASE WHEN held > 0 AND same = total THEN 'equal' WHEN NOT one OR n < 2 THEN NULL
+           WHEN n >= 3 AND {line} THEN 'affine' WHEN n >= 3 AND {order} THEN 'monotone'
+           WHEN 2 * n <= held THEN 'recoded' END AS kind
+      FROM (SELECT count(*) AS total, count({d}) AS held, count(DISTINCT {d}) AS n,
+              count(*) FILTER (WHERE CAST({d} AS VARCHAR) IS NOT DISTINCT FROM CAST({f} AS VARCHAR)) AS same,
+              count(DISTINCT {d}) = count(DISTINCT {f}) FILTER (WHERE {d} IS NOT NULL)
+                AND count(DISTINCT {d}) = (SELECT count(*) FROM (SELECT DISTINCT {d}, {f} FROM gone WHERE {d} IS NOT NULL))
+                AND count(*) FILTER (WHERE {d} IS NOT NULL AND {f} IS NULL) = 0 AS one
+            FROM gone)"""
+
+
+def _dependencies() -> str:
+    numbers = ("company_revenue_usd", "employee_count", "quality_score",
+               "hours_scaled", "hours_cubed", "hours_falling", "day_number", "state_code", "hours_rounded")
+    words = ("is_public_company", "industry_primary", "data_type", "state")
+    lines = [
+        _dependency(d, f, d == "downtime_hours" and f in numbers)
+        for d in ("downtime_hours", "disclosure_date", "review_flag")
+        for f in numbers + words
+    ]
+    every = "\nUNION ALL ".join(lines)
+    return f"""WITH {REFINED}, gone AS MATERIALIZED (
+      SELECT company_revenue_usd, employee_count, quality_score, is_public_company, industry_primary, data_type,
+             o_totalprice AS downtime_hours, CAST(o_orderdate AS VARCHAR) AS disclosure_date, o_orderstatus AS review_flag,
+             (o_totalprice - 100000) / 50000 AS hours_scaled, pow(o_totalprice / 1000, 3) AS hours_cubed,
+             -sqrt(o_totalprice) AS hours_falling, date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS day_number,
+             o_orderstatus AS state, CASE o_orderstatus WHEN 'O' THEN 7 WHEN 'F' THEN 3 ELSE 5 END AS state_code,
+             floor(o_totalprice / 10) AS hours_rounded
+      FROM refined JOIN orders ON o_orderkey = row_key)
+    SELECT * FROM ({every}) WHERE kind IS NOT NULL"""
+
+
 FEATURE_NAMES = "[" + ", ".join(f"'{n}'" for n in REFINED_FEATURES) + "]"
 
 
@@ -873,6 +915,7 @@ filled AS (
         AS column_pair FROM ({_with(PARAMS, _audit(
             "CASE WHEN row_key % 5 = 0 THEN 'test' ELSE 'train' END", "review_flag = review_flag", "parted"))})
         WHERE NOT passed""",
+    "hidden_dependencies": _dependencies(),
     "feature_matrix": _with(
         REFINED,
         """SELECT row_key, coalesce(company_revenue_usd, 0.0) AS company_revenue_usd,

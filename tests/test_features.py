@@ -199,6 +199,64 @@ def test_leakage_audit(spark):
     assert [r["offending"] for r in leaking.filter("not passed").collect()] == ["notes"]
 
 
+def plain_kind(rows, numeric):
+    """Kind of the pairs (dropped, feature) by plain comparison."""
+    held = [(d, f) for d, f in rows if d is not None]
+    if held and all(str(d) == str(f) for d, f in rows):
+        return "equal"
+    both = set(held)
+    if len({d for d, _ in both}) < 2 or len(both) != len({d for d, _ in both}) or len(both) != len({f for _, f in both}):
+        return None
+    if any(f is None for _, f in held):
+        return None
+    line = sorted(both)
+    if numeric and len(line) >= 3:
+        steps = [b[1] - a[1] for a, b in zip(line, line[1:])]
+        slopes = [s / (b[0] - a[0]) for s, a, b in zip(steps, line, line[1:])]
+        if max(slopes) - min(slopes) < 1e-9:
+            return "affine"
+        if all(s > 0 for s in steps) or all(s < 0 for s in steps):
+            return "monotone"
+    return "recoded" if 2 * len(both) <= len(held) else None
+
+
+def test_hidden_dependencies_against_plain_comparison(spark):
+    hours = [None if i % 17 == 0 else (i * 37) % 5000 / 4 for i in range(5000)]
+    held = [h or 0.0 for h in hours]
+    columns = {
+        "same": hours,
+        "line": [-3 * h + 2 for h in held],
+        "cubed": [h**3 for h in held],
+        "falling": [1 / (1 + h) for h in held],
+        # in order among the first probes, not in all rows
+        "late": [h**2 if h != 611.25 else 1.5 for h in held],
+        "rounded": [float(int(h)) for h in held],
+        "gaps": [h if h != 100.5 else None for h in held],
+        "code": [i % 3 for i in range(5000)],
+        "turned": [(i + 2) % 3 for i in range(5000)],
+        "word": ["xyz"[i % 3] for i in range(5000)],
+    }
+    gone = {"downtime_hours": hours, "notes": ["abc"[i % 3] for i in range(5000)], "review_flag": [None] * 5000}
+    names = ", ".join(f"{c} {'string' if c == 'word' else 'int' if c in ('code', 'turned') else 'double'}" for c in columns)
+    table = spark.createDataFrame(list(zip(range(5000), *columns.values())), "row_key long, " + names)
+    kinds = {"downtime_hours": "double", "notes": "string", "review_flag": "string"}
+    source = spark.createDataFrame(
+        list(zip(range(5000), *gone.values())), "row_key long, " + ", ".join(f"{c} {t}" for c, t in kinds.items())
+    )
+    want = {
+        (d, f, kind)
+        for d, x in gone.items()
+        for f, y in columns.items()
+        if (kind := plain_kind(list(zip(x, y)), d == "downtime_hours" and f != "word"))
+    }
+    for parts in (1, 7):
+        found = features.hidden_dependencies(table.repartition(parts), source, "row_key")
+        assert {tuple(r) for r in found.collect()} == want
+    assert {k for _, _, k in want} == {"equal", "affine", "monotone", "recoded"}
+    assert features.hidden_dependencies(table.limit(0), source, "row_key").count() == 0
+    assert features.hidden_dependencies(table.select("row_key"), source, "row_key").count() == 0
+
+
 def test_transform_runs_on_a_stream(spark, tmp_path):
     df = refined(spark)
     params = features.fit(df)
