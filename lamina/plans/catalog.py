@@ -50,7 +50,7 @@ def raw_audit(spark: SparkSession, folder: str) -> DataFrame:
     origin, size, batch, loaded = domain.AUDIT_COLUMNS
     parts = None
     for name, path in paths.items():
-        rows = layers.read_layer(spark, path)
+        rows = ingest.read_raw(spark, path)
         part = rows.select(
             F.lit(name).alias("table_name"),
             col(rows.columns[0]).alias("first_column"),
@@ -62,11 +62,27 @@ def raw_audit(spark: SparkSession, folder: str) -> DataFrame:
     return parts
 
 
+def committed_layer(spark: SparkSession, folder: str) -> DataFrame:
+    """A layer overwritten with what was read from it, twice; versions and counts come from its commits."""
+    path = fresh_path(spark, "committed")
+    layers.write_layer(testbed.refined(spark, folder), path, counted=True)
+    first = layers.read_layer(spark, path)
+    layers.write_layer(first.filter(col(REVENUE).isNotNull()), path, counted=True)
+    second = layers.read_layer(spark, path)
+    layers.write_layer(second.withColumn(REVENUE, col(REVENUE) * 2), path, counted=True)
+    counts = {v.number: v.rows for v in layers.versions(spark, path)}
+    last = layers.read_layer(spark, path)
+    return last.select(
+        "row_key", F.round(REVENUE, 4).alias("doubled"), F.lit(max(counts)).cast("long").alias("version"),
+        F.lit(counts[max(counts)]).cast("long").alias("rows"), F.lit(len(counts)).cast("long").alias("versions_kept"),
+    )
+
+
 def raw_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Every column of the orders through CSV text and the raw layer, typed again."""
     source = testbed.table(spark, folder, "orders")
     path = ingest.ingest(spark, _csv_copy(spark, folder, "orders"), fresh_path(spark, "raw"))
-    rows = layers.read_layer(spark, path)
+    rows = ingest.read_raw(spark, path)
     return rows.select(*[col(n).cast(kind).alias(n) for n, kind in source.dtypes], domain.AUDIT_COLUMNS[1])
 
 
@@ -91,7 +107,7 @@ def typed_csv_ingest(spark: SparkSession, folder: str) -> DataFrame:
     path = ingest.ingest(
         spark, _csv_copy(spark, folder, "customer"), fresh_path(spark, "raw"), infer=True
     )
-    df = layers.read_layer(spark, path)
+    df = ingest.read_raw(spark, path)
     kinds = dict(df.dtypes)
     return df.select(
         F.col("c_custkey").cast("bigint").alias("c_custkey"),
@@ -674,6 +690,7 @@ QUERIES: dict[str, Query] = {
         wide_vocabulary,
         wide_transform,
         raw_round_trip,
+        committed_layer,
         quartiles_narrowed,
         split_narrowed,
         fit_params,

@@ -709,6 +709,10 @@ def _summary(relation: str, x: str, places: int) -> str:
 
 ORACLES: dict[str, str] = {
     "raw_audit": _raw_audit(),
+    "committed_layer": f"""WITH {REFINED}
+        SELECT row_key, round(company_revenue_usd * 2, 4) AS doubled, CAST(3 AS BIGINT) AS version,
+          count(*) OVER () AS rows, CAST(2 AS BIGINT) AS versions_kept
+        FROM refined WHERE company_revenue_usd IS NOT NULL""",
     "typed_csv_ingest": """
         SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal,
                c_mktsegment, 'double' AS balance_type, 'string' AS name_type

@@ -54,13 +54,13 @@ class Folders:
 def raw_stage(spark: SparkSession, csv_files: Sequence[str], to: Folders) -> DataFrame:
     """Ingest every CSV; returns the inventory of the raw layer."""
     tables = ingest.ingest_all(spark, list(csv_files), to.raw)
-    return ingest.layer_inventory({n: layers.read_layer(spark, p) for n, p in tables.items()})
+    return ingest.layer_inventory({n: ingest.read_raw(spark, p) for n, p in tables.items()})
 
 
 def refined_stage(spark: SparkSession, to: Folders, spec: RefineSpec | None = None) -> DataFrame:
     """Join and clean; returns the null profile of the written layer."""
-    incidents = layers.read_layer(spark, f"{to.raw}/incidents_master.parquet")
-    financial = layers.read_layer(spark, f"{to.raw}/financial_impact.parquet")
+    incidents = ingest.read_raw(spark, f"{to.raw}/incidents_master.parquet")
+    financial = ingest.read_raw(spark, f"{to.raw}/financial_impact.parquet")
     layers.write_layer(refine.refine(incidents, financial, spec), to.refined)
     return refine.null_profile(layers.read_layer(spark, to.refined))
 
@@ -208,7 +208,7 @@ def run(spark: SparkSession, csv_files: Sequence[str], root: str) -> dict[str, D
     params = feature_stage(spark, to)
     reports["catalogue"] = features.catalogue(spark, params)
     refined = with_ordered_split(layers.read_layer(spark, to.refined), domain.ROW_KEY)
-    raw = layers.read_layer(spark, f"{to.raw}/incidents_master.parquet")
+    raw = ingest.read_raw(spark, f"{to.raw}/incidents_master.parquet")
     dropped = [n for n in raw.columns if n in domain.LEAKING_COLUMNS]
     gone = raw.select(F.col(domain.KEY).alias(domain.ROW_KEY), *[F.col(n) for n in dropped])
     reports["leakage_audit"] = features.leakage_audit(

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lamina import domain
 from lamina.operators import features, ordering, refine, trees
 from lamina.plans import stages
-from lamina.session import fresh_path
+from lamina.session import fresh_path, ship
 from lamina.sources.layers import read_layer, write_layer
 
 TABLES = (
@@ -38,6 +38,7 @@ TABLES = (
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

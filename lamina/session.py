@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,34 @@ def build_session(app: str = "lamina", master: str | None = None, **conf: str) -
         builder = builder.master(master)
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application.
+
+    Functions that run there import it, wherever the session was started and whether or not
+    the package is installed on the workers.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="lamina-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = os.path.join(folder, "lamina.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for at, _, names in os.walk(package):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(at, name)
+                out.write(path, os.path.join("lamina", os.path.relpath(path, package)))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(application)
 
 
 def shared_folder(spark: SparkSession) -> str:

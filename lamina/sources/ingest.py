@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lamina import domain
+from lamina.functions.scalars import col
+from lamina.sources.layers import read_layer, versions, write_layer
 
 
 def read_csv(
@@ -33,19 +35,31 @@ def read_csv(
     return reader.csv(path)
 
 
-def with_audit(df: DataFrame, file_name: str, rows: int, batch: str | None = None) -> DataFrame:
-    """Origin, row count, batch id (one per load) and load time on every row."""
+def with_audit(df: DataFrame, file_name: str, rows: int | None, batch: str | None = None) -> DataFrame:
+    """Origin, row count, batch id (one per load) and load time on every row; no count if it is not known yet."""
     origin, size, batch_id, loaded = domain.AUDIT_COLUMNS
+    counted = {} if rows is None else {size: F.lit(rows).cast("bigint")}
     return df.withColumns(
         {
             origin: F.lit(file_name),
-            size: F.lit(rows).cast("bigint"),
+            **counted,
             batch_id: F.lit(batch or str(uuid.uuid4())),
             loaded: F.current_timestamp(),
         }
     )
 
 
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """A raw table with its row count, which the commit of the write carries, on every row."""
+    rows = read_layer(spark, path)
+    origin, size, batch_id, loaded = domain.AUDIT_COLUMNS
+    count = next((v.rows for v in reversed(versions(spark, path))), None)
+    if size in rows.columns or count is None:
+        return rows
+    audit = [F.col(origin), F.lit(count).cast("bigint").alias(size), F.col(batch_id), F.col(loaded)]
+    return rows.select(*[col(n) for n in rows.columns if n not in domain.AUDIT_COLUMNS], *audit)
+
+
 def table_name(path: str) -> str:
     """The table is named after the file."""
     return os.path.basename(path.rstrip("/")).removesuffix(".csv")
@@ -59,20 +73,17 @@ def ingest(
     infer: bool = False,
     **options: str,
 ) -> str:
-    """One CSV (file or folder of parts) to one raw Parquet table; its path.
+    """One CSV (file or folder of parts) to one raw table; its path, for ``read_raw``.
 
     ``options`` are the reader's, such as ``sep``, ``escape`` or ``multiLine``.
 
-    The row count has to be on every row, so the source is counted first. The
-    count parses no columns; a window over the whole table would instead send
-    every row through one task.
+    The text is read once. The row count has to be on every row, so it is taken from the
+    footers of the files written, kept with the commit and added by ``read_raw``.
     """
     source = read_csv(spark, path, schema, infer, **options)
     name = table_name(path)
-    target = os.path.join(raw_folder, f"{name}.parquet")
-    audited = with_audit(source, f"{name}.csv", source.count())
-    audited.write.mode("overwrite").parquet(target)
-    return target
+    audited = with_audit(source, f"{name}.csv", None)
+    return write_layer(audited, os.path.join(raw_folder, f"{name}.parquet"), counted=True)
 
 
 def ingest_all(

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lamina import domain
@@ -9,12 +10,12 @@ from tests.conftest import rows
 def test_csv_text_and_audit(spark, tmp_path):
     path = tmp_path / "financial_impact.csv"
     path.write_text('incident_id,total_loss_usd\n1,$12\n2,12\n3,\n4,""\n')
-    first = layers.read_layer(spark, ingest.ingest(spark, str(path), str(tmp_path / "raw")))
+    first = ingest.read_raw(spark, ingest.ingest(spark, str(path), str(tmp_path / "raw")))
     assert dict(first.dtypes)["total_loss_usd"] == "string"
     assert [r[0] for r in first.orderBy("incident_id").select("total_loss_usd").collect()] == ["$12", "12", None, None]
     tags = {tuple(r) for r in first.select(*domain.AUDIT_COLUMNS[:3]).collect()}
     assert len(tags) == 1 and next(iter(tags))[:2] == ("financial_impact.csv", 4)
-    second = layers.read_layer(spark, ingest.ingest(spark, str(path), str(tmp_path / "raw2")))
+    second = ingest.read_raw(spark, ingest.ingest(spark, str(path), str(tmp_path / "raw2")))
     assert second.first()["meta_hash_ingestao"] != first.first()["meta_hash_ingestao"]
     assert dict(first.dtypes)["meta_data_carga"] == "timestamp"
     typed = first.select(F.col("incident_id"), "total_loss_usd")
@@ -24,7 +25,7 @@ def test_csv_text_and_audit(spark, tmp_path):
 def test_reader_options_reach_the_source(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text('a;b\n1;"two\nlines"\n')
-    got = layers.read_layer(spark, ingest.ingest(spark, str(path), str(tmp_path / "raw"), sep=";", multiLine="true"))
+    got = ingest.read_raw(spark, ingest.ingest(spark, str(path), str(tmp_path / "raw"), sep=";", multiLine="true"))
     assert [(r["a"], r["b"]) for r in got.collect()] == [("1", "two\nlines")]
 
 
@@ -86,3 +87,41 @@ def test_tolerant_projections(spark):
     df = spark.createDataFrame([(1, 2)], "a int, `b.c` int")
     assert refine.keep_existing(df, ["x", "b.c"]).columns == ["b.c"]
     assert refine.drop_existing(df, ["x", "a"]).columns == ["b.c"]
+
+
+def test_a_killed_write_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "layer")
+    layers.write_layer(spark.range(100), path, counted=True)
+    reader = layers.read_layer(spark, path)
+    broken = spark.range(1000).select((F.when(F.col("id") < 900, F.col("id")).otherwise(F.raise_error(F.lit("lost")))).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        layers.write_layer(broken, path, counted=True)
+    assert layers.read_layer(spark, path).count() == 100 and [v.rows for v in layers.versions(spark, path)] == [100]
+    layers.write_layer(layers.read_layer(spark, path).where("id >= 40"), path, counted=True)
+    assert layers.read_layer(spark, path).count() == 60 and reader.count() == 100
+    layers.write_layer(layers.read_layer(spark, path).where("id >= 90"), path)
+    kept = layers.versions(spark, path)
+    assert [(v.number, v.rows) for v in kept] == [(2, 60), (3, None)]
+    assert sorted(p.name for p in (tmp_path / "layer").glob("data-*")) == sorted(v.data.rsplit("/", 1)[1] for v in kept)
+    # a data folder without a commit, as a killed driver leaves it, is not read
+    spark.range(7).write.parquet(path + "/data-lost")
+    assert layers.read_layer(spark, path).count() == 10
+    layers.write_layer(spark.range(0), path, counted=True)
+    assert layers.read_layer(spark, path).count() == 0 and layers.versions(spark, path)[-1].rows == 0
+
+
+def test_plain_parquet_is_a_layer(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "plain"))
+    assert layers.versions(spark, str(tmp_path / "plain")) == []
+    assert layers.read_layer(spark, str(tmp_path / "plain")).count() == 3
+
+
+def test_ingest_reads_the_text_once(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("a,b\n1,x\n2,y\n,z\n")
+    raw = ingest.read_raw(spark, ingest.ingest(spark, str(path), str(tmp_path / "raw")))
+    assert raw.columns == ["a", "b", *domain.AUDIT_COLUMNS]
+    assert {r["meta_qtd_linhas"] for r in raw.collect()} == {3}
+    # the rows are what was written: the text may change or go
+    path.unlink()
+    assert raw.count() == 3
