@@ -266,6 +266,8 @@ MOST_COMMON = 400_000
 # In so many rounds (STARS) members of a bucket are compared with one of them, chosen by one of so many orders.
 ORDERS = 4
 STARS = 1
+# In so many rounds each component is compared with another one by its most promising pair.
+PICKS = 2
 # Bits in which the fingerprints of distinct words may differ for the covering tables to pair them.
 RADIUS = 3
 
@@ -426,16 +428,17 @@ def _near_copies(classes: DataFrame, radius: int) -> DataFrame:
 
 
 def similar_sets(
-    classes: DataFrame, keys: DataFrame, texts: DataFrame, similarity: float, words_each: int, stars: int = STARS
+    classes: DataFrame, keys: DataFrame, texts: DataFrame, similarity: float, words_each: int, stars: int = STARS, picks: int = PICKS
 ) -> DataFrame:
     """set_key and root of each set that another one is similar to, directly or through others.
 
     ``classes`` has one row for each set: set_key, size, sketch, marks, fp and prefix; ``keys`` a _key of
     each set, ``texts`` _text by _key. Pairs of the covering tables are looked at first. Then sets that
     share a shingle of their prefixes are candidates: in ``stars`` rounds each set is compared with
-    one other only; then all pairs are compared that are not connected yet and can share enough after the first
-    shingle they share. So groups of copies cost little more than their rows, and no pair is left out
-    but those that are connected.
+    one other only. Pairs that are not connected yet and can share enough after the first shingle they share,
+    and by bits of their sets, come next: in ``picks`` rounds the most promising one of each component, then all
+    that are still not connected. So groups of copies cost little more than their rows, and no pair is left
+    out but those that are connected.
     """
     rows = classes.select("set_key", "size", F.posexplode("prefix").alias("pos", "one"))
     buckets = cut_lineage(rows.groupBy("one").count().where("count > 1").select("one"))
@@ -488,8 +491,21 @@ def similar_sets(
     room = F.least(F.col("size") - _only("marks", "marks_b"), F.col("size_b") - _only("marks_b", "marks"))
     rest = rest.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near("size", "size_b"))
     rest = rest.where((left >= enough) & (room >= enough))
-    rest = rest.select("a", "b").distinct()
-    return connected(verified(rest))
+    pairs = cut_lineage(rest.select("a", "b", "root", "root_b", (room / enough).alias("promise")).distinct())
+    # Components join through their best pair first, so that a group of copies is one before its other pairs are read.
+    for _ in range(picks):
+        if pairs.isEmpty():
+            break
+        pair = F.struct("promise", "a", "b").alias("p")
+        ends = pairs.select("root", pair).union(pairs.select("root_b", pair))
+        best = ends.groupBy("root").agg(F.max("p").alias("p")).select("p.a", "p.b").distinct()
+        best = cut_lineage(best)
+        roots = connected(verified(best))
+        one, other = (roots.select(F.col("set_key").alias(x), F.col("root").alias(y)) for x, y in (("a", "root"), ("b", "root_b")))
+        pairs = pairs.select("a", "b", "promise").join(best, ["a", "b"], "left_anti").join(one, "a", "left").join(other, "b", "left")
+        pairs = pairs.withColumns({"root": F.coalesce("root", "a"), "root_b": F.coalesce("root_b", "b")})
+        pairs = cut_lineage(pairs.where("root <> root_b"))
+    return connected(verified(pairs))
 
 
 def _unused(docs: DataFrame, name: str) -> str:
