@@ -138,6 +138,20 @@ def test_index_table_of_any_width(spark, monkeypatch, tmp_path, categories):
     assert vectors.count() == 50
 
 
+@pytest.mark.parametrize("hot_rows", [0, 4, 100])
+def test_a_large_stored_index_is_not_sent_to_the_driver(spark, monkeypatch, tmp_path, hot_rows):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(features, "HOT_ROWS", hot_rows)
+    words = ["a"] * 9 + ["b", "c", "c", None, None, "new"]
+    df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "row_key int, word string")
+    spark.createDataFrame([("a", 0), ("b", 1), ("c", 2)], "word string, code bigint").write.parquet(str(tmp_path / "index"))
+    looked = features.look_up(df, spark.read.parquet(str(tmp_path / "index")), "word", "row_key", "code")
+    # The join with the index is no broadcast, however small its file is; only frequent words are.
+    assert "SortMergeJoin [word" in looked._jdf.queryExecution().sparkPlan().toString()
+    places = {"a": 0, "b": 1, "c": 2, "new": 3, None: None}
+    assert {r["row_key"]: r["code"] for r in looked.collect()} == {i: places[w] for i, w in enumerate(words)}
+
+
 def test_numbers_that_are_not_finite(spark, tmp_path):
     odd = {1: "inf", 2: "-Infinity", 3: "NaN", 4: "12d", 5: "30f", 6: "1e3", 7: "1e999"}
     cell = F.create_map(*[F.lit(x) for pair in odd.items() for x in pair])
