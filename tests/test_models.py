@@ -2,6 +2,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -221,3 +222,32 @@ def test_trees_without_cuts(spark):
         assert len(tree.nodes) == 1
         assert {r.prediction for r in trees.predict(df, tree).collect()} == {int(tree.nodes[0].ones > 0)}
         assert trees.impurity_importance(spark, tree).filter("importance <> 0").count() == 0
+
+
+def test_features_of_few_values_are_counted_not_searched(spark, monkeypatch):
+    """Bounds of a column of few values come from one count of them, equal to those of the search."""
+    df = spark.range(5000, numPartitions=3).select(
+        F.col("id").cast("double").alias("wide"), (F.col("id") % 7 - 3).cast("double").alias("few"), (F.col("id") % 90 == 0).alias("flag")
+    )
+    names = ["wide", "few", "flag"]
+    want = {}
+    for n in names:
+        held = sorted(float(r[0]) for r in df.select(n).collect())
+        want[n] = tuple(sorted({held[5000 * k // 32] for k in range(1, 32)}))
+    searched = []
+    search = trees.select_ranks
+    monkeypatch.setattr(trees, "select_ranks", lambda rows_, ranks, *a, **k: searched.extend(ranks) or search(rows_, ranks, *a, **k))
+    assert trees.bin_edges(df, names) == want
+    assert searched == ["wide"]
+
+
+def test_rows_are_not_multiplied_by_features(planted):
+    """Neither counting nor permuting writes a row for each feature of a row."""
+    df, tree = planted
+    coded = df.select(trees.codes(df, {"x1": (0.5,), "x2": (0.2, 0.4)}).alias("codes"), "label")
+    counts = trees._counted(coded, (2, 3), [(0, trees.walk_of([trees.Node(0, 0, 0)], "code"), np.array([0]))])
+    held = [(r.x1 > 0.5, (r.x2 > 0.2) + (r.x2 > 0.4), r.label) for r in df.collect()]
+    want = {(f, c): [sum(h[f] == c and h[2] == y for h in held) for y in (0, 1)] for f in (0, 1) for c in range(3)}
+    assert {(r.f, r.code): [r.zeros, r.ones] for r in counts.collect()} == {k: v for k, v in want.items() if any(v)}
+    for plan in (counts, trees.permutation_importance(df, tree, "id")):
+        assert "Generate" not in plan._jdf.queryExecution().optimizedPlan().toString()
