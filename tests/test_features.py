@@ -282,3 +282,17 @@ def test_transform_runs_on_a_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.table("featured").count() == 50
+
+
+def test_dependencies_group_by_one_column_at_a_time(spark, monkeypatch):
+    """Several distinct counts in one aggregate would write a row for each pair of columns and row."""
+    def refused(*columns):
+        raise AssertionError("distinct counts of many columns in one aggregate")
+
+    monkeypatch.setattr(features.F, "count_distinct", refused)
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 50).cast("int"))
+    df = spark.range(400).select(F.col("id").alias("row_key"), (F.col("id") % 50).alias("n"), day.cast("string").alias("day"))
+    source = df.select("row_key", F.when(F.col("row_key") % 3 > 0, F.col("day")).alias("disclosure_date"), F.lit(None).alias("review_flag"))
+    table = df.select("row_key", "n", "day", F.lit(None).alias("none"), (F.col("n") * 0 + F.col("row_key") % 49).alias("other"))
+    found = features.hidden_dependencies(table, source, "row_key", ("disclosure_date", "review_flag")).collect()
+    assert {(r.dropped, r.feature, r.kind) for r in found} == {("disclosure_date", "n", "recoded"), ("disclosure_date", "day", "recoded")}
