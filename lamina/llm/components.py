@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.session import cut_lineage
+from lamina.session import cut_lineage, short_lived_shuffles
 
 
 def _lowest(links: DataFrame) -> DataFrame:
@@ -46,7 +46,8 @@ def connected_components(links: DataFrame, first: str, second: str, rounds: int
     )
 
     def state(df: DataFrame):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        with short_lived_shuffles(df.sparkSession):
+            return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
     before = state(now)
     for _ in range(rounds):

@@ -3,6 +3,7 @@
 import itertools
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -103,6 +104,22 @@ def test_components(spark):
     assert connected_components(none, "a", "b").count() == 0
 
 
+def test_finished_steps_leave_no_shuffle_files(spark):
+    """Of the rounds of components no shuffle files stay; else they add up until the driver collects its garbage."""
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    held = lambda: set(env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n"))
+    before = held()
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    found = connected_components(links, "a", "b")
+    for _ in range(50):
+        left = [f for f in held() - before if "shuffle_" in f]
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left
+    assert {r.root for r in found.collect()} == {0}
+
+
 def copies(seed=1):
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(400)]
