@@ -111,3 +111,24 @@ def test_scores_on_spark(spark):
     assert {r.score for r in quality_gam.score_quality(docs, empty).collect()} == {0.5}
     assert quality_gam.score_quality(docs.limit(0), model).count() == 0
     assert toxicity_cnn.score_toxicity(docs.limit(0), detector).count() == 0
+
+
+def test_cnn_learns_from_all_labelled_rows(spark):
+    """Also from texts of more than 4,000 words, in any number of packs; partitions change nothing."""
+    rows = [(i, t, "en" if i % 2 else "de", y) for i, t, y, _ in toxic_rows(600, 5)]
+    rng = random.Random(9)
+    for i in range(1000, 1060):
+        many = " ".join(f"f{rng.randrange(3000)}" for _ in range(4500))
+        rows.append((i, many + (" grimwort grimwort " if i % 2 else " ") + many, "en", i % 2))
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    packs = toxicity_cnn._packs(docs, labelled_keys(labels, "toxic", F.lit(False), None), "text", 200)
+    seen, ones, count = toxicity_cnn._counted(packs)
+    texts = [toxicity_cnn.word_buckets(r[1]) for r in rows]
+    assert packs.count() > 1 and count == len(rows) and ones == sum(r[3] for r in rows)
+    assert (seen == toxicity_cnn.bucket_counts(texts, np.array([r[3] for r in rows]))).all()
+    detector = toxicity_cnn.train(docs, labels, F.lit(False), rows=200)
+    clean, bad = detector.model.score([toxicity_cnn.word_buckets(t) for t in ("kana lore", "kana grimwort grimwort lore")])
+    assert bad > clean and set(detector.thresholds) == {None, "de", "en"}
+    again = toxicity_cnn.train(docs.repartition(7), labels.repartition(3), F.lit(False), rows=200)
+    assert np.array_equal(again.model.tables, detector.model.tables) and again.thresholds == detector.thresholds
