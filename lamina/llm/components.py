@@ -3,7 +3,9 @@
 Every round is two grouped minimums and joins, and its result is written by
 ``checkpoint``; nothing but one row of counts reaches the driver. Links of a hub
 meet as grouped minimums, which Spark adds up before the shuffle, and the join
-back to its links is one that Spark splits when a key is large.
+back to its links is one that Spark splits when a key is large. The links never
+grow in number; when they are few, the minimums are broadcast and no step has
+more tasks than there are cores.
 """
 
 from __future__ import annotations
@@ -11,25 +13,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lamina.session import cut_lineage, short_lived_shuffles
+from lamina.session import BROADCAST_ROWS, cut_lineage, few_tasks, short_lived_shuffles
 
 
-def _lowest(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+def _lowest(links: DataFrame, rows: int) -> DataFrame:
+    low = few_tasks(links.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), rows)
+    return F.broadcast(low) if rows <= BROADCAST_ROWS else low
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, rows: int) -> DataFrame:
     """Links larger neighbours of a node to its smallest neighbour or itself."""
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
     larger = both.where("v > u")
-    return larger.join(_lowest(both), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    found = larger.join(_lowest(both, rows), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return few_tasks(found, rows)
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, rows: int) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them; here u > v always."""
-    low = _lowest(links)
+    low = _lowest(links, rows)
     moved = links.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    return moved.union(low.select("u", F.col("m").alias("v"))).distinct()
+    return few_tasks(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), rows)
 
 
 def connected_components(links: DataFrame, first: str, second: str, rounds: int = 60) -> DataFrame:
@@ -50,8 +54,10 @@ def connected_components(links: DataFrame, first: str, second: str, rounds: int
             return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
     before = state(now)
+    count = before[0]
+    now = few_tasks(now, count)
     for _ in range(rounds):
-        now = cut_lineage(_small_star(_large_star(now)))
+        now = cut_lineage(_small_star(_large_star(now, count), count))
         after = state(now)
         if after == before:
             break

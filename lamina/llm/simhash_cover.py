@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.common import text_slices, texts_of
 from lamina.llm.components import connected_components
-from lamina.session import BROADCAST_ROWS, cut_lineage
+from lamina.session import BROADCAST_ROWS, cut_lineage, few_tasks
 
 BITS = 64
 SEED = 42
@@ -320,6 +320,17 @@ def common_shingles(docs: DataFrame, text: str, words_each: int) -> np.ndarray:
 
 
 SKETCH_LEAST, SKETCH_MOST = 256, 1 << 15
+# A row with a sketch or a whole set counts as so many when it is decided how many tasks they need.
+WIDE = 16
+# Bits of the marks by which pairs are refused in the join, and of the marks folded for its first pass.
+MARKS, FOLDED = 1024, 256
+
+
+def _bits(shingles: np.ndarray, width: int) -> np.ndarray:
+    """Bits of the shingles' low digits, packed."""
+    marked = np.zeros(width, np.uint8)
+    marked[(shingles & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(marked, bitorder="little")
 
 
 def sketch(shingles: np.ndarray) -> bytes:
@@ -327,20 +338,23 @@ def sketch(shingles: np.ndarray) -> bytes:
     bits = SKETCH_LEAST
     while bits < 2 * len(shingles) and bits < SKETCH_MOST:
         bits *= 2
-    marks = np.zeros(bits, np.uint8)
-    marks[(shingles & np.uint64(bits - 1)).astype(np.int64)] = 1
-    return np.packbits(marks, bitorder="little").tobytes()
+    return _bits(shingles, bits).tobytes()
+
 
+def marks(shingles: np.ndarray) -> list[int]:
+    """Bits of a fixed number as whole numbers of 64."""
+    return _bits(shingles, MARKS).view(np.int64).tolist()
 
-def marks(sketched: bytes) -> list[int]:
-    """The sketch folded to its least size, as whole numbers of 64 bits."""
-    folded = np.bitwise_or.reduce(np.frombuffer(sketched, np.int64).reshape(-1, SKETCH_LEAST // 64), axis=0)
-    return folded.tolist()
 
+def _folded(marks: str) -> Column:
+    """The marks as if made with ``FOLDED`` bits."""
+    parts = FOLDED // 64
+    return F.array(*[reduce(Column.bitwiseOR, [F.col(marks)[i] for i in range(j, MARKS // 64, parts)]) for j in range(parts)])
 
-def _only(one: str, other: str) -> Column:
+
+def _only(one: str, other: str, bits: int) -> Column:
     """Bits that only the marks of ``one`` have; each costs its set a shingle of those it can share."""
-    return reduce(add, [F.bit_count(F.col(one)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(SKETCH_LEAST // 64)])
+    return reduce(add, [F.bit_count(F.col(one)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(bits // 64)])
 
 
 def most_shared(one: bytes, size: int, other: bytes, other_size: int) -> int:
@@ -377,10 +391,9 @@ def _prefixes(docs: DataFrame, text: str, keep: dict[str, Column], similarity: f
             for part in text_slices(batch, "_text"):
                 texts = texts_of(part, "_text")
                 sets = [shingle_set(one, words_each) for one in texts]
-                sketches = [sketch(one) for one in sets]
                 made = [
-                    _longs(map(_set_key, sets)), pa.array(list(map(len, sets)), pa.int32()), pa.array(sketches, pa.binary()),
-                    pa.array([marks(one) for one in sketches], pa.list_(pa.int64())),
+                    _longs(map(_set_key, sets)), pa.array(list(map(len, sets)), pa.int32()), pa.array([sketch(one) for one in sets], pa.binary()),
+                    pa.array([marks(one) for one in sets], pa.list_(pa.int64())),
                     _longs(fingerprint(one, 1, True) for one in texts), _list_of_longs([prefix(one) for one in sets]),
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], names)
@@ -391,10 +404,10 @@ def _prefixes(docs: DataFrame, text: str, keep: dict[str, Column], similarity: f
     return rows.mapInArrow(run, ", ".join(schema))
 
 
-def _possible(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose sketches leave room for the similarity."""
-    one = classes.select(F.col("set_key").alias("a"), F.col("size").alias("m"), F.col("sketch").alias("s"))
-    other = classes.select(F.col("set_key").alias("b"), F.col("size").alias("n"), F.col("sketch").alias("t"))
+def _possible(pairs: DataFrame, rows: int, some: DataFrame, similarity: float) -> DataFrame:
+    """Of at most ``rows`` pairs (a, b) those whose sketches leave room for the similarity."""
+    one = some.select(F.col("set_key").alias("a"), F.col("size").alias("m"), F.col("sketch").alias("s"))
+    other = some.select(F.col("set_key").alias("b"), F.col("size").alias("n"), F.col("sketch").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -404,14 +417,15 @@ def _possible(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFr
             ]
             yield batch.select(["a", "b"]).filter(pa.array(fits, pa.bool_()))
 
-    return pairs.select("a", "b").join(one, "a").join(other, "b").mapInArrow(run, "a long, b long")
+    both = few_tasks(few_tasks(pairs.join(one, "a"), WIDE * rows).join(other, "b"), WIDE * rows)
+    return both.mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of set keys (a, b) whose whole sets are similar."""
+def _verified(pairs: DataFrame, rows: int, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of at most ``rows`` pairs of set keys (a, b) those whose whole sets are similar."""
     one = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("one"))
     other = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("other"))
-    both = pairs.join(one, "a").join(other, "b")
+    both = few_tasks(few_tasks(pairs.join(one, "a"), WIDE * rows).join(other, "b"), WIDE * rows)
     shared = F.size(F.array_intersect("one", "other"))
     total = F.size("one") + F.size("other") - shared
     return cut_lineage(both.where(shared >= similarity * total - 1e-9).select("a", "b"))
@@ -428,12 +442,12 @@ def _near_copies(classes: DataFrame, radius: int) -> DataFrame:
 
 
 def similar_sets(
-    classes: DataFrame, keys: DataFrame, texts: DataFrame, similarity: float, words_each: int, stars: int = STARS, picks: int = PICKS
+    classes: DataFrame, texts: DataFrame, similarity: float, words_each: int, stars: int = STARS, picks: int = PICKS
 ) -> DataFrame:
     """set_key and root of each set that another one is similar to, directly or through others.
 
-    ``classes`` has one row for each set: set_key, size, sketch, marks, fp and prefix; ``keys`` a _key of
-    each set, ``texts`` _text by _key. Pairs of the covering tables are looked at first. Then sets that
+    ``classes`` has one row for each set: set_key, _key, size, sketch, marks, fp and prefix; ``texts`` has
+    _text by _key. Pairs of the covering tables are looked at first. Then sets that
     share a shingle of their prefixes are candidates: in ``stars`` rounds each set is compared with
     one other only. Pairs that are not connected yet and can share enough after the first shingle they share,
     and by bits of their sets, come next: in ``picks`` rounds the most promising one of each component, then all
@@ -455,11 +469,20 @@ def similar_sets(
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The similar ones; texts of sets in no possible pair are not read as sets."""
-        pairs = cut_lineage(_possible(pairs, classes, similarity))
-        wanted = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct().join(keys, "set_key")
-        wanted = cut_lineage(wanted.select("_key"))
-        some = texts.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "_key", "left_semi")
-        return _verified(pairs, cut_lineage(_sets_of(some.dropDuplicates(["_key"]), words_each)), similarity)
+        pairs = cut_lineage(pairs.select("a", "b"))
+        count = pairs.count()
+        pairs = few_tasks(pairs, count)
+
+        def of_pairs(table: DataFrame, pairs: DataFrame) -> DataFrame:
+            named = pairs.select(F.col("a").alias("set_key")).union(pairs.select("b"))
+            return table.join(F.broadcast(named) if 2 * count <= BROADCAST_ROWS else named, "set_key", "left_semi")
+
+        some = cut_lineage(of_pairs(classes.select("set_key", "size", "sketch", "_key"), pairs))
+        some = few_tasks(some, 2 * count)
+        pairs = cut_lineage(_possible(pairs, count, some, similarity))
+        wanted = of_pairs(some.select("set_key", "_key"), pairs).select("_key")
+        some = texts.join(F.broadcast(wanted) if 2 * count <= BROADCAST_ROWS else wanted, "_key", "left_semi")
+        return _verified(pairs, count, cut_lineage(_sets_of(some.dropDuplicates(["_key"]), words_each)), similarity)
 
     def connected(new: DataFrame) -> DataFrame:
         nonlocal found
@@ -473,25 +496,43 @@ def similar_sets(
         return cut_lineage(named.join(mixed.select("one"), "one", "left_semi"))
 
     shared = unsettled(shared, connected(verified(_near_copies(classes, RADIUS))))
+    slim = shared.columns
     for star in range(stars):
         rank = F.xxhash64("set_key", F.pmod("one", F.lit(ORDERS)), F.lit(star))
+        if not star:
+            # First with the member that meets most others: of changed copies of one text the least changed one.
+            sizes = shared.groupBy("one").count()
+            weights = shared.join(sizes, "one").groupBy("set_key").agg(F.sum("count").alias("weight"))
+            shared = shared.join(weights, "set_key")
+            rank = F.struct(-F.col("weight"), rank)
         centres = shared.groupBy("one").agg(F.min(F.struct(rank.alias("rank"), "set_key", "size", "root")).alias("c"))
         centres = centres.select("one", F.col("c.set_key").alias("b"), F.col("c.size").alias("size_b"), F.col("c.root").alias("root_b"))
         pairs = shared.join(centres, "one").where((F.col("root") != F.col("root_b")) & near("size", "size_b"))
         pairs = pairs.groupBy(F.col("set_key").alias("a"), "b", "size", "size_b").count().where(F.col("count") * ORDERS >= least)
         pairs = pairs.groupBy("a").agg(F.max(F.struct("count", "b"))["b"].alias("b"))
-        shared = unsettled(shared, connected(verified(pairs)))
-    # Only rows that are left now carry bits of their whole sets, by which the join itself refuses most pairs.
-    shared = cut_lineage(shared.join(classes.select("set_key", "marks"), "set_key"))
-    other = shared.withColumnsRenamed({"set_key": "b", "size": "size_b", "root": "root_b", "pos": "pos_b", "marks": "marks_b"})
-    rest = shared.withColumnRenamed("set_key", "a").join(other, "one")
+        shared = unsettled(shared.select(*slim), connected(verified(pairs)))
+    # Only rows that are left now carry bits of their whole sets, by which the join itself refuses most pairs: first
+    # few bits, which leave the rows that any other one may be similar to, then all marks of these.
+    def marked(rows: DataFrame, marks: Column) -> DataFrame:
+        return cut_lineage(rows.join(classes.select("set_key", marks.alias("marks")), "set_key"))
+
+    def others(rows: DataFrame) -> DataFrame:
+        return rows.withColumnsRenamed({"set_key": "b", "size": "size_b", "root": "root_b", "pos": "pos_b", "marks": "marks_b", "one": "one_b"})
+
     # If this is the first shingle two sets share, they share no more than what follows it in both. A similar
     # pair passes at its first one, so pairs of texts around one common passage need not be counted up.
     left = F.least(F.col("size") - F.col("pos"), F.col("size_b") - F.col("pos_b"))
-    room = F.least(F.col("size") - _only("marks", "marks_b"), F.col("size_b") - _only("marks_b", "marks"))
-    rest = rest.where((F.col("a") < F.col("b")) & (F.col("root") != F.col("root_b")) & near("size", "size_b"))
-    rest = rest.where((left >= enough) & (room >= enough))
-    pairs = cut_lineage(rest.select("a", "b", "root", "root_b", (room / enough).alias("promise")).distinct())
+
+    def room(bits: int) -> Column:
+        return F.least(F.col("size") - _only("marks", "marks_b", bits), F.col("size_b") - _only("marks_b", "marks", bits))
+
+    fits = (F.col("one") == F.col("one_b")) & (F.col("root") != F.col("root_b")) & near("size", "size_b") & (left >= enough)
+    shared = marked(shared, _folded("marks"))
+    shared = shared.join(others(shared), fits & (room(FOLDED) >= enough), "left_semi").drop("marks")
+    shared = marked(shared, F.col("marks"))
+    rest = shared.join(others(shared), fits & (F.col("set_key") < F.col("b")) & (room(MARKS) >= enough))
+    rest = rest.withColumnRenamed("set_key", "a").withColumn("promise", room(MARKS) / enough)
+    pairs = cut_lineage(rest.select("a", "b", "root", "root_b", "promise").distinct())
     # Components join through their best pair first, so that a group of copies is one before its other pairs are read.
     for _ in range(picks):
         if pairs.isEmpty():
@@ -527,11 +568,10 @@ def representatives(
     key = F.xxhash64(F.col(f"`{text}`"))
     named = F.coalesce(F.col(f"`{id}`").cast("string"), F.lit(""))
     rows = cut_lineage(_prefixes(docs, text, {"id": F.col(f"`{id}`"), "_key": key, "_id": named}, similarity, words_each))
-    classes = rows.groupBy("set_key").agg(*[F.first(n).alias(n) for n in ("size", "sketch", "marks", "fp", "prefix")])
-    classes = cut_lineage(classes)
-    keys = rows.groupBy("set_key").agg(F.min("_key").alias("_key"))
+    same = [F.first(n).alias(n) for n in ("size", "sketch", "marks", "fp", "prefix")]
+    classes = cut_lineage(rows.groupBy("set_key").agg(F.min("_key").alias("_key"), *same))
     texts = docs.select(key.alias("_key"), F.col(f"`{text}`").alias("_text"))
-    found = similar_sets(classes, keys, texts, similarity, words_each)
+    found = similar_sets(classes, texts, similarity, words_each)
     slim = rows.select("id", "_id", "_key", "set_key")
     grouped = slim.join(found, "set_key", "left")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "_key", "_id")

@@ -11,6 +11,7 @@ import xxhash
 
 from lamina.llm import simhash_cover as sh
 from lamina.llm.components import connected_components
+from lamina.session import cut_lineage
 
 
 def plain_print(text, n=3):
@@ -235,6 +236,55 @@ def test_one_passage_around_which_texts_differ(spark):
     assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows)
 
 
+def test_many_changed_copies_of_one_text(spark, monkeypatch):
+    """Of a group of copies with more or fewer changed words, the pairs that are listed are about those that are similar."""
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for place in rng.sample(range(150), rng.randrange(2, 15)):
+            words[place] = f"n{rng.randrange(400)}"
+        rows.append((i, " ".join(words)))
+    listed = []
+
+    def watched(df):
+        out = cut_lineage(df)
+        if "promise" in df.columns:
+            listed.append(out.count())
+        return out
+
+    monkeypatch.setattr(sh, "cut_lineage", watched)
+    got = sorted(r.doc_id for r in sh.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == plain_kept(rows) and 10 < len(got) < 290
+    sets = [sh.shingle_set(t) for _, t in rows]
+    shared = ((len(np.intersect1d(a, b)), len(a) + len(b)) for a, b in itertools.combinations(sets, 2))
+    assert listed[0] <= sum(k >= 0.75 * (both - k) for k, both in shared)
+
+
+def test_few_links_take_few_tasks(spark):
+    """The rounds over a few links do not take as many tasks as the shuffles of large tables."""
+    context = spark.sparkContext
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {"spark.sql.shuffle.partitions": "200", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    context.setJobGroup("few-links", "components")
+    try:
+        found = connected_components(links, "a", "b")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r.root for r in found.collect()} == {0}
+    status = context.statusTracker()
+    jobs = [status.getJobInfo(j) for j in status.getJobIdsForGroup("few-links")]
+    stages = {s for job in jobs if job for s in job.stageIds}
+    tasks = sum(info.numTasks for info in map(status.getStageInfo, stages) if info)
+    assert 0 < tasks < 4000, tasks
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
 def test_given_documents_against_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
